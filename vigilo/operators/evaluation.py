@@ -91,18 +91,19 @@ def target_gate(metric: DataFrame, model: str, metric_col: str, minimum: float)
                          (v >= F.lit(float(minimum))).alias("passed"))
 
 
-def prefix_sums(df: DataFrame, order_col: str, value_cols: list[str], partitions: int | None = None) -> DataFrame:
+def prefix_sums(df: DataFrame, order_col, value_cols: list[str], partitions: int | None = None) -> DataFrame:
     """Exclusive running sums of ``value_cols`` in ``order_col`` order, fully distributed.
 
     Rows are range-partitioned on ``order_col``; each partition computes its
     local running sums, the per-partition totals (one row per partition — a
     bounded table) give each partition's offset, and a broadcast join adds it.
-    ``order_col`` must be unique (group first).
+    ``order_col`` (a name or a list of names) must be unique per row.
     """
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, order_col).withColumn("_pid", F.spark_partition_id())
-    w_local = Window.partitionBy("_pid").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
+    order = [order_col] if isinstance(order_col, str) else list(order_col)
+    ranged = df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id())
+    w_local = Window.partitionBy("_pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     local = ranged.select("*", *[F.coalesce(F.sum(c).over(w_local), F.lit(0)).alias(f"_loc_{c}") for c in value_cols])
     totals = ranged.groupBy("_pid").agg(*[F.sum(c).alias(f"_tot_{c}") for c in value_cols])
     w_off = Window.partitionBy(F.lit(1)).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
@@ -113,6 +114,12 @@ def prefix_sums(df: DataFrame, order_col: str, value_cols: list[str], partitions
                                      for c in value_cols])
 
 
+def dense_positions(df: DataFrame, order_cols: list[str], out_col: str = "pos") -> DataFrame:
+    """0-based position of every row in ``order_cols`` order (unique), distributed."""
+    one = df.withColumn("_one", F.lit(1))
+    return prefix_sums(one, order_cols, ["_one"]).withColumnRenamed("below__one", out_col).drop("_one")
+
+
 def roc_auc(pred: DataFrame, t: str = "y_true", score: str = "prob", round_digits: int | None = None) -> DataFrame:
     """Exact AUC-ROC (ties count one half) as sum over distinct scores.
 

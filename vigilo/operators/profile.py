@@ -113,18 +113,22 @@ def filter_segment(profile: DataFrame, segment: str) -> DataFrame:
     return profile
 
 
+# sort key -> (column, descending)
 SORT_KEYS = {
-    "risk_desc": [F.desc("risk_score")],
-    "risk_asc": [F.asc("risk_score")],
-    "att_desc": [F.desc("attendance_rate")],
-    "att_asc": [F.asc("attendance_rate")],
-    "fee_desc": [F.desc("fee_prob")],
+    "risk_desc": ("risk_score", True),
+    "risk_asc": ("risk_score", False),
+    "att_desc": ("attendance_rate", True),
+    "att_asc": ("attendance_rate", False),
+    "fee_desc": ("fee_prob", True),
 }
 
 
 def sort_order(key: str | None) -> list[Column]:
     """Sort columns for a key, always ending with id (stable order); none = id order."""
-    return SORT_KEYS.get(key or "", []) + [F.asc("id")]
+    if not key or key not in SORT_KEYS:
+        return [F.asc("id")]
+    col, desc = SORT_KEYS[key]
+    return [F.desc(col) if desc else F.asc(col), F.asc("id")]
 
 
 def sort_profiles(profile: DataFrame, key: str | None) -> DataFrame:
@@ -154,9 +158,7 @@ def keyset_page(df: DataFrame, key: str, after: tuple | None, size: int = PAGE_S
 
     Unlike offset paging, the cost does not grow with the page number.
     """
-    col, desc = {"risk_desc": ("risk_score", True), "risk_asc": ("risk_score", False),
-                 "att_desc": ("attendance_rate", True), "att_asc": ("attendance_rate", False),
-                 "fee_desc": ("fee_prob", True)}[key]
+    col, desc = SORT_KEYS[key]
     if after is not None:
         v, last_id = after
         beyond = (F.col(col) < v) if desc else (F.col(col) > v)

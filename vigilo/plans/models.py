@@ -1 +1,204 @@
-"""Model-based registered queries (rows-only checks); filled in with the estimators."""
+"""Registered queries of the modelling operators (M1–M16, D11/D12 with real models).
+
+Deterministic steps (standardise, quantile offset, risk, split, weights,
+threshold rules, threshold tuning, the exact kNN of oversampling) have SQL
+twins. Fitted models (forest, boosted trees, synthetic rows) are checked on
+rows and invariants. Registered GBT fits use a reduced iteration budget
+(``QUERY_GBT_ITERS``) so the whole registry runs in minutes; the training
+pipeline (``vigilo.plans.pipeline``) uses the reference's parameters.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from vigilo.functions import rint_round, risk_tier
+from vigilo.operators import boosting as G
+from vigilo.operators import periods as FP
+from vigilo.operators import profile as D
+from vigilo.operators import sampling as S
+from vigilo.operators import thresholds as TH
+from vigilo.operators.iforest import IsolationForest
+from vigilo.operators.scaling import fit_standardizer
+from vigilo.plans.catalog import _t, fee_feats, predictions, presence_feats, r6, register
+
+PRESENCE_FEATURES = ["attendance_rate", "longest_absence_streak", "absence_in_last_30_days", "day_of_week_variance"]
+QUERY_GBT_ITERS = 10
+QUERY_TREES = 100
+
+
+def _z(spark, sf):
+    f = presence_feats(_t(spark, sf)).fillna(0.0, ["day_of_week_variance"])
+    return fit_standardizer(f, PRESENCE_FEATURES).transform(f)
+
+
+@register("m1_standardize")
+def m1(spark, sf):
+    z = _z(spark, sf)
+    return z.select("id", *[r6(c).alias(f"z_{c}") for c in PRESENCE_FEATURES])
+
+
+def _decision(spark, sf):
+    f = presence_feats(_t(spark, sf)).select("id", F.col("attendance_rate").alias("score"))
+    off = TH.contamination_offset(f, "score", 0.1)
+    return TH.flag_by_contamination(f, off)
+
+
+@register("m4_contamination_flag")
+def m4(spark, sf):
+    return _decision(spark, sf).select("id", r6("decision").alias("decision"), "is_flagged")
+
+
+@register("m5_risk_score")
+def m5(spark, sf):
+    d = _decision(spark, sf)
+    risk = TH.risk_from_decision("decision")
+    return d.select("id", rint_round(risk, 6).alias("risk_score"), risk_tier(risk).alias("risk_level"))
+
+
+@register("m6_stratified_split")
+def m6(spark, sf):
+    return S.stratified_split(fee_feats(_t(spark, sf)), "label", 0.2, 42).select("id", "label", "split")
+
+
+@register("m10_class_weights")
+def m10(spark, sf):
+    f = fee_feats(_t(spark, sf)).select("id", "label")
+    fixed = S.class_weights(f, "label", "fixed").withColumnRenamed("weight", "weight_fixed")
+    both = S.class_weights(fixed, "label", "balanced")
+    return both.select("id", "label", "weight_fixed", r6("weight").alias("weight_balanced"))
+
+
+def _surrogate_probs(spark, sf):
+    s = D.surrogate_fee_scores(fee_feats(_t(spark, sf)))
+    p2 = F.col("default_prob")
+    p1 = (F.lit(1.0) - p2) * (F.lit(0.35) + F.lit(0.3) * F.col("transport_user"))
+    return s.select("id", p2.alias("p_2"), p1.alias("p_1"), (F.lit(1.0) - p2 - p1).alias("p_0"))
+
+
+@register("m13_threshold_label")
+def m13(spark, sf):
+    p = _surrogate_probs(spark, sf)
+    return p.select("id", r6("p_0").alias("p_0"), r6("p_1").alias("p_1"), r6("p_2").alias("p_2"),
+                    TH.threshold_label("p_0", "p_1", "p_2", 0.5).alias("label_pred"))
+
+
+@register("m14_threshold_scan")
+def m14(spark, sf):
+    s = TH.threshold_scan(predictions(_t(spark, sf)))
+    return s.select("threshold", "tp", "fn", "fp", r6("recall").alias("recall"), r6("precision").alias("precision"))
+
+
+@register("m14_tune_threshold")
+def m14t(spark, sf):
+    return TH.tune_threshold(TH.threshold_scan(predictions(_t(spark, sf))))
+
+
+def _binary_train(spark, sf):
+    f = FP.model_inputs(fee_feats(_t(spark, sf)))
+    return S.stratified_split(f, "fee_default", 0.2, 42).filter(F.col("split") == "train")
+
+
+@register("m7_smote_knn")
+def m7k(spark, sf):
+    tr = _binary_train(spark, sf).filter(F.col("fee_default") == 1)
+    nn = S.knn_within(tr, FP.BINARY_FEATURES, k=3)
+    return nn.select("id", "nbr_id", "nn", r6("dist").alias("dist"))
+
+
+# ------------------------------------------------------------ rows-only (fitted models)
+def _forest(spark, sf, z):
+    return IsolationForest(PRESENCE_FEATURES, n_trees=QUERY_TREES, max_samples=256, contamination=0.1,
+                           seed=42).fit(z)
+
+
+@register("m2_isolation_forest_fit")
+def m2(spark, sf):
+    z = _z(spark, sf)
+    m = _forest(spark, sf, z)
+    return spark.createDataFrame(m.nodes)
+
+
+@register("m3_decision_score")
+def m3(spark, sf):
+    z = _z(spark, sf)
+    m = _forest(spark, sf, z)
+    return m.decision(z).select("id", "score", "decision", "is_flagged")
+
+
+def flag_anomalies(spark, sf):
+    """Standardise -> forest -> offset -> risk -> tier."""
+    z = _z(spark, sf)
+    m = _forest(spark, sf, z)
+    d = m.decision(z)
+    risk = TH.risk_from_decision("decision")
+    return d.select(F.col("id").alias("student_id"), rint_round(risk, 2).alias("risk_score"),
+                    "is_flagged", risk_tier(risk).alias("risk_level"))
+
+
+register("m16_flag_anomalies")(flag_anomalies)
+
+
+@register("m7_smote")
+def m7(spark, sf):
+    tr = _binary_train(spark, sf).select("id", "fee_default", *FP.BINARY_FEATURES)
+    return S.smote(tr, "fee_default", FP.BINARY_FEATURES, minority=1, k=3, seed=42)
+
+
+def _binary_model(spark, sf):
+    tr = S.smote(_binary_train(spark, sf).select("id", "fee_default", *FP.BINARY_FEATURES),
+                 "fee_default", FP.BINARY_FEATURES, minority=1)
+    return G.fit_default_binary(tr, maxIter=QUERY_GBT_ITERS)
+
+
+@register("m8_fit_default_binary")
+def m8(spark, sf):
+    m = _binary_model(spark, sf)
+    test = FP.model_inputs(fee_feats(_t(spark, sf)))
+    return m.predict_proba(test).select("id", "fee_default", "default_prob")
+
+
+def _multi_model(spark, sf):
+    f = S.class_weights(fee_feats(_t(spark, sf)), "label", "fixed", minority=2, factor=4.0)
+    return G.fit_status_multiclass(f, weight_col="weight", maxIter=QUERY_GBT_ITERS)
+
+
+@register("m9_fit_status_multiclass")
+def m9(spark, sf):
+    m = _multi_model(spark, sf)
+    return m.predict(fee_feats(_t(spark, sf))).select("id", "label", "p_0", "p_1", "p_2", "label_pred")
+
+
+@register("m11_feature_importances")
+def m11(spark, sf):
+    return _multi_model(spark, sf).importances(spark)
+
+
+@register("m12_predict_proba")
+def m12(spark, sf):
+    m = _multi_model(spark, sf)
+    return m.predict_proba(fee_feats(_t(spark, sf))).select("id", "p_0", "p_1", "p_2")
+
+
+@register("m15_score_default_risk")
+def m15(spark, sf):
+    return G.score_default_risk(fee_feats(_t(spark, sf)), _binary_model(spark, sf))
+
+
+@register("d11_score_ids_anomaly_model")
+def d11m(spark, sf):
+    from vigilo.plans.catalog import request_ids
+    flagged = flag_anomalies(spark, sf)
+    ids = request_ids(_t(spark, sf)).select(F.col("id").alias("student_id"))
+    return D.score_ids(flagged, ids, "student_id")
+
+
+@register("d12_score_ids_fee_model")
+def d12m(spark, sf):
+    from vigilo.plans.catalog import request_ids
+    t = _t(spark, sf)
+    m = _multi_model(spark, sf)
+    req = D.score_ids(fee_feats(t), request_ids(t))
+    p = m.predict_proba(req)
+    return p.select(F.col("id").alias("student_id"), rint_round(F.col("p_2"), 2).alias("default_probability"),
+                    D.fee_tier("p_2").alias("risk_category"))

@@ -476,3 +476,59 @@ q("b12_suggest", """
   where contains(lower(name), 'ar') or contains(lower(cast(id as varchar)), 'ar') order by id limit 5""", "prof")
 q("b13_kpis", "select * from kpi", "kpi")
 q("b14_status_counts", "select status, count(*) as periods from periods group by status order by status", "periods")
+
+# M
+_ZC = ["attendance_rate", "longest_absence_streak", "absence_in_last_30_days", "day_of_week_variance"]
+
+
+def _z(c):
+    x = f"coalesce({c}, 0e0)" if c == "day_of_week_variance" else f"cast({c} as double)"
+    s = f"stddev_pop({x}) over ()"
+    return R(f"({x} - avg({x}) over ()) / (case when {s} = 0 then 1e0 else {s} end)")
+
+
+q("m1_standardize", "select id, " + ", ".join(f"{_z(c)} as z_{c}" for c in _ZC) + " from feat", "feat")
+cte("dec", ["feat"], """
+  select id, attendance_rate - (select quantile_cont(attendance_rate, 0.1) from feat) as decision from feat""")
+q("m4_contamination_flag", f"select id, {R('decision')} as decision, decision < 0 as is_flagged from dec", "dec")
+q("m5_risk_score", f"""
+  select id, {R('greatest(0e0, least(100e0, 100e0 * (1e0 - (decision + 0.5e0))))')} as risk_score,
+    case when greatest(0e0, least(100e0, 100e0 * (1e0 - (decision + 0.5e0)))) > 70 then 'High'
+         when greatest(0e0, least(100e0, 100e0 * (1e0 - (decision + 0.5e0)))) > 40 then 'Medium' else 'Low' end as risk_level
+  from dec""", "dec")
+q("m6_stratified_split", """
+  select id, label, case when ((id + 42) * 2654435761) % 4294967296 / 4294967296e0 < 0.2e0 then 'test' else 'train' end
+         as split from fee""", "fee")
+q("m10_class_weights", f"""
+  select id, label, case when label = 2 then 4e0 else 1e0 end as weight_fixed,
+         {R('count(*) over () / ((select count(distinct label) from fee) * count(*) over (partition by label))')} as weight_balanced
+  from fee""", "fee")
+cte("sp", ["fsc"], """
+  select id, default_prob as p_2, (1e0 - default_prob) * (0.35e0 + 0.3e0 * transport_user) as p_1 from fsc""")
+q("m13_threshold_label", f"""
+  select id, {R('1e0 - p_2 - p_1')} as p_0, {R('p_1')} as p_1, {R('p_2')} as p_2,
+         case when p_2 >= 0.5e0 then 2 when (1e0 - p_2 - p_1) >= p_1 then 0 else 1 end as label_pred from sp""", "sp")
+cte("scan", ["pred"], """
+  select g.threshold, count(p.id) filter (where p.y_true = 1 and p.prob >= g.threshold) as tp,
+         count(p.id) filter (where p.y_true = 1 and p.prob < g.threshold) as fn,
+         count(p.id) filter (where p.y_true <> 1 and p.prob >= g.threshold) as fp
+  from (select (10 + 5 * i) / 100e0 as threshold from range(0, 15) t(i)) g, pred p group by g.threshold""")
+q("m14_threshold_scan", f"""
+  select threshold, tp, fn, fp, {R('coalesce(tp / nullif(tp + fn, 0), 0)')} as recall,
+         {R('coalesce(tp / nullif(tp + fp, 0), 0)')} as precision from scan""", "scan")
+q("m14_tune_threshold", """
+  select max(threshold) as highest, min(threshold) as lowest, count(*) as qualifying from scan
+  where coalesce(tp / nullif(tp + fn, 0), 0) >= 0.7e0""", "scan")
+_BF = ["days_since_last_payment", "previous_term_status", "total_outstanding", "income_encoded", "transport_user",
+       "sibling_count", "is_low_income", "has_many_siblings", "was_late_or_worse", "days_x_outstanding"]
+cte("mi", ["fee"], """
+  select *, cast(label = 2 as integer) as fee_default, cast(income_encoded = 2 as integer) as is_low_income,
+         cast(sibling_count >= 3 as integer) as has_many_siblings, cast(previous_term_status >= 1 as integer) as was_late_or_worse,
+         days_since_last_payment * total_outstanding / 10000e0 as days_x_outstanding
+  from fee where ((id + 42) * 2654435761) % 4294967296 / 4294967296e0 >= 0.2e0 and label = 2""")
+_dist = " + ".join(f"(cast(a.{c} as double) - cast(b.{c} as double)) * (cast(a.{c} as double) - cast(b.{c} as double))" for c in _BF)
+q("m7_smote_knn", f"""
+  select id, nbr_id, nn, {R('dist')} as dist from (
+    select a.id, b.id as nbr_id, sqrt({_dist}) as dist,
+           row_number() over (partition by a.id order by sqrt({_dist}), b.id) as nn
+    from mi a join mi b on a.id <> b.id) where nn <= 3""", "mi")
