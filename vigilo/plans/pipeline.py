@@ -1,0 +1,117 @@
+"""The batch pipeline (reference entry points A and B) as Spark jobs.
+
+features -> quality gate -> train both models -> evaluate -> scored profile,
+with Parquet only at the durable points (features, models, profile,
+evaluation). Every stage is distributed; the driver receives only bounded
+results (a tree table, a few statistics, metric rows).
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from vigilo.operators import boosting as G
+from vigilo.operators import evaluation as E
+from vigilo.operators import periods as FP
+from vigilo.operators import presence as A
+from vigilo.operators import profile as D
+from vigilo.operators import quality as Q
+from vigilo.operators import sampling as S
+from vigilo.operators import thresholds as TH
+from vigilo.operators.iforest import IsolationForest
+from vigilo.operators.scaling import fit_standardizer
+from vigilo.sources import artifacts as AR
+from vigilo.sources.readers import write_features
+
+PRESENCE_FEATURES = ["attendance_rate", "longest_absence_streak", "absence_in_last_30_days", "day_of_week_variance"]
+
+
+@dataclass
+class PipelineResult:
+    presence_features: DataFrame
+    period_features: DataFrame
+    checks: DataFrame
+    gate: DataFrame
+    profile: DataFrame
+    evaluation: dict
+
+
+def run_pipeline(spark: SparkSession, presence: DataFrame, periods: DataFrame, dim: DataFrame | None,
+                 labels: DataFrame | None, out_dir: str, gbt_iters: int | None = None,
+                 n_trees: int = 100) -> PipelineResult:
+    """presence (id, date, is_present), periods (id, term, ...), dim (id, class), labels (id, is_anomaly)."""
+    # 1. features, written once (the durable hand-off points of the reference)
+    att = A.presence_features(presence)
+    if labels is not None:
+        att = A.attach_labels(att, labels)
+    fee = FP.period_features(periods)
+    write_features(att, f"{out_dir}/features/presence")
+    write_features(fee, f"{out_dir}/features/period")
+    att = spark.read.parquet(f"{out_dir}/features/presence")
+    fee = spark.read.parquet(f"{out_dir}/features/period")
+
+    # 2. quality gate (one aggregation per table)
+    checks = Q.presence_checks(att.withColumnRenamed("id", "student_id")) if labels is not None else None
+    fee_checks = Q.period_checks(fee.withColumnRenamed("id", "student_id"))
+    checks = fee_checks if checks is None else checks.unionByName(fee_checks)
+    gate = Q.quality_gate(checks)
+
+    # 3. anomaly model: standardise -> forest -> contamination offset
+    feats = att.fillna(0.0, ["day_of_week_variance"])
+    scaler = fit_standardizer(feats, PRESENCE_FEATURES)
+    z = scaler.transform(feats)
+    forest = AR.load_or_fit(spark, f"{out_dir}/models/anomaly",
+                            AR.load_forest,
+                            lambda: IsolationForest(PRESENCE_FEATURES, n_trees=n_trees).fit(z),
+                            AR.save_forest)
+    AR.save_standardizer(spark, scaler, f"{out_dir}/models/anomaly_scaler")
+    scored_att = forest.decision(z)
+    risk = TH.risk_from_decision("decision")
+    att_scored = feats.join(scored_att.select("id", risk.alias("risk_raw"), F.col("is_flagged").alias("is_anomaly_pred")), "id")
+
+    # 4. default models: binary (split -> SMOTE on train -> GBT) and 3-class status (weighted)
+    extra = {} if gbt_iters is None else {"maxIter": gbt_iters}
+    inputs = FP.model_inputs(fee)
+    split = S.stratified_split(inputs, "fee_default", 0.2, 42)
+    train = split.filter(F.col("split") == "train").select("id", "fee_default", *FP.BINARY_FEATURES)
+    balanced = S.smote(train, "fee_default", FP.BINARY_FEATURES, minority=1, k=3, seed=42)
+    binary = G.fit_default_binary(balanced, **extra)
+    binary.save(f"{out_dir}/models/default_binary")
+    weighted = S.class_weights(fee, "label", "fixed", minority=2, factor=4.0)
+    status = G.fit_status_multiclass(weighted, weight_col="weight", **extra)
+    status.save(f"{out_dir}/models/status_multiclass")
+    fee_pred = status.predict(fee).select("id", F.col("p_2").alias("default_prob"), "label_pred",
+                                          "total_outstanding", "days_since_last_payment", "label",
+                                          "previous_term_status")
+
+    # 5. evaluation tables (held-out binary, in-sample multiclass, anomaly vs labels)
+    test = split.filter(F.col("split") == "test")
+    bp = binary.predict_proba(test).select("id", F.col("fee_default").alias("y_true"),
+                                           (F.col("default_prob") >= binary.threshold).cast("int").alias("y_pred"),
+                                           F.col("default_prob").alias("prob"))
+    mp = fee_pred.select("id", F.col("label").alias("y_true"), F.col("label_pred").alias("y_pred"))
+    evaluation = {
+        "default_binary_metrics": E.binary_metrics(bp),
+        "default_binary_auc": E.roc_auc(bp),
+        "default_binary_confusion": E.confusion_matrix(bp),
+        "status_report": E.classification_report(mp, names=["On Time", "Late", "Default"]),
+        "status_default_gate": E.target_gate(E.class_recall(mp, 2), "fee_default", "recall", 0.70),
+        "status_importances": status.importances(spark),
+        "binary_importances": binary.importances(spark),
+        "top_default": E.top_default(fee_pred),
+    }
+    if labels is not None:
+        ap = att_scored.select("id", F.col("is_anomaly").alias("y_true"),
+                               F.col("is_anomaly_pred").cast("int").alias("y_pred"))
+        evaluation["anomaly_metrics"] = E.binary_metrics(ap)
+        evaluation["anomaly_gate"] = E.target_gate(E.binary_metrics(ap), "anomaly", "recall", 0.60)
+    AR.write_evaluation(evaluation, f"{out_dir}/evaluation")
+
+    # 6. scored profile (durable table the dashboard queries read)
+    prof = D.build_profile(att_scored, fee_pred, dim)
+    prof.write.mode("overwrite").parquet(f"{out_dir}/profile")
+    profile = spark.read.parquet(f"{out_dir}/profile")
+    return PipelineResult(att, fee, checks, gate, profile, evaluation)
