@@ -84,6 +84,12 @@ def run(sf_dir, names=None, verbose=True):
             results[name] = ("SQL-ERROR", str(e)[:300])
             print(f"{name:34s} SQL-ERROR {str(e)[:300]}")
             continue
+        tmap = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                "boolean": "BOOLEAN", "date": "DATE", "smallint": "SMALLINT", "float": "FLOAT"}
+        dtype_of = dict(zip(dcols, dtypes))
+        tdiff = [(c, t, dtype_of.get(c)) for c, t in zip(scols, stypes) if tmap.get(t, t) != dtype_of.get(c)]
+        if tdiff:
+            print(f"   TYPE-DIFF {name}: {tdiff}")
         sh, sl = digest(scols, srows)
         dh, dl = digest(dcols, drows)
         ok = (len(srows) == len(drows)) and sorted(scols) == sorted(dcols) and sh == dh

@@ -71,6 +71,8 @@ def knn_within(df: DataFrame, features: list[str], k: int = 3, key_col: str = "i
     pts = dense_positions(df.select(key_col, *feats), [proj, key_col]).select(
         "pos", F.struct(F.col(key_col).alias("id"), *[F.col(c) for c in feats]).alias("p"))
     # reliable checkpoint (shared folder): short lineage for the rounds, survives executor loss
+    from vigilo.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
     pts = pts.checkpoint(eager=True)
     n = pts.count()
     k_eff = min(k, n - 1)

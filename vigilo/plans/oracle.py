@@ -530,5 +530,5 @@ _dist = " + ".join(f"(cast(a.{c} as double) - cast(b.{c} as double)) * (cast(a.{
 q("m7_smote_knn", f"""
   select id, nbr_id, nn, {R('dist')} as dist from (
     select a.id, b.id as nbr_id, sqrt({_dist}) as dist,
-           row_number() over (partition by a.id order by sqrt({_dist}), b.id) as nn
+           cast(row_number() over (partition by a.id order by sqrt({_dist}), b.id) as integer) as nn
     from mi a join mi b on a.id <> b.id) where nn <= 3""", "mi")
