@@ -59,3 +59,14 @@ def test_prefix_sums_many_partitions(spark):
     df = spark.range(1000).select(F.col("id").alias("k"), F.lit(1).alias("v"))
     got = E.prefix_sums(df, "k", ["v"], partitions=7).select("k", "below_v").collect()
     assert all(r["below_v"] == r["k"] for r in got)
+
+
+def test_positions_are_a_permutation_on_cached_input_with_ties(spark):
+    # a third of the rows share one value of the leading order column
+    df = spark.range(3000).select(F.col("id"), F.when(F.col("id") % 3 == 0, F.lit(5.0))
+                                  .otherwise(F.col("id") / 7.0).alias("v")).repartition(9).persist()
+    df.count()
+    pos = E.dense_positions(df, ["v", "id"]).select("id", "v", "pos").toPandas()
+    assert sorted(pos["pos"]) == list(range(3000))
+    want = pos.sort_values(["v", "id"])["id"].tolist()
+    assert pos.sort_values("pos")["id"].tolist() == want
