@@ -102,20 +102,28 @@ class StatusMulticlassModel:
 
 
 def fit_status_multiclass(train: DataFrame, features: list[str] = STATUS_FEATURES, label: str = "label",
-                          classes: tuple = CLASSES, weight_col: str | None = None,
+                          classes: tuple = CLASSES, weight_col: str | None = None, parallelism: int | None = None,
                           **params) -> StatusMulticlassModel:
-    """M9: one binary GBT per class on a shared assembled (and cached) vector."""
+    """M9: one binary GBT per class on a shared assembled (and cached) vector.
+
+    The K fits are independent, so they are submitted concurrently from
+    driver threads (``parallelism``, default K) and share the cluster.
+    """
     p = {**MULTICLASS_PARAMS, **params}
     asm = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="error")
     data = asm.transform(train).select("features", label, *([weight_col] if weight_col else []))
     data = data.withColumns({f"_is_{k}": (F.col(label) == k).cast("double") for k in classes}).persist()
-    models = []
+    def fit_one(k):
+        gbt = GBTClassifier(featuresCol="features", labelCol=f"_is_{k}", **p)
+        if weight_col:
+            gbt.setWeightCol(weight_col)
+        return gbt.fit(data)
+
+    from concurrent.futures import ThreadPoolExecutor
     try:
-        for k in classes:
-            gbt = GBTClassifier(featuresCol="features", labelCol=f"_is_{k}", **p)
-            if weight_col:
-                gbt.setWeightCol(weight_col)
-            models.append(gbt.fit(data))
+        data.count()
+        with ThreadPoolExecutor(max_workers=parallelism or len(classes)) as pool:
+            models = list(pool.map(fit_one, classes))
     finally:
         data.unpersist()
     return StatusMulticlassModel(asm, models, tuple(classes), list(features))

@@ -179,6 +179,15 @@ class IsolationForest:
         return picked.select("tree", *self.features), psi
 
     def fit(self, df: DataFrame) -> IsolationForestModel:
+        # the training table (one row per entity) is read by the count, the
+        # sampling and the offset pass: keep it for the duration of the fit
+        df = df.select(self.key_col, *self.features).persist()
+        try:
+            return self._fit(df)
+        finally:
+            df.unpersist()
+
+    def _fit(self, df: DataFrame) -> IsolationForestModel:
         n = df.count()
         if n < 2:
             raise ValueError("isolation forest needs at least 2 rows")

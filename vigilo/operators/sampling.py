@@ -52,28 +52,51 @@ def _distance(features: list[str], a: str, b: str) -> F.Column:
     return F.sqrt(sq)
 
 
+def _principal_direction(df: DataFrame, feats: list[str]) -> list[float]:
+    """Unit vector of largest variance (from one aggregation of d(d+1)/2 sums)."""
+    import numpy as np
+    aggs = [F.count(F.lit(1)).alias("n")] + [F.sum(F.col(c).cast("double")).alias(f"s{i}") for i, c in enumerate(feats)]
+    for i, a in enumerate(feats):
+        for j in range(i, len(feats)):
+            aggs.append(F.sum(F.col(a).cast("double") * F.col(feats[j]).cast("double")).alias(f"p{i}_{j}"))
+    r = df.agg(*aggs).first()
+    n, d = r["n"], len(feats)
+    mean = np.array([r[f"s{i}"] / n for i in range(d)])
+    cov = np.zeros((d, d))
+    for i in range(d):
+        for j in range(i, d):
+            cov[i, j] = cov[j, i] = r[f"p{i}_{j}"] / n - mean[i] * mean[j]
+    vals, vecs = np.linalg.eigh(cov)
+    u = vecs[:, int(np.argmax(vals))]
+    return [float(x) for x in u / np.linalg.norm(u)]
+
+
 def knn_within(df: DataFrame, features: list[str], k: int = 3, key_col: str = "id",
-               window: int = 16, max_rounds: int = 64) -> DataFrame:
+               window: int = 16, growth: int = 4, max_rounds: int = 64) -> DataFrame:
     """Exact k nearest neighbours (Euclidean, ties by key) of every row among the others.
 
-    Rows are ranked along their widest feature. In a round, each open row is
-    compared with the ``window`` rows on either side of its rank (an
-    equi-join on rank — never all pairs); the gap along the ranked feature
-    to the first row outside the window is a lower bound on every outside
-    distance, so a row whose k-th distance is strictly below it is final.
-    Open rows retry with a doubled window, so the answer is exact; only rows
-    in long runs of equal ranked values need wide windows.
-    Returns (id, nbr_id, nn, dist) with nn = 1..min(k, n-1).
+    Rows are ranked along their direction of largest variance u (a unit
+    vector, so |u.a - u.b| <= |a - b|). In a round, each open row is compared
+    with the ``window`` rows on either side of its rank (an equi-join on
+    rank — never all pairs); the projected gap to the first row outside the
+    window is a lower bound on every outside distance, so a row whose k-th
+    distance is strictly below it is final. Open rows retry with a window
+    ``growth`` times wider, so the answer is exact. Cost: rows x window per
+    round; a dense run of r rows with nearly equal projections needs windows
+    of about r, i.e. r^2 pairs for that run only (the known limit of a 1-D
+    bound). Returns (id, nbr_id, nn, dist), nn = 1..min(k, n-1).
     """
     feats = list(features)
-    spread = df.agg(*[(F.max(c) - F.min(c)).cast("double").alias(c) for c in feats]).first()
-    proj = max(feats, key=lambda c: (spread[c] or 0.0))
-    pts = dense_positions(df.select(key_col, *feats), [proj, key_col]).select(
-        "pos", F.struct(F.col(key_col).alias("id"), *[F.col(c) for c in feats]).alias("p"))
+    df = df.select(key_col, *feats).persist()  # read by the statistics, the bucketing sample and the ranking
+    u = _principal_direction(df, feats)
+    proj = sum((F.lit(w) * F.col(c).cast("double") for w, c in zip(u, feats)), F.lit(0.0))
+    pts = dense_positions(df.withColumn("_proj", proj), ["_proj", key_col]).select(
+        "pos", F.struct(F.col(key_col).alias("id"), "_proj", *[F.col(c) for c in feats]).alias("p"))
     # reliable checkpoint (shared folder): short lineage for the rounds, survives executor loss
     from vigilo.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(df.sparkSession)
     pts = pts.checkpoint(eager=True)
+    df.unpersist()
     n = pts.count()
     k_eff = min(k, n - 1)
     if k_eff < 1:
@@ -89,7 +112,7 @@ def knn_within(df: DataFrame, features: list[str], k: int = 3, key_col: str = "i
         other = pts.select(F.col("pos").alias("npos"), F.col("p").alias("b"))
         cand = (pairs.join(me, "pos").join(other, "npos")
                 .select("pos", "npos", F.col("a.id").alias("id"), F.col("b.id").alias("nbr_id"),
-                        (F.abs(F.col(f"a.{proj}") - F.col(f"b.{proj}"))).cast("double").alias("gap"),
+                        F.abs(F.col("a._proj") - F.col("b._proj")).alias("gap"),
                         _distance(feats, "a", "b").alias("dist"),
                         (F.abs(F.col("npos") - F.col("pos")) > w).alias("edge")))
         inner = cand.filter(~F.col("edge"))
@@ -99,13 +122,13 @@ def knn_within(df: DataFrame, features: list[str], k: int = 3, key_col: str = "i
         kth = ranked.groupBy("pos").agg(F.max("dist").alias("kth"), F.count(F.lit(1)).alias("got"))
         status = kth.join(bound, "pos", "left").select(
             "pos", ((F.col("got") >= k_eff) & (F.col("bound").isNull() | (F.col("kth") < F.col("bound")))).alias("ok"))
-        ranked = ranked.join(status, "pos").checkpoint(eager=True)
+        ranked = ranked.join(status, "pos").persist()
         done.append(ranked.filter("ok").select("id", "nbr_id", "nn", "dist"))
         open_pos = ranked.filter(~F.col("ok")).select("pos").distinct()
         n_open = open_pos.count()
         if n_open == 0 or w >= n:
             break
-        w *= 2
+        w *= growth
     out = done[0]
     for d in done[1:]:
         out = out.unionByName(d)
@@ -137,6 +160,9 @@ def smote(df: DataFrame, label_col: str, features: list[str], minority: int = 1,
     nbrs = (nn.join(nbr_feats, "nbr_id")
             .groupBy("id").agg(F.sort_array(F.collect_list(F.struct("nn", "nb"))).alias("nbrs")))  # <= k each
     parents = dense_positions(mino.select(F.col(key_col).alias("id"), *feats), ["id"]).join(nbrs, "id")
+    from vigilo.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    parents = parents.checkpoint(eager=True)  # minority rows + positions + neighbours: cut the lineage once
     reps = ((F.lit(need - 1) - F.col("pos")) / F.lit(n_min)).cast("long") + 1
     syn = (parents.filter(F.col("pos") < need)
            .select("*", F.explode(F.sequence(F.lit(0), reps - 1)).alias("_m"))

@@ -27,11 +27,18 @@ def exact_quantile(df: DataFrame, col: str, q: float) -> float | None:
     if not 0.0 <= q <= 1.0:
         raise ValueError("q must be in [0, 1]")
     vals = df.select(F.col(col).cast("double").alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    counts = vals.groupBy("_v").agg(F.count(F.lit(1)).alias("_c"))
-    ranked = prefix_sums(counts, "_v", ["_c"])
+    counts = vals.groupBy("_v").agg(F.count(F.lit(1)).alias("_c")).persist()  # distinct values
+    try:
+        return _quantile_from_counts(counts, q)
+    finally:
+        counts.unpersist()
+
+
+def _quantile_from_counts(counts: DataFrame, q: float) -> float | None:
     n = counts.agg(F.sum("_c")).first()[0]
     if not n:
         return None
+    ranked = prefix_sums(counts, "_v", ["_c"])
     h = (n - 1) * q
     lo, hi = int(h // 1), int(-(-h // 1))
     hits = (ranked.filter(((F.col("below__c") <= lo) & (F.col("below__c") + F.col("_c") > lo))
