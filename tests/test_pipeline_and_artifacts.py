@@ -1,0 +1,47 @@
+"""S7–S9 artifacts and the batch pipeline end to end (small scale, few iterations)."""
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from vigilo.operators.iforest import IsolationForest
+from vigilo.sources import artifacts as AR
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_forest_save_load_and_load_or_fit(spark, tmp_path):
+    df = spark.range(300).select(F.col("id"), (F.col("id") % 17).cast("double").alias("a"),
+                                 (F.col("id") % 5).cast("double").alias("b"))
+    calls = []
+
+    def fit():
+        calls.append(1)
+        return IsolationForest(["a", "b"], n_trees=10, seed=3).fit(df)
+    path = str(tmp_path / "forest")
+    m1 = AR.load_or_fit(spark, path, AR.load_forest, fit, AR.save_forest)
+    m2 = AR.load_or_fit(spark, path, AR.load_forest, fit, AR.save_forest)
+    assert len(calls) == 1                       # second call loads
+    assert m2.offset == pytest.approx(m1.offset) and m2.psi == m1.psi
+    s1 = {r["id"]: r["score"] for r in m1.score_samples(df).collect()}
+    s2 = {r["id"]: r["score"] for r in m2.score_samples(df).collect()}
+    assert s1 == s2
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="test data absent")
+def test_pipeline_end_to_end(spark, tmp_path):
+    from vigilo.plans.pipeline import run_pipeline
+    from vigilo.sources.adapters import TestTables, anomaly_labels
+    t = TestTables(spark, SF)
+    out = str(tmp_path / "run")
+    r = run_pipeline(spark, t.presence, t.periods, t.dim, anomaly_labels(t.presence), out, gbt_iters=3, n_trees=20)
+    prof = r.profile
+    assert prof.count() == t.presence.select("id").distinct().count()
+    assert set(prof.columns) >= {"id", "name", "student_class", "risk_score", "fee_prob", "is_anomaly"}
+    bad = prof.filter((F.col("risk_score") < 0) | (F.col("risk_score") > 100) | (F.col("fee_prob") < 0)
+                      | (F.col("fee_prob") > 100)).count()
+    assert bad == 0
+    assert {x["tbl"] for x in r.gate.collect()} == {"attendance_features", "fee_features", "all"}
+    for name in ("status_report", "default_binary_metrics", "status_importances", "anomaly_gate"):
+        assert spark.read.parquet(f"{out}/evaluation/{name}").count() > 0
+    assert os.path.isdir(f"{out}/models/anomaly/nodes") and os.path.isdir(f"{out}/models/status_multiclass/class_2")
