@@ -87,3 +87,15 @@ def test_page_and_keyset(prof):
     last = prof.filter("id = 3").first()
     k2 = [r["id"] for r in D.keyset_page(prof, "risk_desc", (last["risk_score"], 3), size=2).collect()]
     assert k2 == p2
+
+
+def test_alert_feed_precedence_and_class_sort(spark):
+    df = spark.createDataFrame(
+        [(i, f"N{i}", c, 50.0, a, 55.5, 0, 0, fl, 70.1, 0.0, 0)
+         for i, c, a, fl in [(1, "6A", True, 2), (2, "10A", False, 2), (3, "9B", False, 0), (4, "6A", True, 0)]],
+        "id long, name string, student_class string, attendance_rate double, is_anomaly boolean, risk_score double, "
+        "absence_streak int, absence_30d int, fee_label int, fee_prob double, outstanding double, days_late int")
+    feed = B.alert_feed(df).collect()
+    assert [(r["id"], r["type"]) for r in feed] == [(1, "Attendance Anomaly"), (2, "Fee Default"), (4, "Attendance Anomaly")]
+    assert feed[0]["detail"] == "Risk 55.5" and feed[1]["detail"] == "70.1% default prob"
+    assert [r["class"] for r in B.class_breakdown(df).collect()] == ["10A", "6A", "9B"]   # string order

@@ -29,3 +29,14 @@ def test_require_inputs(spark, tmp_path):
     with pytest.raises(MissingInputError, match="feature step"):
         R.require_inputs(spark, {str(tmp_path / "nope.csv"): "the feature step"})
     assert R.read_entity_dim(spark, str(tmp_path / "nope.parquet")) is None
+
+
+def test_entity_dim_optional_class(spark, tmp_path):
+    p = tmp_path / "labels.csv"
+    p.write_text("student_id,is_anomaly\nSTU_001,1\nSTU_002,0\n")
+    df = R.read_entity_dim(spark, str(p))
+    rows = {r["student_id"]: r for r in df.collect()}
+    assert rows["STU_001"]["is_anomaly"] == 1 and rows["STU_001"]["class"] is None
+    q = tmp_path / "labels2.csv"
+    q.write_text("student_id,class,is_anomaly\nSTU_001,10A,0\n")
+    assert R.read_entity_dim(spark, str(q)).first()["class"] == "10A"

@@ -89,17 +89,30 @@ def read_periods(spark: SparkSession, path: str, fmt: str | None = None) -> Data
 
 def read_entity_dim(spark: SparkSession, path: str, fmt: str | None = None,
                     required: bool = False) -> DataFrame | None:
-    """S3: entity dimension (label and optional class). Missing file -> None unless required."""
+    """S3: entity dimension (id, optional class, optional label).
+
+    The file is optional (missing -> None unless ``required``) and so is its
+    class column: columns are matched by name (CSV header or Parquet
+    schema), never by position; absent ones become NULL.
+    """
+    f = _fmt(path, fmt)
     try:
-        df = _read(spark, path, ENTITY_DIM_SCHEMA, fmt)
-        df.schema  # resolve now so a missing path surfaces here
-        if _fmt(path, fmt) == "parquet":
-            df.limit(0).collect()
-        return df
+        if f == "csv":
+            raw = spark.read.option("header", True).option("inferSchema", False).csv(path)  # all strings
+        else:
+            raw = spark.read.format(f).load(path)
+        cols = set(raw.columns)
     except AnalysisException:
         if required:
             raise MissingInputError(f"entity dimension not found at {path}")
         return None
+    out = []
+    for field in ENTITY_DIM_SCHEMA.fields:
+        c = field.name
+        out.append((F.col(c) if c in cols else F.lit(None)).cast(field.dataType).alias(c))
+    if "student_id" not in cols:
+        raise ValueError(f"entity dimension at {path} has no student_id column")
+    return raw.select(*out)
 
 
 def read_features(spark: SparkSession, path: str, kind: str, fmt: str | None = None) -> DataFrame:
