@@ -91,48 +91,23 @@ def target_gate(metric: DataFrame, model: str, metric_col: str, minimum: float)
                          (v >= F.lit(float(minimum))).alias("passed"))
 
 
-def range_buckets(df: DataFrame, order: list[str], buckets: int, sample_per_bucket: int = 64) -> F.Column:
-    """A column with the range bucket (0..buckets-1) of every row under ``order``.
-
-    Boundaries come from a hash-chosen sample of about ``buckets *
-    sample_per_bucket`` rows (bounded by the parameters, not the data); a
-    row's bucket is the number of boundaries at or below it. Being a pure
-    function of the row, the bucket is the same in every branch of a plan
-    and on every recomputation — unlike a partition id after a sampled
-    range shuffle.
-    """
-    n = df.count()
-    if n == 0 or buckets <= 1:
-        return F.lit(0)
-    frac = min(1.0, buckets * sample_per_bucket / n)
-    h = F.pmod(F.xxhash64(*[F.col(c) for c in order]), F.lit(1 << 30)).cast("double") / F.lit(float(1 << 30))
-    sample = sorted(tuple(r) for r in df.filter(h < F.lit(frac)).select(*order).collect())
-    if not sample:
-        return F.lit(0)
-    step = len(sample) / buckets
-    bounds = sorted({sample[int(i * step)] for i in range(1, buckets) if int(i * step) < len(sample)})
-    types = {f.name: f.dataType for f in df.schema.fields}
-    key = F.struct(*[F.col(c) for c in order])
-    expr = F.lit(0)
-    for b in bounds:
-        lit = F.struct(*[F.lit(v).cast(types[c]).alias(c) for c, v in zip(order, b)])
-        expr = expr + (key >= lit).cast("int")
-    return expr
-
-
 def prefix_sums(df: DataFrame, order_col, value_cols: list[str], partitions: int | None = None) -> DataFrame:
     """Exclusive running sums of ``value_cols`` in ``order_col`` order, fully distributed.
 
-    Rows are split into range buckets (``range_buckets``); each bucket
-    computes its local running sums in one window task, the per-bucket
-    totals (one row per bucket — a bounded table) give each bucket's offset,
-    and a broadcast join adds it. ``order_col`` (a name or a list of names)
-    must be unique per row and non-null.
+    Rows are range-partitioned once and the split is pinned with a reliable
+    ``checkpoint()`` (shared checkpoint folder), so the local running sums
+    and the per-partition totals read the *same* partition ids (two sampled
+    range shuffles need not agree). Each partition computes its local sums
+    in one window task; the per-partition totals (one row per partition — a
+    bounded table) give each partition's offset, added by a broadcast join.
+    ``order_col`` (a name or a list of names) must be unique per row.
     """
+    from vigilo.session import ensure_checkpoint_dir
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [order_col] if isinstance(order_col, str) else list(order_col)
-    ranged = df.withColumn("_pid", range_buckets(df, order, n))
+    ensure_checkpoint_dir(spark)
+    ranged = df.repartitionByRange(n, *order).checkpoint(eager=True).withColumn("_pid", F.spark_partition_id())
     w_local = Window.partitionBy("_pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     local = ranged.select("*", *[F.coalesce(F.sum(c).over(w_local), F.lit(0)).alias(f"_loc_{c}") for c in value_cols])
     totals = ranged.groupBy("_pid").agg(*[F.sum(c).alias(f"_tot_{c}") for c in value_cols])
