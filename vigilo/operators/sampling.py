@@ -52,8 +52,8 @@ def _distance(features: list[str], a: str, b: str) -> F.Column:
     return F.sqrt(sq)
 
 
-def _principal_direction(df: DataFrame, feats: list[str]) -> list[float]:
-    """Unit vector of largest variance (from one aggregation of d(d+1)/2 sums)."""
+def _principal_directions(df: DataFrame, feats: list[str], m: int) -> list[list[float]]:
+    """The ``m`` unit vectors of largest variance (one aggregation of d(d+1)/2 sums)."""
     import numpy as np
     aggs = [F.count(F.lit(1)).alias("n")] + [F.sum(F.col(c).cast("double")).alias(f"s{i}") for i, c in enumerate(feats)]
     for i, a in enumerate(feats):
@@ -67,66 +67,88 @@ def _principal_direction(df: DataFrame, feats: list[str]) -> list[float]:
         for j in range(i, d):
             cov[i, j] = cov[j, i] = r[f"p{i}_{j}"] / n - mean[i] * mean[j]
     vals, vecs = np.linalg.eigh(cov)
-    u = vecs[:, int(np.argmax(vals))]
-    return [float(x) for x in u / np.linalg.norm(u)]
+    order = np.argsort(vals)[::-1][:max(1, min(m, d))]
+    return [[float(x) for x in vecs[:, i] / np.linalg.norm(vecs[:, i])] for i in order]
 
 
 def knn_within(df: DataFrame, features: list[str], k: int = 3, key_col: str = "id",
-               window: int = 16, growth: int = 4, max_rounds: int = 64) -> DataFrame:
+               window: int = 32, growth: int = 8, projections: int = 2, max_rounds: int = 64) -> DataFrame:
     """Exact k nearest neighbours (Euclidean, ties by key) of every row among the others.
 
-    Rows are ranked along their direction of largest variance u (a unit
-    vector, so |u.a - u.b| <= |a - b|). In a round, each open row is compared
-    with the ``window`` rows on either side of its rank (an equi-join on
-    rank — never all pairs); the projected gap to the first row outside the
-    window is a lower bound on every outside distance, so a row whose k-th
-    distance is strictly below it is final. Open rows retry with a window
-    ``growth`` times wider, so the answer is exact. Cost: rows x window per
-    round; a dense run of r rows with nearly equal projections needs windows
-    of about r, i.e. r^2 pairs for that run only (the known limit of a 1-D
-    bound). Returns (id, nbr_id, nn, dist), nn = 1..min(k, n-1).
+    Rows are ranked along each of their ``projections`` directions of largest
+    variance u_j (unit vectors, so |u_j.a - u_j.b| <= |a - b|). In a round,
+    each open row's candidates are the ``window`` rows on either side of its
+    rank in every ranking (equi-joins on rank — never all pairs). A row
+    outside all windows is at least max_j(gap_j) away, where gap_j is the
+    projected gap to the first row outside window j, so a row whose k-th
+    candidate distance is strictly below that bound is final. Open rows retry
+    with a window ``growth`` times wider, so the answer is exact. A run of
+    rows that is dense in one direction is usually spread in another; only
+    rows dense in every ranked direction (near-duplicates) need wide windows.
+    Returns (id, nbr_id, nn, dist), nn = 1..min(k, n-1).
     """
     feats = list(features)
-    df = df.select(key_col, *feats).persist()  # read by the statistics, the bucketing sample and the ranking
-    u = _principal_direction(df, feats)
-    proj = sum((F.lit(w) * F.col(c).cast("double") for w, c in zip(u, feats)), F.lit(0.0))
-    pts = dense_positions(df.withColumn("_proj", proj), ["_proj", key_col]).select(
-        "pos", F.struct(F.col(key_col).alias("id"), "_proj", *[F.col(c) for c in feats]).alias("p"))
-    # reliable checkpoint (shared folder): short lineage for the rounds, survives executor loss
+    spark = df.sparkSession
+    df = df.select(key_col, *feats).persist()  # read by the statistics, the ranking samples and the ranking
+    dirs = _principal_directions(df, feats, projections)
+    m = len(dirs)
+    pts = df.select(F.col(key_col).alias("id"), *feats,
+                    *[sum((F.lit(w) * F.col(c).cast("double") for w, c in zip(u, feats)), F.lit(0.0)).alias(f"_u{j}")
+                      for j, u in enumerate(dirs)])
+    for j in range(m):
+        pts = dense_positions(pts, [f"_u{j}", "id"], out_col=f"pos{j}")
     from vigilo.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    pts = pts.checkpoint(eager=True)
+    ensure_checkpoint_dir(spark)
+    # reliable checkpoint (shared folder): short lineage for the rounds, survives executor loss
+    pts = pts.select("id", *[f"pos{j}" for j in range(m)],
+                     F.struct(*[F.col(c) for c in feats], *[F.col(f"_u{j}") for j in range(m)]).alias("v")
+                     ).checkpoint(eager=True)
     df.unpersist()
     n = pts.count()
     k_eff = min(k, n - 1)
     if k_eff < 1:
-        return df.sparkSession.createDataFrame([], "id long, nbr_id long, nn int, dist double")
-    open_pos = pts.select("pos")
+        return spark.createDataFrame([], "id long, nbr_id long, nn int, dist double")
+    vec = pts.select("id", "v")
+    open_rows = pts.select("id", *[f"pos{j}" for j in range(m)])
     done = []
     w = window
     for _ in range(max_rounds):
-        reach = F.sequence(F.col("pos") - F.lit(w + 1), F.col("pos") + F.lit(w + 1))
-        pairs = (open_pos.select("pos", F.explode(reach).alias("npos"))
-                 .filter((F.col("npos") != F.col("pos")) & (F.col("npos") >= 0) & (F.col("npos") < n)))
-        me = pts.select(F.col("pos"), F.col("p").alias("a"))
-        other = pts.select(F.col("pos").alias("npos"), F.col("p").alias("b"))
-        cand = (pairs.join(me, "pos").join(other, "npos")
-                .select("pos", "npos", F.col("a.id").alias("id"), F.col("b.id").alias("nbr_id"),
-                        F.abs(F.col("a._proj") - F.col("b._proj")).alias("gap"),
-                        _distance(feats, "a", "b").alias("dist"),
-                        (F.abs(F.col("npos") - F.col("pos")) > w).alias("edge")))
-        inner = cand.filter(~F.col("edge"))
-        ranked = (inner.withColumn("nn", F.row_number().over(
-            Window.partitionBy("pos").orderBy("dist", "nbr_id"))).filter(F.col("nn") <= k_eff))
-        bound = cand.filter(F.col("edge")).groupBy("pos").agg(F.min("gap").alias("bound"))
-        kth = ranked.groupBy("pos").agg(F.max("dist").alias("kth"), F.count(F.lit(1)).alias("got"))
-        status = kth.join(bound, "pos", "left").select(
-            "pos", ((F.col("got") >= k_eff) & (F.col("bound").isNull() | (F.col("kth") < F.col("bound")))).alias("ok"))
-        ranked = ranked.join(status, "pos").persist()
+        cands = []
+        for j in range(m):
+            reach = F.sequence(F.col(f"pos{j}") - F.lit(w + 1), F.col(f"pos{j}") + F.lit(w + 1))
+            near = (open_rows.select("id", F.col(f"pos{j}").alias("_p"), F.explode(reach).alias("_np"))
+                    .filter((F.col("_np") != F.col("_p")) & (F.col("_np") >= 0) & (F.col("_np") < n)))
+            at = pts.select(F.col(f"pos{j}").alias("_np"), F.col("id").alias("nbr_id"))
+            cands.append(near.join(at, "_np").select(
+                "id", "nbr_id", F.lit(j).alias("_j"), (F.abs(F.col("_np") - F.col("_p")) > w).alias("edge")))
+        cand = cands[0]
+        for c in cands[1:]:
+            cand = cand.unionByName(c)
+        me = vec.select("id", F.col("v").alias("a"))
+        other = vec.select(F.col("id").alias("nbr_id"), F.col("v").alias("b"))
+        inner = (cand.filter(~F.col("edge")).select("id", "nbr_id").distinct()
+                 .join(me, "id").join(other, "nbr_id")
+                 .select("id", "nbr_id", _distance(feats, "a", "b").alias("dist")))
+        ranked = (inner.withColumn("nn", F.row_number().over(Window.partitionBy("id").orderBy("dist", "nbr_id")))
+                  .filter(F.col("nn") <= k_eff))
+        # projected gap to the edge row of each ranking (edge rows are outside the window)
+        gap_cols = [F.when(F.col("_j") == j, F.abs(F.col(f"a._u{j}") - F.col(f"b._u{j}"))) for j in range(m)]
+        gaps = (cand.filter(F.col("edge")).join(me, "id").join(other, "nbr_id")
+                .select("id", "_j", F.coalesce(*gap_cols).alias("_g")))
+        per_dir = gaps.groupBy("id", "_j").agg(F.min("_g").alias("_g"))
+        bound = per_dir.groupBy("id").agg(F.max("_g").alias("bound"), F.count(F.lit(1)).alias("_dirs"))
+        kth = ranked.groupBy("id").agg(F.max("dist").alias("kth"), F.count(F.lit(1)).alias("got"))
+        # a ranking whose window already covers every row has no edge row: nothing lies outside it
+        covered = F.col("_dirs").isNull() | (F.col("_dirs") < m)
+        status = kth.join(bound, "id", "left").select(
+            "id", ((F.col("got") >= k_eff) & (covered | (F.col("kth") < F.col("bound")))).alias("ok"))
+        ranked = ranked.join(status, "id").persist()
         done.append(ranked.filter("ok").select("id", "nbr_id", "nn", "dist"))
-        open_pos = ranked.filter(~F.col("ok")).select("pos").distinct()
-        n_open = open_pos.count()
-        if n_open == 0 or w >= n:
+        open_ids = ranked.filter(~F.col("ok")).select("id").distinct()
+        # checkpoint the (small) open set: every round starts from a short lineage
+        open_rows = (pts.join(open_ids, "id", "left_semi").select("id", *[f"pos{j}" for j in range(m)])
+                     .checkpoint(eager=True))
+        if open_rows.count() == 0 or w >= n:
             break
         w *= growth
     out = done[0]
