@@ -40,8 +40,9 @@ def presence_from_events(events: DataFrame, id_col: str = "user_id", ts_col: str
 
     Plan: one ``groupBy(entity)`` collects the entity's distinct event days
     (partial aggregation map-side, so a hot entity ships at most one set per
-    map task, each bounded by the calendar length). Each entity row is then
-    exploded over the calendar and the day set is probed. Only the 2-value
+    map task, each bounded by the calendar length). Each entity row then
+    emits its present days and the calendar minus them (``array_except``,
+    a hash set difference — O(days), no per-day probing). Only the 2-value
     calendar span reaches the driver, and it is checked against
     ``max_calendar_days`` before anything is broadcast. The output is
     partitioned by entity, which the feature window reuses.
@@ -57,12 +58,14 @@ def presence_from_events(events: DataFrame, id_col: str = "user_id", ts_col: str
         raise ValueError(f"calendar of {n_days} days exceeds the bound {max_calendar_days}")
     event_days = events.select(day.alias("date")).distinct()  # <= n_days rows, checked above
     per_entity = events.groupBy(F.col(id_col).alias("id")).agg(F.collect_set(day).alias("_days"))
-    grid = per_entity.select(
-        "id",
-        F.explode(F.sequence(F.lit(lo), F.lit(hi))).alias("date"),
-        "_days")
-    return (grid.join(F.broadcast(event_days), "date", "left_semi")
-                .select("id", "date", F.array_contains("_days", F.col("date")).cast("int").alias("is_present")))
+    # present days as 1, the rest of the calendar (hash-based set difference, O(days)) as 0
+    calendar = F.sequence(F.lit(lo), F.lit(hi))
+    rows = F.concat(
+        F.transform("_days", lambda d: F.struct(d.alias("date"), F.lit(1).alias("is_present"))),
+        F.transform(F.array_except(calendar, F.col("_days")),
+                    lambda d: F.struct(d.alias("date"), F.lit(0).alias("is_present"))))
+    grid = per_entity.select("id", F.inline(rows))
+    return grid.join(F.broadcast(event_days), "date", "left_semi").select("id", "date", "is_present")
 
 
 def periods_from_orders(orders: DataFrame, customer: DataFrame, n_terms: int = N_TERMS,
