@@ -69,7 +69,8 @@ def fee_table(t: TestTables) -> DataFrame:
 def profile(t: TestTables) -> DataFrame:
     att = D.surrogate_anomaly_scores(presence_feats(t))
     fee = D.surrogate_fee_scores(fee_feats(t))
-    return D.build_profile(att, fee, t.dim)
+    # the profile's left join keeps only presence entities, so the class side needs no events scan
+    return D.build_profile(att, fee, t.class_dim)
 
 
 def predictions(t: TestTables) -> DataFrame:

@@ -112,6 +112,14 @@ def entity_dim_from_events(events: DataFrame, customer: DataFrame, nation: DataF
                  .select("id", "class"))
 
 
+def class_dimension(customer: DataFrame, nation: DataFrame) -> DataFrame:
+    """(id, class) for every customer: the build side when the caller's own join already restricts the ids."""
+    return (customer.select(F.col("c_custkey").alias("id"), "c_nationkey")
+            .join(nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("class")),
+                  "c_nationkey")
+            .select("id", "class"))
+
+
 def anomaly_labels(presence: DataFrame, cut: float = 0.85) -> DataFrame:
     """(id, is_anomaly) test label: presence rate below ``cut`` (surrogate risk > 50)."""
     return (presence.groupBy("id").agg(F.avg(F.col("is_present").cast("double")).alias("_r"))
@@ -142,6 +150,12 @@ class TestTables:
             self._cache["_periods"] = periods_from_orders(self.raw("orders"), self.raw("customer"))
         return self._cache["_periods"]
 
+    @property
+    def class_dim(self) -> DataFrame:
+        if "_class_dim" not in self._cache:
+            self._cache["_class_dim"] = class_dimension(self.raw("customer"), self.raw("nation"))
+        return self._cache["_class_dim"]
+
     @property
     def dim(self) -> DataFrame:
         if "_dim" not in self._cache:
