@@ -535,3 +535,24 @@ def b13(spark, sf):
 @register("b14_status_counts")
 def b14(spark, sf):
     return B.status_counts(_t(spark, sf).periods)
+
+
+@register("s5_write_read_features")
+def s5(spark, sf):
+    """S5 then S4: write the labelled presence features as CSV (integral columns as doubles, like the
+    reference's stored tables) into the shared checkpoint folder, read them back with the schema'd
+    reader and its float->int casts."""
+    import uuid
+    from vigilo.session import ensure_checkpoint_dir
+    from vigilo.sources.readers import read_features, write_features
+    t = _t(spark, sf)
+    f = att_table(t)
+    stored = f.select(F.col("student_id").cast("string").alias("student_id"), "attendance_rate",
+                      *[F.col(c).cast("double").alias(c) for c in ("longest_absence_streak", "absence_in_last_30_days")],
+                      "day_of_week_variance", F.col("is_anomaly").cast("double").alias("is_anomaly"))
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/features-{uuid.uuid4().hex}/presence.csv"
+    write_features(stored, path, fmt="csv")
+    back = read_features(spark, path, "presence", fmt="csv")
+    return back.select("student_id", r6("attendance_rate").alias("attendance_rate"), "longest_absence_streak",
+                       "absence_in_last_30_days", r6("day_of_week_variance").alias("day_of_week_variance"),
+                       "is_anomaly")

@@ -532,3 +532,7 @@ q("m7_smote_knn", f"""
     select a.id, b.id as nbr_id, sqrt({_dist}) as dist,
            cast(row_number() over (partition by a.id order by sqrt({_dist}), b.id) as integer) as nn
     from mi a join mi b on a.id <> b.id) where nn <= 3""", "mi")
+
+q("s5_write_read_features", f"""
+  select cast(student_id as varchar) as student_id, {R('attendance_rate')} as attendance_rate, longest_absence_streak,
+         absence_in_last_30_days, {R('day_of_week_variance')} as day_of_week_variance, is_anomaly from att""", "att")
