@@ -110,3 +110,20 @@ def test_forest_quality_on_bundled_features(spark):
                           F.sum((F.col("is_flagged") & (F.col("is_anomaly") == 1)).cast("int")).alias("tp")).first()
     assert abs(r["flagged"] - 50) <= 1
     assert r["tp"] >= 40            # recall >= 0.57 (40 of 70)
+
+
+def test_knn_with_a_hot_copy_group(spark):
+    """A third of the rows are copies of one vector: exact, and no quadratic blow-up."""
+    import random
+    rnd = random.Random(5)
+    pts = [(i, 1.0, 1.0) for i in range(400)]
+    pts += [(400 + i, rnd.uniform(-5, 5), rnd.uniform(-5, 5)) for i in range(800)]
+    pts += [(2000, 3.0, 3.0), (2001, 3.0, 3.0)]          # a small copy group (needs other vectors)
+    df = spark.createDataFrame(pts, "id long, x double, y double")
+    got = {}
+    for r in S.knn_within(df, ["x", "y"], k=3).collect():
+        got.setdefault(r["id"], []).append((r["nn"], r["nbr_id"]))
+    assert len(got) == len(pts)
+    for i, x, y in rnd.sample(pts, 60) + [pts[0], pts[399], pts[-1], pts[-2]]:
+        d = sorted((math.dist((x, y), (a, b)), j) for j, a, b in pts if j != i)
+        assert [j for _, j in sorted(got[i])] == [j for _, j in d[:3]]

@@ -71,9 +71,9 @@ def _principal_directions(df: DataFrame, feats: list[str], m: int) -> list[list[
     return [[float(x) for x in vecs[:, i] / np.linalg.norm(vecs[:, i])] for i in order]
 
 
-def knn_within(df: DataFrame, features: list[str], k: int = 3, key_col: str = "id",
-               window: int = 32, growth: int = 8, projections: int = 2, max_rounds: int = 64) -> DataFrame:
-    """Exact k nearest neighbours (Euclidean, ties by key) of every row among the others.
+def _knn_distinct(df: DataFrame, features: list[str], k: int = 3, key_col: str = "id",
+                  window: int = 32, growth: int = 8, projections: int = 2, max_rounds: int = 64) -> DataFrame:
+    """Exact k nearest neighbours (Euclidean, ties by key) among rows with pairwise distinct vectors.
 
     Rows are ranked along each of their ``projections`` directions of largest
     variance u_j (unit vectors, so |u_j.a - u_j.b| <= |a - b|). In a round,
@@ -84,7 +84,8 @@ def knn_within(df: DataFrame, features: list[str], k: int = 3, key_col: str = "i
     candidate distance is strictly below that bound is final. Open rows retry
     with a window ``growth`` times wider, so the answer is exact. A run of
     rows that is dense in one direction is usually spread in another; only
-    rows dense in every ranked direction (near-duplicates) need wide windows.
+    rows dense in every ranked direction (near-duplicates) need wide windows;
+    exact copies are removed beforehand by :func:`knn_within`.
     Returns (id, nbr_id, nn, dist), nn = 1..min(k, n-1).
     """
     feats = list(features)
@@ -157,6 +158,51 @@ def knn_within(df: DataFrame, features: list[str], k: int = 3, key_col: str = "i
     return out
 
 
+def knn_within(df: DataFrame, features: list[str], k: int = 3, key_col: str = "id", **kw) -> DataFrame:
+    """Exact k nearest neighbours (Euclidean, ties by key) of every row among the others.
+
+    Groups of identical vectors (copies) are split off first, so a copy group
+    holding a third of the rows costs O(rows), not O(rows^2):
+    * a row's nearest copies are the smallest other ids of its group, taken
+      from the group's first k+1 ids (a group-limited top-k, partial before
+      the exchange);
+    * only vectors with at most k copies need other vectors: the window
+      search runs over distinct vectors (represented by their smallest id),
+      and each neighbour vector expands to its first k ids. Ordering vectors
+      by (distance, smallest id) contains the best members by (distance, id).
+    Returns (id, nbr_id, nn, dist), nn = 1..min(k, n-1).
+    """
+    from vigilo.operators.topk import top_k_per_group
+    from vigilo.session import ensure_checkpoint_dir
+    feats = list(features)
+    ensure_checkpoint_dir(df.sparkSession)
+    # read by the copy grouping, the counts, the distinct search and the final joins: pin it once
+    base = df.select(F.col(key_col).alias("id"), *feats).checkpoint(eager=True)
+    firsts = top_k_per_group(base, feats, [F.asc("id")], k + 1, rank_col="_r").select(*feats, "id")
+    groups = base.groupBy(*feats).agg(F.count(F.lit(1)).alias("_s"), F.min("id").alias("_rep"))
+    # distance-0 neighbours: the smallest other ids of the row's own copy group
+    copies = (base.join(firsts.withColumnRenamed("id", "nbr_id"), feats)
+              .filter(F.col("nbr_id") != F.col("id"))
+              .select("id", "nbr_id", F.lit(0.0).alias("dist")))
+    reps = groups.select(F.col("_rep").alias("id"), *feats)
+    n_vec = reps.count()
+    cands = copies
+    if n_vec >= 2:
+        vec_nn = _knn_distinct(reps, feats, k, "id", **kw)  # (rep, neighbour rep, dist)
+        small = groups.filter(F.col("_s") <= k).select(F.col("_rep").alias("id"))
+        vec_nn = vec_nn.join(small, "id", "left_semi")
+        members = firsts.join(groups.select(*feats, "_rep"), feats).select(F.col("_rep").alias("nbr_rep"),
+                                                                           F.col("id").alias("nbr_id"))
+        other = (vec_nn.select(F.col("id").alias("_rep"), F.col("nbr_id").alias("nbr_rep"), "dist")
+                 .join(members, "nbr_rep").drop("nbr_rep"))
+        rows_small = base.join(groups.filter(F.col("_s") <= k).select(*feats, "_rep"), feats).select("id", "_rep")
+        cands = cands.unionByName(rows_small.join(other, "_rep").select("id", "nbr_id", "dist"))
+    n = base.count()
+    k_eff = min(k, n - 1)
+    return (cands.withColumn("nn", F.row_number().over(Window.partitionBy("id").orderBy("dist", "nbr_id")))
+            .filter(F.col("nn") <= k_eff).select("id", "nbr_id", "nn", "dist"))
+
+
 def smote(df: DataFrame, label_col: str, features: list[str], minority: int = 1, k: int = 3,
           seed: int = 42, key_col: str = "id") -> DataFrame:
     """M7: add synthetic minority rows until the two classes balance.
