@@ -102,12 +102,11 @@ def prefix_sums(df: DataFrame, order_col, value_cols: list[str], partitions: int
     bounded table) give each partition's offset, added by a broadcast join.
     ``order_col`` (a name or a list of names) must be unique per row.
     """
-    from vigilo.session import ensure_checkpoint_dir
+    from vigilo.session import pin
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [order_col] if isinstance(order_col, str) else list(order_col)
-    ensure_checkpoint_dir(spark)
-    ranged = df.repartitionByRange(n, *order).checkpoint(eager=True).withColumn("_pid", F.spark_partition_id())
+    ranged = pin(df.repartitionByRange(n, *order)).withColumn("_pid", F.spark_partition_id())
     w_local = Window.partitionBy("_pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     local = ranged.select("*", *[F.coalesce(F.sum(c).over(w_local), F.lit(0)).alias(f"_loc_{c}") for c in value_cols])
     totals = ranged.groupBy("_pid").agg(*[F.sum(c).alias(f"_tot_{c}") for c in value_cols])

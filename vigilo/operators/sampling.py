@@ -98,12 +98,10 @@ def _knn_distinct(df: DataFrame, features: list[str], k: int = 3, key_col: str =
                       for j, u in enumerate(dirs)])
     for j in range(m):
         pts = dense_positions(pts, [f"_u{j}", "id"], out_col=f"pos{j}")
-    from vigilo.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(spark)
+    from vigilo.session import pin
     # reliable checkpoint (shared folder): short lineage for the rounds, survives executor loss
-    pts = pts.select("id", *[f"pos{j}" for j in range(m)],
-                     F.struct(*[F.col(c) for c in feats], *[F.col(f"_u{j}") for j in range(m)]).alias("v")
-                     ).checkpoint(eager=True)
+    pts = pin(pts.select("id", *[f"pos{j}" for j in range(m)],
+                         F.struct(*[F.col(c) for c in feats], *[F.col(f"_u{j}") for j in range(m)]).alias("v")))
     df.unpersist()
     n = pts.count()
     k_eff = min(k, n - 1)
@@ -147,8 +145,7 @@ def _knn_distinct(df: DataFrame, features: list[str], k: int = 3, key_col: str =
         done.append(ranked.filter("ok").select("id", "nbr_id", "nn", "dist"))
         open_ids = ranked.filter(~F.col("ok")).select("id").distinct()
         # checkpoint the (small) open set: every round starts from a short lineage
-        open_rows = (pts.join(open_ids, "id", "left_semi").select("id", *[f"pos{j}" for j in range(m)])
-                     .checkpoint(eager=True))
+        open_rows = pin(pts.join(open_ids, "id", "left_semi").select("id", *[f"pos{j}" for j in range(m)]))
         if open_rows.count() == 0 or w >= n:
             break
         w *= growth
@@ -173,11 +170,10 @@ def knn_within(df: DataFrame, features: list[str], k: int = 3, key_col: str = "i
     Returns (id, nbr_id, nn, dist), nn = 1..min(k, n-1).
     """
     from vigilo.operators.topk import top_k_per_group
-    from vigilo.session import ensure_checkpoint_dir
+    from vigilo.session import pin
     feats = list(features)
-    ensure_checkpoint_dir(df.sparkSession)
     # read by the copy grouping, the counts, the distinct search and the final joins: pin it once
-    base = df.select(F.col(key_col).alias("id"), *feats).checkpoint(eager=True)
+    base = pin(df.select(F.col(key_col).alias("id"), *feats))
     firsts = top_k_per_group(base, feats, [F.asc("id")], k + 1, rank_col="_r").select(*feats, "id")
     groups = base.groupBy(*feats).agg(F.count(F.lit(1)).alias("_s"), F.min("id").alias("_rep"))
     # distance-0 neighbours: the smallest other ids of the row's own copy group
@@ -228,9 +224,8 @@ def smote(df: DataFrame, label_col: str, features: list[str], minority: int = 1,
     nbrs = (nn.join(nbr_feats, "nbr_id")
             .groupBy("id").agg(F.sort_array(F.collect_list(F.struct("nn", "nb"))).alias("nbrs")))  # <= k each
     parents = dense_positions(mino.select(F.col(key_col).alias("id"), *feats), ["id"]).join(nbrs, "id")
-    from vigilo.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    parents = parents.checkpoint(eager=True)  # minority rows + positions + neighbours: cut the lineage once
+    from vigilo.session import pin
+    parents = pin(parents)  # minority rows + positions + neighbours: cut the lineage once
     reps = ((F.lit(need - 1) - F.col("pos")) / F.lit(n_min)).cast("long") + 1
     syn = (parents.filter(F.col("pos") < need)
            .select("*", F.explode(F.sequence(F.lit(0), reps - 1)).alias("_m"))

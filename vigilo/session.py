@@ -44,3 +44,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="vigilo-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def pin(df):
+    """Reliable checkpoint of ``df`` computed once.
+
+    ``checkpoint()`` writes with a second job that recomputes its input
+    unless it is cached, so the input is persisted first, written to the
+    shared checkpoint folder, and the cache released: the returned frame
+    reads the checkpoint files (short lineage, survives executor loss).
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    cached = df.persist()
+    try:
+        return cached.checkpoint(eager=True)
+    finally:
+        cached.unpersist()
