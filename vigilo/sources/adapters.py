@@ -12,12 +12,9 @@ them.
 
 from __future__ import annotations
 
-import datetime as _dt
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vigilo.functions import rint_round
 from vigilo.operators.topk import top_k_per_group
 
 # A calendar is a bounded dimension: refuse anything longer than a century.
@@ -83,7 +80,6 @@ def periods_from_orders(orders: DataFrame, customer: DataFrame, n_terms: int = N
                       F.to_date("o_orderdate").alias("_d"))
     latest = top_k_per_group(o, ["o_custkey"], [F.desc("_d"), F.desc("o_orderkey")],
                              k=n_terms + 1, rank_col="back", salt_buckets=salt_buckets)
-    from pyspark.sql import Window
     w = Window.partitionBy("o_custkey").orderBy("_d", "o_orderkey")
     latest = latest.withColumn("_prev", F.lag("_d").over(w)).filter(F.col("back") <= n_terms)
     status = F.coalesce(

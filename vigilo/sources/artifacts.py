@@ -10,7 +10,6 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
 from vigilo.operators.iforest import IsolationForestModel
