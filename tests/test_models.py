@@ -127,3 +127,25 @@ def test_knn_with_a_hot_copy_group(spark):
     for i, x, y in rnd.sample(pts, 60) + [pts[0], pts[399], pts[-1], pts[-2]]:
         d = sorted((math.dist((x, y), (a, b)), j) for j, a, b in pts if j != i)
         assert [j for _, j in sorted(got[i])] == [j for _, j in d[:3]]
+
+
+def test_status_multiclass_invariants(spark):
+    from vigilo.operators import boosting as G
+    rows = []
+    for i in range(240):
+        lab = i % 3
+        rows.append((i, float(lab * 10 + (i % 7)), lab if i % 5 else (lab + 1) % 3, float((i * 37) % 1000),
+                     i % 3, i % 2, i % 4, lab))
+    df = spark.createDataFrame(rows, "id long, days_since_last_payment double, previous_term_status int, "
+                                     "total_outstanding double, income_encoded int, transport_user int, "
+                                     "sibling_count int, label int")
+    w = S.class_weights(df, "label", "fixed", minority=2, factor=4.0)
+    m = G.fit_status_multiclass(w, weight_col="weight", maxIter=5, maxDepth=3)
+    p = m.predict(df).select("p_0", "p_1", "p_2", "label_pred").collect()
+    for r in p:
+        assert r["p_0"] + r["p_1"] + r["p_2"] == pytest.approx(1.0)
+        want = 2 if r["p_2"] >= 0.5 else (0 if r["p_0"] >= r["p_1"] else 1)
+        assert r["label_pred"] == want
+    imp = m.importances(spark).collect()
+    assert sum(x["importance"] for x in imp) == pytest.approx(1.0, abs=1e-6)
+    assert [x["rank"] for x in imp] == list(range(1, 7))

@@ -41,7 +41,9 @@ def test_pipeline_end_to_end(spark, tmp_path):
     bad = prof.filter((F.col("risk_score") < 0) | (F.col("risk_score") > 100) | (F.col("fee_prob") < 0)
                       | (F.col("fee_prob") > 100)).count()
     assert bad == 0
-    assert {x["tbl"] for x in r.gate.collect()} == {"attendance_features", "fee_features", "all"}
+    gate = {x["tbl"]: x["passed"] for x in r.gate.collect()}
+    assert set(gate) == {"attendance_features", "fee_features", "presence", "periods", "all"}
+    assert gate["presence"] and gate["periods"]            # key preconditions hold on the adapters
     for name in ("status_report", "default_binary_metrics", "status_importances", "anomaly_gate"):
         assert spark.read.parquet(f"{out}/evaluation/{name}").count() > 0
     assert os.path.isdir(f"{out}/models/anomaly/nodes") and os.path.isdir(f"{out}/models/status_multiclass/class_2")

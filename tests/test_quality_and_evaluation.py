@@ -70,3 +70,13 @@ def test_positions_are_a_permutation_on_cached_input_with_ties(spark):
     assert sorted(pos["pos"]) == list(range(3000))
     want = pos.sort_values(["v", "id"])["id"].tolist()
     assert pos.sort_values("pos")["id"].tolist() == want
+
+
+def test_unique_key_precondition(spark):
+    import datetime as dt
+    d = dt.date(2024, 1, 1)
+    ok = spark.createDataFrame([("a", d, 1), ("a", d + dt.timedelta(days=1), 0)], "id string, date date, is_present int")
+    bad = ok.unionByName(ok.limit(1))
+    assert Q.check_unique(ok, ["id", "date"], "presence").first()["passed"] is True
+    r = Q.check_unique(bad, ["id", "date"], "presence").first()
+    assert r["passed"] is False and r["observed"] == 2

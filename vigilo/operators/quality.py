@@ -149,3 +149,15 @@ def quality_gate(checks: DataFrame) -> DataFrame:
     overall = err.agg(F.lit("all").alias("tbl"),
                       F.coalesce(F.min(F.col("passed").cast("int")).cast("boolean"), F.lit(True)).alias("passed"))
     return per_table.unionByName(overall)
+
+
+def check_unique(df: DataFrame, keys: list[str], tbl: str) -> DataFrame:
+    """Precondition check: rows sharing a key with another row (e.g. (entity, date), (entity, period)).
+
+    One aggregation on the key (partial counts map-side, so a hot key is
+    counted, not collected); returns one error-severity check row.
+    """
+    dup = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c")).filter(F.col("_c") > 1)
+           .agg(F.coalesce(F.sum("_c"), F.lit(0)).alias("_d")))
+    return dup.select(F.inline(F.array(_row(tbl, "unique_key", ",".join(keys), F.col("_d"), F.lit(0), "error",
+                                            F.col("_d") == 0))))

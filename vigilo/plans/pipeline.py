@@ -43,6 +43,10 @@ def run_pipeline(spark: SparkSession, presence: DataFrame, periods: DataFrame, d
                  labels: DataFrame | None, out_dir: str, gbt_iters: int | None = None,
                  n_trees: int = 100) -> PipelineResult:
     """presence (id, date, is_present), periods (id, term, ...), dim (id, class), labels (id, is_anomaly)."""
+    # 0. key preconditions of the ordered features (checked, not assumed)
+    key_checks = Q.check_unique(presence, ["id", "date"], "presence").unionByName(
+        Q.check_unique(periods, ["id", "term"], "periods"))
+
     # 1. features, written once (the durable hand-off points of the reference)
     att = A.presence_features(presence)
     if labels is not None:
@@ -57,6 +61,7 @@ def run_pipeline(spark: SparkSession, presence: DataFrame, periods: DataFrame, d
     checks = Q.presence_checks(att.withColumnRenamed("id", "student_id")) if labels is not None else None
     fee_checks = Q.period_checks(fee.withColumnRenamed("id", "student_id"))
     checks = fee_checks if checks is None else checks.unionByName(fee_checks)
+    checks = checks.unionByName(key_checks)
     gate = Q.quality_gate(checks)
 
     # 3. anomaly model: standardise -> forest -> contamination offset
