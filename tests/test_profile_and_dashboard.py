@@ -99,3 +99,27 @@ def test_alert_feed_precedence_and_class_sort(spark):
     assert [(r["id"], r["type"]) for r in feed] == [(1, "Attendance Anomaly"), (2, "Fee Default"), (4, "Attendance Anomaly")]
     assert feed[0]["detail"] == "Risk 55.5" and feed[1]["detail"] == "70.1% default prob"
     assert [r["class"] for r in B.class_breakdown(df).collect()] == ["10A", "6A", "9B"]   # string order
+
+
+def test_topk_salted_equals_group_limit(spark):
+    from vigilo.operators.topk import top_k_per_group
+    df = spark.range(3000).select((F.when(F.col("id") < 1000, 0).otherwise(F.col("id") % 50)).alias("g"),
+                                  F.col("id"), (F.pmod(F.xxhash64("id"), F.lit(997))).alias("v"))
+    order = [F.desc("v"), F.asc("id")]
+    a = top_k_per_group(df, ["g"], order, 4).select("g", "id", "rank")
+    b = top_k_per_group(df, ["g"], order, 4, salt_buckets=16).select("g", "id", "rank")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    assert a.filter("g = 0").count() == 4
+
+
+def test_analytics_bundle_parts(prof):
+    parts = B.analytics_bundle(prof, top=2)
+    assert set(parts) == {"kpis", "risk_distribution", "fee_distribution", "attendance_histogram",
+                          "class_breakdown", "top_risk_students", "recent_activity"}
+    assert parts["top_risk_students"].count() == 2 and parts["attendance_histogram"].count() == 6
+
+
+def test_cluster_conf():
+    from vigilo.session import cluster_conf
+    c = cluster_conf(100 << 40, executor_cores=8, executors=1000)
+    assert int(c["spark.sql.shuffle.partitions"]) == 409600 and "spark.checkpoint.dir" not in c

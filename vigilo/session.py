@@ -60,3 +60,28 @@ def pin(df):
         return cached.checkpoint(eager=True)
     finally:
         cached.unpersist()
+
+
+def cluster_conf(input_bytes: int, executor_cores: int, executors: int,
+                 target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings to start from on a cluster, sized from the input volume.
+
+    Shuffle partitions are sized so a post-shuffle partition is about
+    ``target_partition_bytes`` (AQE then coalesces small ones and splits
+    skewed ones); scans read ``target_partition_bytes`` splits. The
+    checkpoint folder is NOT set here: it must come from the deployment
+    (a shared file system), see :func:`ensure_checkpoint_dir`.
+    """
+    slots = max(1, executor_cores * executors)
+    partitions = max(slots * 2, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.shuffle.partitions": str(int(partitions)),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.parquet.aggregatePushdown": "true",
+        "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.sql.session.timeZone": "UTC",
+    }
