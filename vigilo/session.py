@@ -41,7 +41,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="vigilo-ckpt-")
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder (HDFS/S3/...) for the cluster")
+        configured = tempfile.mkdtemp(prefix="vigilo-ckpt-")  # local mode only (tests)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
