@@ -179,13 +179,31 @@ class IsolationForest:
         return picked.select("tree", *self.features), psi
 
     def fit(self, df: DataFrame) -> IsolationForestModel:
+        return self.fit_score(df, keep=[])[0]
+
+    def fit_score(self, df: DataFrame, keep: list[str] | None = None) -> tuple[IsolationForestModel, DataFrame]:
+        """Fit, and score the training rows once: the same pass gives the offset and the decisions.
+
+        Returns the model and the training rows (key, ``keep`` columns, score,
+        decision, is_flagged), pinned in the checkpoint folder — the forest
+        walk over every row is the costly part, so it is not repeated.
+        """
+        from vigilo.session import pin
+        keep = [c for c in (keep if keep is not None else df.columns) if c not in (self.key_col, *self.features)]
         # the training table (one row per entity) is read by the count, the
-        # sampling and the offset pass: keep it for the duration of the fit
-        df = df.select(self.key_col, *self.features).persist()
+        # sampling and the scoring pass: keep it for the duration of the fit
+        data = df.select(self.key_col, *self.features, *keep).persist()
         try:
-            return self._fit(df)
+            model = self._fit(data)
+            scored = pin(model.score_samples(data))
         finally:
-            df.unpersist()
+            data.unpersist()
+        if self.contamination is not None:
+            from vigilo.operators.thresholds import contamination_offset
+            model.offset = contamination_offset(scored, "score", self.contamination)
+            d = F.col("score") - F.lit(float(model.offset))
+            scored = scored.withColumn("decision", d).withColumn("is_flagged", d < 0)
+        return model, scored
 
     def _fit(self, df: DataFrame) -> IsolationForestModel:
         n = df.count()
@@ -207,9 +225,4 @@ class IsolationForest:
 
         nodes = sample.groupBy("tree").applyInPandas(build, NODE_SCHEMA)
         node_pdf = nodes.toPandas()  # <= n_trees * (2 * psi - 1) rows: bounded by parameters
-        model = IsolationForestModel(self.features, psi, node_pdf)
-        if self.contamination is not None:
-            from vigilo.operators.thresholds import contamination_offset
-            model.offset = contamination_offset(model.score_samples(df.select(*self.features)), "score",
-                                                self.contamination)
-        return model
+        return IsolationForestModel(self.features, psi, node_pdf)

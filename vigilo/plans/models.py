@@ -119,18 +119,20 @@ def m2(spark, sf):
     return spark.createDataFrame(m.nodes)
 
 
+def _forest_scored(spark, sf):
+    z = _z(spark, sf)
+    return IsolationForest(PRESENCE_FEATURES, n_trees=QUERY_TREES, max_samples=256, contamination=0.1,
+                           seed=42).fit_score(z, keep=[])[1]
+
+
 @register("m3_decision_score")
 def m3(spark, sf):
-    z = _z(spark, sf)
-    m = _forest(spark, sf, z)
-    return m.decision(z).select("id", "score", "decision", "is_flagged")
+    return _forest_scored(spark, sf).select("id", "score", "decision", "is_flagged")
 
 
 def flag_anomalies(spark, sf):
-    """Standardise -> forest -> offset -> risk -> tier."""
-    z = _z(spark, sf)
-    m = _forest(spark, sf, z)
-    d = m.decision(z)
+    """Standardise -> forest (fit + one scoring pass) -> offset -> risk -> tier."""
+    d = _forest_scored(spark, sf)
     risk = TH.risk_from_decision("decision")
     return d.select(F.col("id").alias("student_id"), rint_round(risk, 2).alias("risk_score"),
                     "is_flagged", risk_tier(risk).alias("risk_level"))

@@ -68,12 +68,15 @@ def run_pipeline(spark: SparkSession, presence: DataFrame, periods: DataFrame, d
     feats = att.fillna(0.0, ["day_of_week_variance"])
     scaler = fit_standardizer(feats, PRESENCE_FEATURES)
     z = scaler.transform(feats)
-    forest = AR.load_or_fit(spark, f"{out_dir}/models/anomaly",
-                            AR.load_forest,
-                            lambda: IsolationForest(PRESENCE_FEATURES, n_trees=n_trees).fit(z),
-                            AR.save_forest)
+    fitted = {}
+
+    def fit_forest():
+        model, fitted["scored"] = IsolationForest(PRESENCE_FEATURES, n_trees=n_trees).fit_score(z, keep=[])
+        return model
+    forest = AR.load_or_fit(spark, f"{out_dir}/models/anomaly", AR.load_forest, fit_forest, AR.save_forest)
     AR.save_standardizer(spark, scaler, f"{out_dir}/models/anomaly_scaler")
-    scored_att = forest.decision(z)
+    # a fresh fit already scored the training rows; a loaded model scores them now
+    scored_att = fitted["scored"] if "scored" in fitted else forest.decision(z)
     risk = TH.risk_from_decision("decision")
     att_scored = feats.join(scored_att.select("id", risk.alias("risk_raw"), F.col("is_flagged").alias("is_anomaly_pred")), "id")
 
