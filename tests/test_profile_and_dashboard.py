@@ -123,3 +123,13 @@ def test_cluster_conf():
     from vigilo.session import cluster_conf
     c = cluster_conf(100 << 40, executor_cores=8, executors=1000)
     assert int(c["spark.sql.shuffle.partitions"]) == 409600 and "spark.checkpoint.dir" not in c
+
+
+def test_entity_detail_unknown_and_nested(spark, prof):
+    import datetime as dt
+    pres = spark.createDataFrame([(1, dt.date(2024, 1, d), d % 2) for d in range(1, 6)],
+                                 "id long, date date, is_present int")
+    d = D.entity_detail(prof, pres, 1, n=3).first()
+    assert [h["date"].day for h in d["history"]] == [3, 4, 5]
+    assert D.entity_detail(prof, pres, 999).count() == 0
+    assert D.entity_detail(prof, pres, 2).first()["history"] == []

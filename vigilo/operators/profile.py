@@ -263,3 +263,24 @@ def risk_reasons(profile: DataFrame) -> DataFrame:
     ))
     return profile.select("id", att.alias("attendance_reasons"), fee.alias("fee_reasons"),
                           ((F.size(att) == 0) & (F.size(fee) == 0)).alias("no_risk"))
+
+
+def list_students(profile: DataFrame, q: str = "", segment: str = "all") -> DataFrame:
+    """D5 + D6 as one directory call: literal search, then segment filter (table order kept by id)."""
+    return filter_segment(search(profile, q), segment)
+
+
+def entity_detail(profile: DataFrame, presence: DataFrame, entity_id, n: int = 30,
+                  id_col: str = "id", date_col: str = "date", flag_col: str = "is_present") -> DataFrame:
+    """D9 + D10 nested: the entity's profile row with its last ``n`` presence rows as an ascending array.
+
+    Both sides are filtered on the id before anything else (pushed to the
+    scans); unknown id -> no row.
+    """
+    row = lookup(profile, entity_id)
+    hist = (history(presence, entity_id, n, id_col, date_col)
+            .groupBy(F.col(id_col).alias("id"))
+            .agg(F.sort_array(F.collect_list(F.struct(F.col(date_col).alias("date"),
+                                                      F.col(flag_col).alias("is_present")))).alias("history")))
+    return row.join(hist, "id", "left").withColumn(
+        "history", F.coalesce(F.col("history"), F.array().cast("array<struct<date:date,is_present:int>>")))

@@ -564,3 +564,16 @@ def s5(spark, sf):
     return back.select("student_id", r6("attendance_rate").alias("attendance_rate"), "longest_absence_streak",
                        "absence_in_last_30_days", r6("day_of_week_variance").alias("day_of_week_variance"),
                        "is_anomaly")
+
+
+@register("d6_list_students")
+def d6l(spark, sf):
+    return D.list_students(profile(_t(spark, sf)), SEARCH_TEXT, "safe").select("id", "name", "fee_label")
+
+
+@register("d9_entity_detail")
+def d9d(spark, sf):
+    t = _t(spark, sf)
+    d = D.entity_detail(profile(t), t.presence, LOOKUP_ID, n=RECENT_N_TEST)
+    return d.select("id", "name", "risk_score", F.array_join(F.transform("history", lambda x: F.concat(
+        x["date"].cast("string"), F.lit(":"), x["is_present"].cast("string"))), ",").alias("history"))

@@ -536,3 +536,12 @@ q("m7_smote_knn", f"""
 q("s5_write_read_features", f"""
   select cast(student_id as varchar) as student_id, {R('attendance_rate')} as attendance_rate, longest_absence_streak,
          absence_in_last_30_days, {R('day_of_week_variance')} as day_of_week_variance, is_anomaly from att""", "att")
+
+q("d6_list_students", """select id, name, fee_label from prof
+  where (contains(lower(name), 'ar') or contains(lower(cast(id as varchar)), 'ar'))
+    and not is_anomaly and fee_label = 0""", "prof")
+q("d9_entity_detail", """
+  select p.id, p.name, p.risk_score, coalesce(h.history, '') as history from prof p left join (
+    select id, string_agg(cast(date as varchar) || ':' || cast(is_present as varchar), ',' order by date) as history
+    from (select * from presence where id = 42 order by date desc limit 10) group by id) h on h.id = p.id
+  where p.id = 42""", "prof", "presence")
