@@ -44,6 +44,7 @@ def test_pipeline_end_to_end(spark, tmp_path):
     gate = {x["tbl"]: x["passed"] for x in r.gate.collect()}
     assert set(gate) == {"attendance_features", "fee_features", "presence", "periods", "all"}
     assert gate["presence"] and gate["periods"]            # key preconditions hold on the adapters
-    for name in ("status_report", "default_binary_metrics", "status_importances", "anomaly_gate"):
+    for name in ("status_report", "default_binary_metrics", "status_importances", "anomaly_gate",
+                 "default_threshold_scan", "default_threshold_pick", "default_risk_scores"):
         assert spark.read.parquet(f"{out}/evaluation/{name}").count() > 0
     assert os.path.isdir(f"{out}/models/anomaly/nodes") and os.path.isdir(f"{out}/models/status_multiclass/class_2")

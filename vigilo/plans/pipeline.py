@@ -101,7 +101,11 @@ def run_pipeline(spark: SparkSession, presence: DataFrame, periods: DataFrame, d
                                            (F.col("default_prob") >= binary.threshold).cast("int").alias("y_pred"),
                                            F.col("default_prob").alias("prob"))
     mp = fee_pred.select("id", F.col("label").alias("y_true"), F.col("label_pred").alias("y_pred"))
+    scan = TH.threshold_scan(bp)
     evaluation = {
+        "default_threshold_scan": scan,
+        "default_threshold_pick": TH.tune_threshold(scan),
+        "default_risk_scores": G.score_default_risk(fee, binary),
         "default_binary_metrics": E.binary_metrics(bp),
         "default_binary_auc": E.roc_auc(bp),
         "default_binary_confusion": E.confusion_matrix(bp),
