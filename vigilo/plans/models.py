@@ -26,6 +26,17 @@ PRESENCE_FEATURES = ["attendance_rate", "longest_absence_streak", "absence_in_la
 QUERY_GBT_ITERS = 10
 QUERY_TREES = 100
 
+# Fitted models shared by the queries of one application and data folder (fits are deterministic,
+# so M11/M12/D12 reuse M9's model and M15 reuses M8's instead of refitting).
+_FITTED: dict[tuple, object] = {}
+
+
+def _memo(spark, sf, name, fit):
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _FITTED:
+        _FITTED[key] = fit()
+    return _FITTED[key]
+
 
 def _z(spark, sf):
     f = presence_feats(_t(spark, sf)).fillna(0.0, ["day_of_week_variance"])
@@ -148,9 +159,11 @@ def m7(spark, sf):
 
 
 def _binary_model(spark, sf):
-    tr = S.smote(_binary_train(spark, sf).select("id", "fee_default", *FP.BINARY_FEATURES),
-                 "fee_default", FP.BINARY_FEATURES, minority=1)
-    return G.fit_default_binary(tr, maxIter=QUERY_GBT_ITERS)
+    def fit():
+        tr = S.smote(_binary_train(spark, sf).select("id", "fee_default", *FP.BINARY_FEATURES),
+                     "fee_default", FP.BINARY_FEATURES, minority=1)
+        return G.fit_default_binary(tr, maxIter=QUERY_GBT_ITERS)
+    return _memo(spark, sf, "default_binary", fit)
 
 
 @register("m8_fit_default_binary")
@@ -161,8 +174,10 @@ def m8(spark, sf):
 
 
 def _multi_model(spark, sf):
-    f = S.class_weights(fee_feats(_t(spark, sf)), "label", "fixed", minority=2, factor=4.0)
-    return G.fit_status_multiclass(f, weight_col="weight", maxIter=QUERY_GBT_ITERS)
+    def fit():
+        f = S.class_weights(fee_feats(_t(spark, sf)), "label", "fixed", minority=2, factor=4.0)
+        return G.fit_status_multiclass(f, weight_col="weight", maxIter=QUERY_GBT_ITERS)
+    return _memo(spark, sf, "status_multiclass", fit)
 
 
 @register("m9_fit_status_multiclass")
