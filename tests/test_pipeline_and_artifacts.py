@@ -48,3 +48,27 @@ def test_pipeline_end_to_end(spark, tmp_path):
                  "default_threshold_scan", "default_threshold_pick", "default_risk_scores"):
         assert spark.read.parquet(f"{out}/evaluation/{name}").count() > 0
     assert os.path.isdir(f"{out}/models/anomaly/nodes") and os.path.isdir(f"{out}/models/status_multiclass/class_2")
+
+
+def test_run_from_reference_style_csv(spark, tmp_path):
+    import datetime as dt
+    from vigilo.plans.run import main
+    pres = ["student_id,date,is_present"]
+    for s in range(1, 31):
+        for d in range(40):
+            day = dt.date(2023, 8, 1) + dt.timedelta(days=d)
+            pres.append(f"STU_{s:03d},{day.isoformat()},{0 if (s * 7 + d) % (3 + s % 5) == 0 else 1}")
+    (tmp_path / "presence.csv").write_text("\n".join(pres) + "\n")
+    per = ["student_id,term,status,days_since_last_payment,family_income_bracket,transport_user,sibling_count,total_outstanding"]
+    for s in range(1, 31):
+        for t in (1, 2, 3):
+            st = (s + t) % 3
+            per.append(f"STU_{s:03d},{t},{st},{[0, 20, 60][st]},{['High', 'Medium', 'Low'][s % 3]},{s % 2},{s % 4},{[0, 900, 3000][st]}")
+    (tmp_path / "periods.csv").write_text("\n".join(per) + "\n")
+    lab = ["student_id,class,is_anomaly"] + [f"STU_{s:03d},{['6A', '10B'][s % 2]},{1 if s % 7 == 0 else 0}" for s in range(1, 31)]
+    (tmp_path / "labels.csv").write_text("\n".join(lab) + "\n")
+    r = main(["--presence", str(tmp_path / "presence.csv"), "--periods", str(tmp_path / "periods.csv"),
+              "--labels", str(tmp_path / "labels.csv"), "--out", str(tmp_path / "out"), "--gbt-iters", "3",
+              "--trees", "20"], spark=spark)
+    prof = {x["id"]: x for x in r.profile.collect()}
+    assert len(prof) == 30 and prof["STU_001"]["name"] == "Aarav Sharma" and prof["STU_002"]["student_class"] == "6A"

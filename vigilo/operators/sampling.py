@@ -14,14 +14,18 @@ from vigilo.operators.evaluation import dense_positions
 
 
 def stratified_split(df: DataFrame, label_col: str, test_fraction: float = 0.2, seed: int = 42,
-                     key_col: str = "id", portable: bool = True) -> DataFrame:
+                     key_col: str = "id", portable: bool | None = None) -> DataFrame:
     """M6: adds ``split`` = 'test' / 'train'; every class is split at ``test_fraction``.
 
     A row is in the test set when the uniform hash of its key falls below
     the fraction, which stratifies every class in expectation with no
-    shuffle at all (a per-row projection). ``portable`` uses an integer
-    multiplicative hash (integral keys) that SQL engines reproduce.
+    shuffle at all (a per-row projection). Integral keys use an integer
+    multiplicative hash that SQL engines reproduce (``portable``, the
+    default for them); other keys (e.g. 'STU_001') use ``xxhash64``.
     """
+    from pyspark.sql import types as T
+    if portable is None:
+        portable = isinstance(df.schema[key_col].dataType, (T.IntegerType, T.LongType, T.ShortType, T.ByteType))
     u = portable_unit_hash(key_col, seed) if portable else unit_hash(key_col, seed=seed)
     return df.withColumn("split", F.when(u < F.lit(float(test_fraction)), "test").otherwise("train"))
 
