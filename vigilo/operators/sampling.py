@@ -146,10 +146,12 @@ def _knn_distinct(df: DataFrame, features: list[str], k: int = 3, key_col: str =
         status = kth.join(bound, "id", "left").select(
             "id", ((F.col("got") >= k_eff) & (covered | (F.col("kth") < F.col("bound")))).alias("ok"))
         ranked = ranked.join(status, "id").persist()
-        done.append(ranked.filter("ok").select("id", "nbr_id", "nn", "dist"))
+        # finished rows and the (small) open set are pinned: every round starts from a short lineage,
+        # and the round's cache is released
+        done.append(pin(ranked.filter("ok").select("id", "nbr_id", "nn", "dist")))
         open_ids = ranked.filter(~F.col("ok")).select("id").distinct()
-        # checkpoint the (small) open set: every round starts from a short lineage
         open_rows = pin(pts.join(open_ids, "id", "left_semi").select("id", *[f"pos{j}" for j in range(m)]))
+        ranked.unpersist()
         if open_rows.count() == 0 or w >= n:
             break
         w *= growth

@@ -39,17 +39,16 @@ def presence_from_events(events: DataFrame, id_col: str = "user_id", ts_col: str
     (partial aggregation map-side, so a hot entity ships at most one set per
     map task, each bounded by the calendar length). Each entity row then
     emits its present days and the calendar minus them (``array_except``,
-    a hash set difference — O(days), no per-day probing). The day set is
-    computed once and cached; only its 2-value span reaches the driver,
-    checked against ``max_calendar_days`` before the day set is broadcast. The output is
+    a hash set difference — O(days), no per-day probing). Only the 2-value
+    calendar span reaches the driver (min/max of the raw timestamp column,
+    answerable from file footers), checked against ``max_calendar_days``
+    before the day set is broadcast. The output is
     partitioned by entity, which the feature window reuses.
     """
     day = F.to_date(F.col(ts_col))
-    # the day set is small (one row per calendar day with any event): computed once by the span query and
-    # reused (cached) by the grid's semi-join — no separate scan of the events for the bounds. Deterministic,
-    # so a lost cached block is simply recomputed.
-    event_days = events.select(day.alias("date")).filter(F.col("date").isNotNull()).distinct().persist()
-    span = event_days.agg(F.min("date").alias("lo"), F.max("date").alias("hi")).first()
+    # span from min/max of the raw column (answerable from Parquet footers with aggregate pushdown);
+    # to_date is monotone, so the date of the min/max timestamp is the min/max date
+    span = events.agg(F.to_date(F.min(ts_col)).alias("lo"), F.to_date(F.max(ts_col)).alias("hi")).first()
     if span is None or span["lo"] is None:
         return events.select(F.col(id_col).alias("id"), day.alias("date"),
                              F.lit(1).alias("is_present")).limit(0)
@@ -57,6 +56,7 @@ def presence_from_events(events: DataFrame, id_col: str = "user_id", ts_col: str
     n_days = (hi - lo).days + 1
     if n_days > max_calendar_days:
         raise ValueError(f"calendar of {n_days} days exceeds the bound {max_calendar_days}")
+    event_days = events.select(day.alias("date")).filter(F.col("date").isNotNull()).distinct()  # <= n_days rows
     per_entity = events.groupBy(F.col(id_col).alias("id")).agg(F.collect_set(day).alias("_days"))
     # present days as 1, the rest of the calendar (hash-based set difference, O(days)) as 0
     calendar = F.sequence(F.lit(lo), F.lit(hi))
