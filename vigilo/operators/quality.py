@@ -145,13 +145,13 @@ def sample_top_anomalies(df: DataFrame, n: int = 5, label_col: str = "is_anomaly
 def quality_gate(checks: DataFrame) -> DataFrame:
     """Q8: per table and overall, true when every error-severity check passed.
 
-    The overall row is aggregated from the per-table rows (a handful), so
-    both outputs share one pass over the check rows.
+    One ``rollup(tbl)`` aggregation yields the per-table rows and the
+    grand total together — a single pass over the check rows.
     """
     err = checks.filter(F.col("severity") == "error")
-    per_table = err.groupBy("tbl").agg(F.min(F.col("passed").cast("int")).alias("_ok"))
-    overall = per_table.agg(F.lit("all").alias("tbl"), F.coalesce(F.min("_ok"), F.lit(1)).alias("_ok"))
-    return per_table.unionByName(overall).select("tbl", F.col("_ok").cast("boolean").alias("passed"))
+    rolled = err.rollup("tbl").agg(F.min(F.col("passed").cast("int")).alias("_ok"), F.grouping("tbl").alias("_all"))
+    return rolled.select(F.when(F.col("_all") == 1, F.lit("all")).otherwise(F.col("tbl")).alias("tbl"),
+                         F.coalesce(F.col("_ok"), F.lit(1)).cast("boolean").alias("passed"))
 
 
 def check_unique(df: DataFrame, keys: list[str], tbl: str) -> DataFrame:
