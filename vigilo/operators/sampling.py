@@ -224,13 +224,14 @@ def smote(df: DataFrame, label_col: str, features: list[str], minority: int = 1,
     base = df.withColumn("synthetic", F.lit(False))
     if need <= 0 or n_min < 2:
         return base
-    mino = df.filter(F.col(label_col) == minority)
+    from vigilo.session import pin
+    # the minority rows feed the kNN, the neighbour features and the parent positions: pin them once
+    mino = pin(df.filter(F.col(label_col) == minority).select(key_col, *feats))
     nn = knn_within(mino, feats, k, key_col)
     nbr_feats = mino.select(F.col(key_col).alias("nbr_id"), F.struct(*feats).alias("nb"))
     nbrs = (nn.join(nbr_feats, "nbr_id")
             .groupBy("id").agg(F.sort_array(F.collect_list(F.struct("nn", "nb"))).alias("nbrs")))  # <= k each
     parents = dense_positions(mino.select(F.col(key_col).alias("id"), *feats), ["id"]).join(nbrs, "id")
-    from vigilo.session import pin
     parents = pin(parents)  # minority rows + positions + neighbours: cut the lineage once
     reps = ((F.lit(need - 1) - F.col("pos")) / F.lit(n_min)).cast("long") + 1
     syn = (parents.filter(F.col("pos") < need)
