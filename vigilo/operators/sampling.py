@@ -113,7 +113,7 @@ def _knn_distinct(df: DataFrame, features: list[str], k: int = 3, key_col: str =
         return spark.createDataFrame([], "id long, nbr_id long, nn int, dist double")
     vec = pts.select("id", "v")
     open_rows = pts.select("id", *[f"pos{j}" for j in range(m)])
-    done = []
+    done, cached = [], []
     w = window
     for _ in range(max_rounds):
         cands = []
@@ -146,18 +146,20 @@ def _knn_distinct(df: DataFrame, features: list[str], k: int = 3, key_col: str =
         status = kth.join(bound, "id", "left").select(
             "id", ((F.col("got") >= k_eff) & (covered | (F.col("kth") < F.col("bound")))).alias("ok"))
         ranked = ranked.join(status, "id").persist()
-        # finished rows and the (small) open set are pinned: every round starts from a short lineage,
-        # and the round's cache is released
-        done.append(pin(ranked.filter("ok").select("id", "nbr_id", "nn", "dist")))
+        cached.append(ranked)
+        done.append(ranked.filter("ok").select("id", "nbr_id", "nn", "dist"))
         open_ids = ranked.filter(~F.col("ok")).select("id").distinct()
+        # the (small) open set is pinned: every round starts from a short lineage
         open_rows = pin(pts.join(open_ids, "id", "left_semi").select("id", *[f"pos{j}" for j in range(m)]))
-        ranked.unpersist()
         if open_rows.count() == 0 or w >= n:
             break
         w *= growth
     out = done[0]
     for d in done[1:]:
         out = out.unionByName(d)
+    out = pin(out)  # <= k rows per row, read from the rounds' caches, which are then released
+    for c in cached:
+        c.unpersist()
     return out
 
 
