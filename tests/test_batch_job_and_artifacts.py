@@ -1,4 +1,4 @@
-"""S7–S9 artifacts and the batch pipeline end to end (small scale, few iterations)."""
+"""S7–S9 artifacts and the batch job end to end (small scale, few iterations)."""
 import os
 
 import pytest
@@ -29,12 +29,12 @@ def test_forest_save_load_and_load_or_fit(spark, tmp_path):
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="test data absent")
-def test_pipeline_end_to_end(spark, tmp_path):
-    from vigilo.plans.pipeline import run_pipeline
+def test_batch_job_end_to_end(spark, tmp_path):
+    from vigilo.plans.batch_job import run_batch_job
     from vigilo.sources.adapters import TestTables, anomaly_labels
     t = TestTables(spark, SF)
     out = str(tmp_path / "run")
-    r = run_pipeline(spark, t.presence, t.periods, t.dim, anomaly_labels(t.presence), out, gbt_iters=3, n_trees=20)
+    r = run_batch_job(spark, t.presence, t.periods, t.dim, anomaly_labels(t.presence), out, gbt_iters=3, n_trees=20)
     prof = r.profile
     assert prof.count() == t.presence.select("id").distinct().count()
     assert set(prof.columns) >= {"id", "name", "student_class", "risk_score", "fee_prob", "is_anomaly"}

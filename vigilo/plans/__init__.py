@@ -1 +1 @@
-"""Composed plans: the registered queries, their SQL twins and the batch pipeline."""
+"""Composed plans: the registered queries, their SQL twins and the batch job."""

@@ -1,4 +1,4 @@
-"""The batch pipeline (reference entry points A and B) as Spark jobs.
+"""The batch job (reference entry points A and B) as Spark jobs.
 
 features -> quality gate -> train both models -> evaluate -> scored profile,
 with Parquet only at the durable points (features, models, profile,
@@ -30,7 +30,7 @@ PRESENCE_FEATURES = ["attendance_rate", "longest_absence_streak", "absence_in_la
 
 
 @dataclass
-class PipelineResult:
+class BatchJobResult:
     presence_features: DataFrame
     period_features: DataFrame
     checks: DataFrame
@@ -39,9 +39,9 @@ class PipelineResult:
     evaluation: dict
 
 
-def run_pipeline(spark: SparkSession, presence: DataFrame, periods: DataFrame, dim: DataFrame | None,
+def run_batch_job(spark: SparkSession, presence: DataFrame, periods: DataFrame, dim: DataFrame | None,
                  labels: DataFrame | None, out_dir: str, gbt_iters: int | None = None,
-                 n_trees: int = 100) -> PipelineResult:
+                 n_trees: int = 100) -> BatchJobResult:
     """presence (id, date, is_present), periods (id, term, ...), dim (id, class), labels (id, is_anomaly)."""
     # 0. key preconditions of the ordered features (checked, not assumed)
     key_checks = Q.check_unique(presence, ["id", "date"], "presence").unionByName(
@@ -126,4 +126,4 @@ def run_pipeline(spark: SparkSession, presence: DataFrame, periods: DataFrame, d
     prof = D.build_profile(att_scored, fee_pred, dim)
     prof.write.mode("overwrite").parquet(f"{out_dir}/profile")
     profile = spark.read.parquet(f"{out_dir}/profile")
-    return PipelineResult(att, fee, checks, gate, profile, evaluation)
+    return BatchJobResult(att, fee, checks, gate, profile, evaluation)

@@ -5,7 +5,7 @@ threshold rules, threshold tuning, the exact kNN of oversampling) have SQL
 twins. Fitted models (forest, boosted trees, synthetic rows) are checked on
 rows and invariants. Registered GBT fits use a reduced iteration budget
 (``QUERY_GBT_ITERS``) so the whole registry runs in minutes; the training
-pipeline (``vigilo.plans.pipeline``) uses the reference's parameters.
+batch job (``vigilo.plans.batch_job``) uses the reference's parameters.
 """
 
 from __future__ import annotations

@@ -1,4 +1,4 @@
-"""Run the batch pipeline on presence / period / label files (CSV or Parquet).
+"""Run the batch job on presence / period / label files (CSV or Parquet).
 
     python -m vigilo.plans.run --presence P --periods Q [--labels L] --out DIR [--gbt-iters N] [--trees T]
 
@@ -15,7 +15,7 @@ import argparse
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from vigilo.plans.pipeline import run_pipeline
+from vigilo.plans.batch_job import run_batch_job
 from vigilo.sources.readers import read_entity_dim, read_periods, read_presence, require_inputs
 
 
@@ -29,7 +29,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None):
     ap.add_argument("--trees", type=int, default=100)
     args = ap.parse_args(argv)
 
-    spark = spark or SparkSession.builder.appName("vigilo-pipeline").getOrCreate()
+    spark = spark or SparkSession.builder.appName("vigilo-batch").getOrCreate()
     require_inputs(spark, {args.presence: "the presence export", args.periods: "the period export"})
     presence = read_presence(spark, args.presence).withColumnRenamed("student_id", "id")
     periods = read_periods(spark, args.periods).withColumnRenamed("student_id", "id")
@@ -41,7 +41,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None):
             dim = d.select("id", "class")
             if d.filter(F.col("is_anomaly").isNotNull()).limit(1).count():
                 labels = d.select("id", "is_anomaly")
-    result = run_pipeline(spark, presence, periods, dim, labels, args.out, gbt_iters=args.gbt_iters,
+    result = run_batch_job(spark, presence, periods, dim, labels, args.out, gbt_iters=args.gbt_iters,
                           n_trees=args.trees)
     for row in result.gate.collect():
         print(f"quality {row['tbl']}: {'passed' if row['passed'] else 'FAILED'}")
