@@ -42,7 +42,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None):
             if d.filter(F.col("is_anomaly").isNotNull()).limit(1).count():
                 labels = d.select("id", "is_anomaly")
     result = run_batch_job(spark, presence, periods, dim, labels, args.out, gbt_iters=args.gbt_iters,
-                          n_trees=args.trees)
+                           n_trees=args.trees)
     for row in result.gate.collect():
         print(f"quality {row['tbl']}: {'passed' if row['passed'] else 'FAILED'}")
     return result
