@@ -48,6 +48,11 @@ def test_batch_job_end_to_end(spark, tmp_path):
                  "default_threshold_scan", "default_threshold_pick", "default_risk_scores"):
         assert spark.read.parquet(f"{out}/evaluation/{name}").count() > 0
     assert os.path.isdir(f"{out}/models/anomaly/nodes") and os.path.isdir(f"{out}/models/status_multiclass/class_2")
+    from vigilo.operators.profile import history
+    store = spark.read.parquet(f"{out}/presence_history")
+    h = history(store, 3, n=5)
+    assert "EqualTo(id,3)" in h._jdf.queryExecution().executedPlan().toString()   # pushed to the scan
+    assert [r["date"] for r in h.collect()] == sorted(r["date"] for r in h.collect()) and h.count() == 5
 
 
 def test_run_from_reference_style_csv(spark, tmp_path):
