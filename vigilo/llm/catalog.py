@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from vigilo.llm import minhash
+from vigilo.llm import knn_quality, minhash, quality_rules
 
 QUERIES = {
+    "op4_quality_rules": quality_rules.op4_quality_rules,
     "op5_minhash_near_dedup": minhash.op5_minhash_near_dedup,
+    "op8_nearest_neighbour_quality": knn_quality.op8_nearest_neighbour_quality,
 }
 
 ORACLES = {
+    "op4_quality_rules": quality_rules.ORACLE,
     "op5_minhash_near_dedup": minhash.ORACLE,
 }
