@@ -1,24 +1,59 @@
-"""Training-data pipeline over ``documents``: a list of stages, each written as Parquet and reread by the next."""
+"""Training-data pipeline over ``documents``: a list of stages, each written as Parquet and reread by the next.
+
+Every stage takes ``(spark, docs, sf_dir)`` and works on all rows its predecessor
+kept; all but the last return the columns of ``documents``. Rows with a null
+doc_id have no identity to keep: quality rules drop them with the rejects.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from vigilo.llm import knn_quality, packing
 from vigilo.llm.common import staged, table
 from vigilo.llm.minhash import near_duplicates
+from vigilo.llm.quality_rules import quality_rules
+from vigilo.llm.secret_scan import redact
+
+
+def _only(docs: DataFrame, verdicts: DataFrame, keep: str) -> DataFrame:
+    ids = verdicts.where(keep).select("doc_id")
+    return docs.join(ids, "doc_id", "left_semi").select(*docs.columns)
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules reject go (texts of the others stay as they are)."""
+    return _only(docs, quality_rules(docs), "kept")
 
 
-def _kept_ids(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
-    return docs.join(verdicts.where("kept").select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
+def classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents predicted to be of low quality go; the model is fitted on the labelled rows of the whole table."""
+    model = knn_quality.fit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return _only(docs, knn_quality.score(docs, model), "predicted = 1")
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate class stays."""
-    return _kept_ids(docs, near_duplicates(docs))
+    """One document of each near-duplicate class stays: the one with the smallest id (one row of it)."""
+    return _only(docs, near_duplicates(docs), "kept").dropDuplicates(["doc_id"])
+
+
+def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are replaced by their kind in brackets; no document goes."""
+    return redact(docs)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces of packed sequences."""
+    return packing.pack_documents(docs, public_tokenizers.path(packing.TOKENIZER))
 
 
 STAGES = [
+    ("quality rules", quality_stage),
+    ("quality classifier", classifier_stage),
     ("minhash near-dedup", dedup_stage),
+    ("secret scan", secrets_stage),
+    ("packing", packing_stage),
 ]
 
 
@@ -29,4 +64,4 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
-ORACLE_SQL = None  # the classifier stage has no SQL form; tests compare the stages with brute force
+ORACLE_SQL = None  # the classifier and the tokens have no SQL form; tests compare the stages with brute force

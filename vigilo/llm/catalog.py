@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from vigilo.llm import knn_quality, minhash, quality_rules
+from vigilo.llm import knn_quality, minhash, packing, quality_rules, secret_scan
 
 QUERIES = {
+    "op2_secret_linking": secret_scan.op2_secret_linking,
     "op4_quality_rules": quality_rules.op4_quality_rules,
     "op5_minhash_near_dedup": minhash.op5_minhash_near_dedup,
+    "op6_hierarchical_packing": packing.op6_hierarchical_packing,
     "op8_nearest_neighbour_quality": knn_quality.op8_nearest_neighbour_quality,
 }
 

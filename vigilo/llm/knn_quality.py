@@ -143,8 +143,9 @@ def score(docs: DataFrame, model: Voter | None) -> DataFrame:
                 yield pd.DataFrame({"doc_id": part["doc_id"], "held_out": part["held_out"], "score": s,
                                     "predicted": (s >= 0.5).astype("int32")})
 
-    return (docs.select("doc_id", held_out().alias("held_out"), "text")
-            .mapInPandas(run, "doc_id long, held_out boolean, score double, predicted int"))
+    rows = docs.select(F.col("doc_id").cast("string"), held_out().alias("held_out"), F.col("text").cast("string"))
+    return (rows.mapInPandas(run, "doc_id string, held_out boolean, score double, predicted int")
+            .withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType)))
 
 
 def op8_nearest_neighbour_quality(spark, sf_dir):

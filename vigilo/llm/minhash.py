@@ -132,8 +132,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     another id is there; such rows carry kept = false. Other columns are ignored.
     No rows give no rows.
     """
-    docs = docs.select("doc_id", "text")
-    signed = staged(docs.mapInPandas(_signatures, "doc_id long, n_shingles long, sid long, bands array<long>"), "signed")
+    id_type = docs.schema["doc_id"].dataType
+    docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    # The id travels as text: a null would turn a whole batch of numbers into floats.
+    signed = staged(docs.withColumn("doc_id", F.col("doc_id").cast("string"))
+                    .mapInPandas(_signatures, "doc_id string, n_shingles long, sid long, bands array<long>")
+                    .withColumn("doc_id", F.col("doc_id").cast(id_type)), "signed")
     full = signed.where("n_shingles > 0")
     nodes = full.groupBy("sid").agg(F.first("n_shingles").alias("n"), F.first("bands").alias("bands"),
                                     F.min("doc_id").alias("rep"))
