@@ -33,6 +33,16 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once per row, however the optimizer moves or inlines the expression.
+
+    Lambda bodies run per element; a plain column reference in them may be
+    replaced by its whole definition when a filter is pushed down. A lambda
+    variable never is.
+    """
+    return F.transform(F.array(value), body)[0]
+
+
 def words(text: Column) -> Column:
     """Array of words of a text (null text: no words)."""
     split = F.split(F.coalesce(text, F.lit("")), f"[{SPACE_CLASS}]+", -1)

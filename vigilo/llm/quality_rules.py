@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vigilo.llm.common import SPACE_CLASS, table, words
+from vigilo.llm.common import SPACE_CLASS, let, table, words
 
 SPACES = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
@@ -42,23 +42,31 @@ def _facts(docs: DataFrame) -> DataFrame:
                        text.alias("text"), F.xxhash64(text).alias("text_hash"), lines.alias("lines"))
 
 
+def _repeat_words(w: Column) -> Column:
+    """Words inside 3-word windows that the text holds twice or more."""
+    def covered(p: Column) -> Column:  # positions of such windows, ascending: each covers three words, less its overlap
+        gap = F.transform(p, lambda x, i: F.least(F.lit(3), F.coalesce(F.get(p, i + 1) - x, F.lit(3))))
+        return F.aggregate(gap, F.lit(0).cast("long"), lambda acc, x: acc + x)
+
+    def twice(g: Column) -> Column:  # windows by hash, then position: equal ones are neighbours
+        same = lambda x, i: F.coalesce(F.get(g, i)["h"] == x["h"], F.lit(False))
+        return F.array_sort(F.transform(F.filter(g, lambda x, i: same(x, i - 1) | same(x, i + 1)), lambda x: x["p"]))
+
+    window = lambda i: F.struct(F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)).alias("h"), i.alias("p"))
+    windows = F.array_sort(F.transform(F.sequence(F.lit(0), F.size(w) - 3), window))
+    return F.when(F.size(w) < 4, F.lit(0).cast("long")).otherwise(let(let(windows, twice), covered))
+
+
 def base_counts(facts: DataFrame) -> DataFrame:
     """Adds the per-document counts to rows that have ``text`` and ``lines``."""
     t = F.col("text")
-    step = facts.withColumn("w", words(t)).withColumn("n_words", F.size("w").cast("long"))
-    window = lambda i: F.struct(F.xxhash64(F.get("w", i), F.get("w", i + 1), F.get("w", i + 2)).alias("h"), i.alias("p"))
-    step = step.withColumn("g", F.when(F.col("n_words") < 3, F.array().cast("array<struct<h:bigint,p:int>>"))
-                           .otherwise(F.array_sort(F.transform(F.sequence(F.lit(0), F.size("w") - 3), window))))
-    same = lambda x, i, d: F.coalesce(F.get("g", i + d)["h"] == x["h"], F.lit(False))
-    twice = F.filter("g", lambda x, i: same(x, i, -1) | same(x, i, 1))
-    step = step.withColumn("p", F.array_sort(F.transform(twice, lambda x: x["p"])))
-    spread = F.transform("p", lambda x, i: F.least(F.lit(3), F.coalesce(F.get("p", i + 1) - x, F.lit(3))))
-    return step.select(
-        "*", F.length(_unspaced(t)).cast("long").alias("word_chars"),
+    of_words = let(words(t), lambda w: F.struct(F.size(w).cast("long").alias("n"), _repeat_words(w).alias("r")))
+    return facts.withColumn("of_words", of_words).select(
+        "*", F.col("of_words.n").alias("n_words"), F.col("of_words.r").alias("n_repeat_words"),
+        F.length(_unspaced(t)).cast("long").alias("word_chars"),
         (F.length(t) - F.length(F.translate(t, SYMBOLS, ""))).cast("long").alias("n_symbols"),
-        (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        F.aggregate(spread, F.lit(0).cast("long"), lambda a, x: a + x).alias("n_repeat_words"),
-    ).drop("w", "g", "p")
+        let(F.col("lines"), lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
+    ).drop("of_words")
 
 
 def frequent_lines(facts: DataFrame) -> DataFrame:
