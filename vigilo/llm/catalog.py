@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
-from vigilo.llm import knn_quality, minhash, packing, quality_rules, secret_scan
+from vigilo.llm import ego_join, html_mincut, knn_quality, minhash, packing, quality_rules, secret_scan, warc
 
 QUERIES = {
+    "op1_warc_salvage": warc.op1_warc_salvage,
     "op2_secret_linking": secret_scan.op2_secret_linking,
     "op4_quality_rules": quality_rules.op4_quality_rules,
     "op5_minhash_near_dedup": minhash.op5_minhash_near_dedup,
     "op6_hierarchical_packing": packing.op6_hierarchical_packing,
+    "op7_epsilon_grid_order": ego_join.op7_epsilon_grid_order,
     "op8_nearest_neighbour_quality": knn_quality.op8_nearest_neighbour_quality,
+    "op9_minimum_cut_extraction": html_mincut.op9_minimum_cut_extraction,
 }
 
 ORACLES = {
+    "op1_warc_salvage": warc.ORACLE,
     "op4_quality_rules": quality_rules.ORACLE,
     "op5_minhash_near_dedup": minhash.ORACLE,
+    "op7_epsilon_grid_order": ego_join.ORACLE,
 }
