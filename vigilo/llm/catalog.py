@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from vigilo.llm import ego_join, html_mincut, knn_quality, minhash, packing, quality_rules, secret_scan, warc
+from vigilo.llm import ego_join, html_mincut, knn_quality, minhash, packing, pii_bootstrap, quality_rules, secret_scan, warc
 
 QUERIES = {
     "op1_warc_salvage": warc.op1_warc_salvage,
     "op2_secret_linking": secret_scan.op2_secret_linking,
+    "op3_bootstrapped_pii": pii_bootstrap.op3_bootstrapped_pii,
     "op4_quality_rules": quality_rules.op4_quality_rules,
     "op5_minhash_near_dedup": minhash.op5_minhash_near_dedup,
     "op6_hierarchical_packing": packing.op6_hierarchical_packing,
