@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from vigilo.llm import ego_join, html_mincut, knn_quality, minhash, packing, pii_bootstrap, quality_rules, secret_scan, warc
+from vigilo.llm import ego_join, html_mincut, knn_quality, minhash, packing, pii_bootstrap, quality_rules, secret_scan, sp_lattice, warc
 
 QUERIES = {
     "op1_warc_salvage": warc.op1_warc_salvage,
@@ -14,6 +14,7 @@ QUERIES = {
     "op7_epsilon_grid_order": ego_join.op7_epsilon_grid_order,
     "op8_nearest_neighbour_quality": knn_quality.op8_nearest_neighbour_quality,
     "op9_minimum_cut_extraction": html_mincut.op9_minimum_cut_extraction,
+    "op10_sentencepiece_lattice": sp_lattice.op10_sentencepiece_lattice,
 }
 
 ORACLES = {
