@@ -74,19 +74,19 @@ cte("att", ["feat", "lab"], """
   from feat f join lab l on l.id = f.id""")
 
 cte("ranked", [], """
-  select o.*, row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey desc) as back,
+  select o.*, row_number() over (partition by o_custkey order by o_orderdate, o_orderkey) as term,
          lag(o_orderdate) over (partition by o_custkey order by o_orderdate, o_orderkey) as prev_date
   from orders o""")
 
 cte("periods", ["ranked"], """
-  select r.o_custkey as id, cast(4 - r.back as integer) as term,
+  select r.o_custkey as id, cast(r.term as integer) as term,
          cast(case o_orderstatus when 'F' then 0 when 'O' then 1 else 2 end as integer) as status,
          cast(coalesce(date_diff('day', r.prev_date, r.o_orderdate), 0) as integer) as days_since_last_payment,
          case when c_acctbal < 1200 then 'Low' when c_acctbal < 6800 then 'Medium' else 'High' end
            as family_income_bracket,
          cast(c_nationkey % 2 as integer) as transport_user, cast(c_nationkey % 4 as integer) as sibling_count,
          case when o_orderstatus = 'F' then 0.0e0 else o_totalprice end as total_outstanding
-  from ranked r join customer on c_custkey = r.o_custkey where r.back <= 3""")
+  from ranked r join customer on c_custkey = r.o_custkey""")
 
 cte("dim", [], """
   select user_id as id, n_name as class from (select distinct user_id from events)
@@ -94,15 +94,15 @@ cte("dim", [], """
 
 cte("fee", ["periods"], """
   select id,
-    round_even(avg(case when term < 3 then days_since_last_payment end) * 10e0, 0) / 10e0 as days_since_last_payment,
-    cast(max(case when term < 3 then status end) as integer) as previous_term_status,
-    round_even(avg(case when term < 3 then total_outstanding end) * 100e0, 0) / 100e0 as total_outstanding,
-    cast(max(case when term = 3 then case family_income_bracket when 'High' then 0 when 'Medium' then 1
+    round_even(cast(sum(case when term < mt then days_since_last_payment end) as double) / nullif(count(*) - 1, 0) * 10e0, 0) / 10e0 as days_since_last_payment,
+    cast(max(case when term < mt then status end) as integer) as previous_term_status,
+    round_even(cast(sum(case when term < mt then cast(total_outstanding as decimal(18,6)) end) as double) / (count(*) - 1) * 100e0, 0) / 100e0 as total_outstanding,
+    cast(max(case when term = mt then case family_income_bracket when 'High' then 0 when 'Medium' then 1
                                           when 'Low' then 2 end end) as integer) as income_encoded,
-    cast(max(case when term = 3 then transport_user end) as integer) as transport_user,
-    cast(max(case when term = 3 then sibling_count end) as integer) as sibling_count,
-    cast(max(case when term = 3 then status end) as integer) as label
-  from periods group by id having count(*) > 1""")
+    cast(max(case when term = mt then transport_user end) as integer) as transport_user,
+    cast(max(case when term = mt then sibling_count end) as integer) as sibling_count,
+    cast(max(case when term = mt then status end) as integer) as label
+  from (select *, max(term) over (partition by id) as mt from periods) group by id having count(*) > 1""")
 
 cte("feetab", ["fee"], "select id as student_id, * exclude (id) from fee")
 
@@ -185,14 +185,14 @@ q("f1_split_latest", """
   select id, max(term) as label_term, max_by(status, term) as label, count(*) - 1 as n_history
   from periods group by id""", "periods")
 q("f2_history_avg_days", """
-  select id, round_even(avg(case when term < mt then days_since_last_payment end) * 10e0, 0) / 10e0
+  select id, round_even(cast(sum(case when term < mt then days_since_last_payment end) as double) / nullif(count(*) - 1, 0) * 10e0, 0) / 10e0
          as days_since_last_payment
   from (select *, max(term) over (partition by id) as mt from periods) group by id""", "periods")
 q("f3_history_worst_status", """
   select id, max(case when term < mt then status end) as previous_term_status
   from (select *, max(term) over (partition by id) as mt from periods) group by id""", "periods")
 q("f4_history_avg_outstanding", """
-  select id, round_even(avg(case when term < mt then total_outstanding end) * 100e0, 0) / 100e0
+  select id, round_even(cast(sum(case when term < mt then cast(total_outstanding as decimal(18,6)) end) as double) / nullif(count(*) - 1, 0) * 100e0, 0) / 100e0
          as total_outstanding
   from (select *, max(term) over (partition by id) as mt from periods) group by id""", "periods")
 q("f5_encode_income", """

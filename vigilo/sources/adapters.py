@@ -3,7 +3,8 @@
 * presence — one row per (entity, day): an entity of ``events`` is present on
   a day when it has any event that day; the day set is every day with any
   event at all.
-* periods — the last three orders of each customer are its periods 1..3.
+* periods — every order of a customer is one of its periods, numbered 1..n by
+  (date, order key); the latest is the label, all earlier ones the history.
 * entity dimension — class = nation name of the customer.
 
 Everything is derived by Spark from the given tables, so the work grows with
@@ -15,11 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vigilo.operators.topk import top_k_per_group
-
-# A calendar is a bounded dimension: refuse anything longer than a century.
-MAX_CALENDAR_DAYS = 36_600
-N_TERMS = 3
+from vigilo.session import pin
 
 # Fixed values of the period adapter: order status -> payment status,
 # account-balance cut points for the income bracket.
@@ -31,65 +28,72 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def presence_from_events(events: DataFrame, id_col: str = "user_id", ts_col: str = "ts",
-                         max_calendar_days: int = MAX_CALENDAR_DAYS) -> DataFrame:
+def presence_from_events(events: DataFrame, id_col: str = "user_id", ts_col: str = "ts") -> DataFrame:
     """(id, date, is_present) grid: every event entity x every event day.
 
     Plan: one ``groupBy(entity)`` collects the entity's distinct event days
     (partial aggregation map-side, so a hot entity ships at most one set per
-    map task, each bounded by the calendar length). Each entity row then
-    emits its present days and the calendar minus them (``array_except``,
-    a hash set difference — O(days), no per-day probing). Only the 2-value
-    calendar span reaches the driver (min/max of the raw timestamp column,
-    answerable from file footers), checked against ``max_calendar_days``
-    before the day set is broadcast. The output is
-    partitioned by entity, which the feature window reuses.
+    map task, each bounded by the number of days). Each entity row then
+    emits its present days and the other event days (``array_except``, a hash
+    set difference — O(days), no per-day probing). The distinct event days (a
+    date each, however far apart) come to the driver and enter the plan as a
+    constant. The output is partitioned by entity, which the feature window
+    reuses.
     """
     day = F.to_date(F.col(ts_col))
-    # span from min/max of the raw column (answerable from Parquet footers with aggregate pushdown);
-    # to_date is monotone, so the date of the min/max timestamp is the min/max date
-    span = events.agg(F.to_date(F.min(ts_col)).alias("lo"), F.to_date(F.max(ts_col)).alias("hi")).first()
-    if span is None or span["lo"] is None:
+    epoch = F.unix_date(day).alias("d")
+    days = sorted(r["d"] for r in events.where(F.col(ts_col).isNotNull()).select(epoch).distinct().collect())
+    if not days:
         return events.select(F.col(id_col).alias("id"), day.alias("date"),
                              F.lit(1).alias("is_present")).limit(0)
-    lo, hi = span["lo"], span["hi"]
-    n_days = (hi - lo).days + 1
-    if n_days > max_calendar_days:
-        raise ValueError(f"calendar of {n_days} days exceeds the bound {max_calendar_days}")
-    event_days = events.select(day.alias("date")).filter(F.col("date").isNotNull()).distinct()  # <= n_days rows
+    calendar = F.transform(F.lit(days).cast("array<int>"), lambda d: F.date_from_unix_date(d))
     per_entity = events.groupBy(F.col(id_col).alias("id")).agg(F.collect_set(day).alias("_days"))
-    # present days as 1, the rest of the calendar (hash-based set difference, O(days)) as 0
-    calendar = F.sequence(F.lit(lo), F.lit(hi))
     rows = F.concat(
         F.transform("_days", lambda d: F.struct(d.alias("date"), F.lit(1).alias("is_present"))),
         F.transform(F.array_except(calendar, F.col("_days")),
                     lambda d: F.struct(d.alias("date"), F.lit(0).alias("is_present"))))
-    grid = per_entity.select("id", F.inline(rows))
-    return grid.join(F.broadcast(event_days), "date", "left_semi").select("id", "date", "is_present")
+    return per_entity.select("id", F.inline(rows))
 
 
-def periods_from_orders(orders: DataFrame, customer: DataFrame, n_terms: int = N_TERMS,
-                        salt_buckets: int = 0) -> DataFrame:
-    """Last ``n_terms`` orders per customer as periods 1..n (n = latest).
+def _numbered(orders: DataFrame) -> DataFrame:
+    """Orders with ``term`` (1..n per customer by date, key) and the previous order's date.
 
-    The latest ``n_terms + 1`` orders are taken by a skew-safe top-k (the
-    extra one supplies the gap before the oldest period); the gap in days
-    to the previous order is the "days since last payment".
+    Skew-safe: the orders are range-partitioned by (customer, date, key), numbered
+    inside each partition, and only the customers that cross a partition border
+    (at most two per partition) get the count and last date of the partitions
+    before, from a table of that many rows. A customer with a third of all
+    orders is spread over as many partitions as it fills.
     """
+    split = orders.repartitionByRange("o_custkey", "_d", "o_orderkey").withColumn("_pid", F.spark_partition_id())
+    split = pin(split)  # every branch below must see the same partition numbers
+    inside = Window.partitionBy("_pid", "o_custkey").orderBy("_d", "o_orderkey")
+    local = split.withColumn("_rn", F.row_number().over(inside)).withColumn("_prev", F.lag("_d").over(inside))
+    ends = split.groupBy("_pid").agg(F.min("o_custkey").alias("_first"), F.max("o_custkey").alias("_last"))
+    border = (ends.select("_pid", F.explode(F.array_distinct(F.array("_first", "_last"))).alias("o_custkey")))
+    # At most two rows per partition: bounded by the number of partitions, not by the data.
+    parts = (split.join(F.broadcast(border), ["_pid", "o_custkey"]).groupBy("o_custkey", "_pid")
+             .agg(F.count(F.lit(1)).alias("_n"), F.max("_d").alias("_end")))
+    before = Window.partitionBy("o_custkey").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    carry = parts.select("_pid", "o_custkey", F.sum("_n").over(before).alias("_skip"), F.max("_end").over(before).alias("_carry"))
+    return (local.join(F.broadcast(carry.where("_skip is not null")), ["_pid", "o_custkey"], "left")
+            .withColumn("term", (F.col("_rn") + F.coalesce("_skip", F.lit(0))).cast("int"))
+            .withColumn("_prev", F.coalesce("_prev", "_carry")).drop("_pid", "_rn", "_skip", "_carry"))
+
+
+def periods_from_orders(orders: DataFrame, customer: DataFrame) -> DataFrame:
+    """Every order of a customer as a period; the gap in days to the previous order is the
+    "days since last payment" (0 for the first)."""
     o = orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
                       F.to_date("o_orderdate").alias("_d"))
-    latest = top_k_per_group(o, ["o_custkey"], [F.desc("_d"), F.desc("o_orderkey")],
-                             k=n_terms + 1, rank_col="back", salt_buckets=salt_buckets)
-    w = Window.partitionBy("o_custkey").orderBy("_d", "o_orderkey")
-    latest = latest.withColumn("_prev", F.lag("_d").over(w)).filter(F.col("back") <= n_terms)
+    numbered = _numbered(o)
     status = F.coalesce(
         F.create_map(*[x for k, v in STATUS_OF_ORDER.items() for x in (F.lit(k), F.lit(v))])[F.col("o_orderstatus")],
         F.lit(2))
     cust = customer.select("c_custkey", "c_acctbal", "c_nationkey")
-    return (latest.join(cust, latest.o_custkey == cust.c_custkey)
+    return (numbered.join(cust, numbered.o_custkey == cust.c_custkey)
             .select(
                 F.col("o_custkey").alias("id"),
-                (F.lit(n_terms + 1) - F.col("back")).cast("int").alias("term"),
+                "term",
                 status.cast("int").alias("status"),
                 F.coalesce(F.datediff("_d", "_prev"), F.lit(0)).cast("int").alias("days_since_last_payment"),
                 F.when(F.col("c_acctbal") < INCOME_LOW_BELOW, "Low")
