@@ -47,6 +47,8 @@ def test_batch_job_end_to_end(spark, tmp_path):
     for name in ("status_report", "default_binary_metrics", "status_importances", "anomaly_gate",
                  "default_threshold_scan", "default_threshold_pick", "default_risk_scores"):
         assert spark.read.parquet(f"{out}/evaluation/{name}").count() > 0
+    for name in ("anomaly_confusion", "anomaly_report", "anomaly_top_flagged"):
+        assert spark.read.parquet(f"{out}/evaluation/{name}").count() > 0
     assert os.path.isdir(f"{out}/models/anomaly/nodes") and os.path.isdir(f"{out}/models/status_multiclass/class_2")
     from vigilo.operators.profile import history
     store = spark.read.parquet(f"{out}/presence_history")
@@ -77,3 +79,56 @@ def test_run_from_reference_style_csv(spark, tmp_path):
               "--trees", "20"], spark=spark)
     prof = {x["id"]: x for x in r.profile.collect()}
     assert len(prof) == 30 and prof["STU_001"]["name"] == "Aarav Sharma" and prof["STU_002"]["student_class"] == "6A"
+
+
+def test_fee_models_save_load_and_threshold(spark, tmp_path):
+    from vigilo.operators import boosting as G
+    df = spark.range(200).select("id", (F.col("id") % 7).cast("double").alias("a"), (F.col("id") % 5).cast("double").alias("b"),
+                                 (F.col("id") % 3).cast("int").alias("label"), (F.col("id") % 2).cast("int").alias("y"))
+    binary = G.fit_default_binary(df, ["a", "b"], "y", maxIter=4).with_threshold(0.35)
+    binary.save(str(tmp_path / "b"))
+    again = G.DefaultBinaryModel.load(spark, str(tmp_path / "b"))
+    assert again.threshold == 0.35 and again.features == ["a", "b"] and again.iterations == binary.iterations == 4
+    assert ({r.id: r.default_prob for r in binary.predict_proba(df).collect()}
+            == {r.id: r.default_prob for r in again.predict_proba(df).collect()})
+    status = G.fit_status_multiclass(df, ["a", "b"], maxIter=3)
+    status.save(str(tmp_path / "s"))
+    again = G.StatusMulticlassModel.load(spark, str(tmp_path / "s"))
+    assert again.iterations == 3 and again.classes == (0, 1, 2) and again.threshold == status.threshold
+    assert ({r.id: (r.p_0, r.p_2, r.label_pred) for r in status.predict(df).collect()}
+            == {r.id: (r.p_0, r.p_2, r.label_pred) for r in again.predict(df).collect()})
+
+
+def test_full_iteration_budget_is_the_default():
+    from vigilo.operators import boosting as G
+    assert G.BINARY_PARAMS["maxIter"] == 500 and G.MULTICLASS_PARAMS["maxIter"] == 200
+
+
+def test_scaler_and_forest_stay_together(spark, tmp_path):
+    """A second run on other data loads both parts or fits both."""
+    from vigilo.operators.scaling import fit_standardizer
+    feats = ["a", "b"]
+
+    def frame(scale):
+        return spark.range(300).select("id", ((F.col("id") % 17) * scale).cast("double").alias("a"), (F.col("id") % 5).cast("double").alias("b"))
+
+    def fit(df):
+        scaler = fit_standardizer(df, feats)
+        return AR.AnomalyModel(scaler, IsolationForest(feats, n_trees=10, seed=3).fit(scaler.transform(df)))
+    path = str(tmp_path / "anomaly")
+    first = AR.load_or_fit(spark, path, AR.load_anomaly, lambda: fit(frame(1)), AR.save_anomaly)
+    second = AR.load_or_fit(spark, path, AR.load_anomaly, lambda: fit(frame(1000)), AR.save_anomaly)
+    assert sorted(second.scaler.to_rows()) == sorted(first.scaler.to_rows()) and second.forest.offset == first.forest.offset
+    new = frame(1).limit(40)
+    assert sorted(map(tuple, first.flag(new).collect())) == sorted(map(tuple, second.flag(new).collect()))
+    assert set(first.flag(new).columns) == {"student_id", "risk_score", "is_flagged", "risk_level"}
+
+
+def test_unreadable_artifacts_are_not_overwritten(spark, tmp_path):
+    path = tmp_path / "x"
+    path.mkdir()
+
+    def broken(_, __):
+        raise PermissionError("no access")
+    with pytest.raises(PermissionError):
+        AR.load_or_fit(spark, str(path), broken, lambda: 1, lambda *a: None)

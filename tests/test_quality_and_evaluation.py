@@ -80,3 +80,46 @@ def test_unique_key_precondition(spark):
     assert Q.check_unique(ok, ["id", "date"], "presence").first()["passed"] is True
     r = Q.check_unique(bad, ["id", "date"], "presence").first()
     assert r["passed"] is False and r["observed"] == 2
+
+
+def test_missing_columns_and_null_ids_fail(spark):
+    from vigilo.operators import quality as Q
+    fee = spark.createDataFrame([(None, 1.0, 0, 2.0, 0, 1, 1), (2, 1.0, 0, 2.0, 0, 1, 1)],
+                                "student_id int, days_since_last_payment double, previous_term_status int, total_outstanding double, "
+                                "income_encoded int, transport_user int, sibling_count int")
+    rows = {(r.check_name, r.col): r for r in Q.period_checks(fee).collect()}
+    assert not rows[("required_columns", None)].passed and rows[("required_columns", None)].observed == 1
+    assert rows[("nulls", "student_id")].observed == 1 and not rows[("nulls", "student_id")].passed
+    assert not rows[("min", "label")].passed and rows[("min", "label")].observed is None
+    assert rows[("min", "sibling_count")].passed
+    plan = Q.period_checks(fee, kinds=("required",))._jdf.queryExecution().optimizedPlan().toString()
+    assert "student_id" not in plan.replace("student_id as", "")
+
+
+def test_csv_columns_are_bound_by_name(spark, tmp_path):
+    from vigilo.sources.readers import read_presence
+    p = tmp_path / "p.csv"
+    p.write_text("is_present,student_id,date\n1,STU_001,2023-08-01\n")
+    assert tuple(read_presence(spark, str(p)).select("student_id", "is_present").first()) == ("STU_001", 1)
+    p.write_text("student_id,date\nSTU_001,2023-08-01\n")
+    with pytest.raises(ValueError):
+        read_presence(spark, str(p))
+
+
+def test_split_is_exact_per_class_and_has_no_key_limit(spark):
+    from pyspark.sql import functions as F
+    from vigilo.operators.sampling import stratified_split
+    df = spark.range(4_000_000_000, 4_000_010_000).select("id", F.when(F.col("id") % 1000 == 0, "rare").otherwise("common").alias("y"))
+    got = {(r.y, r.split): r["count"] for r in stratified_split(df, "y").groupBy("y", "split").count().collect()}
+    assert got == {("rare", "test"): 2, ("rare", "train"): 8, ("common", "test"): 1998, ("common", "train"): 7992}
+
+
+def test_oversampling_needs_enough_minority_rows(spark):
+    from pyspark.sql import functions as F
+    from vigilo.operators.sampling import smote
+    df = spark.range(10).select("id", (F.col("id") == 0).cast("int").alias("y"), F.col("id").cast("double").alias("a"))
+    with pytest.raises(ValueError):
+        smote(df, "y", ["a"])
+    df = spark.range(100).select("id", (F.col("id") < 5).cast("int").alias("y"), F.col("id").cast("double").alias("a"))
+    out = smote(df, "y", ["a"])
+    assert out.where("y = 1").count() == 95 and out.where("synthetic").where("a < 0 or a > 4").count() == 0

@@ -20,12 +20,12 @@ from vigilo.functions.encoders import (
     days_x_outstanding,
 )
 from vigilo.functions.text import initials, contains_literal, name_from_id, class_from_id
-from vigilo.functions.hashing import unit_hash, portable_unit_hash
+from vigilo.functions.hashing import unit_hash, hash_bits
 
 __all__ = [
     "rint_round", "clip", "safe_ratio",
     "risk_tier", "fee_tier", "overall_status", "attendance_band", "risk_band", "prob_band",
     "decode_status", "encode_ordinal", "INCOME_CODES", "default_target", "is_low_income",
     "has_many_siblings", "was_late_or_worse", "days_x_outstanding", "initials",
-    "contains_literal", "name_from_id", "class_from_id", "unit_hash", "portable_unit_hash",
+    "contains_literal", "name_from_id", "class_from_id", "unit_hash", "hash_bits",
 ]

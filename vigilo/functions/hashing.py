@@ -5,23 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_SCALE = 1 << 32
-# Knuth multiplicative hashing constant (2^32 / golden ratio).
-_KNUTH = 2654435761
+_BITS = 52
 
 
-def unit_hash(*cols: Column | str, seed: int = 42) -> Column:
-    """Uniform [0, 1) from xxhash64 of the columns and a seed (any column types)."""
-    h = F.xxhash64(F.lit(seed), *[F.col(c) if isinstance(c, str) else c for c in cols])
-    return F.pmod(h, F.lit(_SCALE)).cast("double") / F.lit(float(_SCALE))
+def hash_bits(*cols: Column | str, seed: int = 42) -> Column:
+    """52 uniform bits (bigint) of a seed and a key: the head of an MD5 digest.
 
+    Any key type, no overflow, and any SQL engine with md5 computes the same
+    number, so an oracle can reproduce splits and draws.
+    """
+    text = F.concat_ws(":", F.lit(str(seed)), *[(F.col(c) if isinstance(c, str) else c).cast("string") for c in cols])
+    return F.conv(F.substring(F.md5(text), 1, _BITS // 4), 16, 10).cast("bigint")
 
-def portable_unit_hash(int_col: Column | str, seed: int = 42) -> Column:
-    """Uniform-ish [0, 1) from an integer key by multiplicative hashing.
 
-    Plain integer arithmetic, so the same value can be computed by any SQL
-    engine (used where an oracle must reproduce the split). Keys must be
-    non-negative and below 3e9 to stay inside bigint.
-    """
-    c = F.col(int_col) if isinstance(int_col, str) else int_col
-    return F.pmod((c.cast("bigint") + F.lit(seed)) * F.lit(_KNUTH), F.lit(_SCALE)).cast("double") / F.lit(float(_SCALE))
+def unit_hash(*cols: Column | str, seed: int = 42) -> Column:
+    """Uniform [0, 1) from :func:`hash_bits`."""
+    return hash_bits(*cols, seed=seed).cast("double") / F.lit(float(1 << _BITS))

@@ -10,10 +10,10 @@ Training is MLlib's distributed histogram GBT; scoring is a projection.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -49,8 +49,33 @@ class DefaultBinaryModel:
         imp = self.model.stages[-1].featureImportances.toArray().tolist()
         return _importance_frame(spark, self.features, imp)
 
+    def with_threshold(self, threshold: float) -> "DefaultBinaryModel":
+        """The same model with a tuned decision threshold."""
+        return replace(self, threshold=float(threshold))
+
+    @property
+    def iterations(self) -> int:
+        return self.model.stages[-1].getNumTrees
+
     def save(self, path: str) -> None:
-        self.model.write().overwrite().save(path)
+        """Pipeline, feature list and threshold."""
+        self.model.write().overwrite().save(f"{path}/pipeline")
+        _save_params(path, self.features, self.threshold, (0, 1))
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> "DefaultBinaryModel":
+        p = _load_params(spark, path)
+        return cls(PipelineModel.load(f"{path}/pipeline"), list(p["features"]), p["threshold"])
+
+
+def _save_params(path: str, features: list[str], threshold: float, classes: tuple) -> None:
+    spark = SparkSession.getActiveSession()
+    spark.createDataFrame([(list(features), float(threshold), [int(c) for c in classes])],
+                          "features array<string>, threshold double, classes array<int>").write.mode("overwrite").parquet(f"{path}/params")
+
+
+def _load_params(spark: SparkSession, path: str):
+    return spark.read.parquet(f"{path}/params").first()
 
 
 def fit_default_binary(train: DataFrame, features: list[str] = BINARY_FEATURES, label: str = "fee_default",
@@ -61,7 +86,13 @@ def fit_default_binary(train: DataFrame, features: list[str] = BINARY_FEATURES,
     if weight_col:
         gbt.setWeightCol(weight_col)
     asm = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="error")
-    return DefaultBinaryModel(Pipeline(stages=[asm, gbt]).fit(train), list(features))
+    # split finding and the metadata passes read the input again: keep it instead of its lineage
+    data = train.select(label, *features, *([weight_col] if weight_col else [])).persist()
+    try:
+        data.count()
+        return DefaultBinaryModel(Pipeline(stages=[asm, gbt]).fit(data), list(features))
+    finally:
+        data.unpersist()
 
 
 @dataclass
@@ -95,10 +126,26 @@ class StatusMulticlassModel:
         imp = [float(sum(a[i] for a in arrs) / len(arrs)) for i in range(len(self.features))]
         return _importance_frame(spark, self.features, imp)
 
+    def with_threshold(self, threshold: float) -> "StatusMulticlassModel":
+        """The same model with a tuned decision threshold."""
+        return replace(self, threshold=float(threshold))
+
+    @property
+    def iterations(self) -> int:
+        return min(m.getNumTrees for m in self.models)
+
     def save(self, path: str) -> None:
+        """Assembler, one model per class, feature list, classes and threshold."""
         self.assembler.write().overwrite().save(f"{path}/assembler")
         for k, m in zip(self.classes, self.models):
             m.write().overwrite().save(f"{path}/class_{k}")
+        _save_params(path, self.features, self.threshold, self.classes)
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> "StatusMulticlassModel":
+        p = _load_params(spark, path)
+        models = [GBTClassificationModel.load(f"{path}/class_{k}") for k in p["classes"]]
+        return cls(VectorAssembler.load(f"{path}/assembler"), models, tuple(p["classes"]), list(p["features"]), p["threshold"])
 
 
 def fit_status_multiclass(train: DataFrame, features: list[str] = STATUS_FEATURES, label: str = "label",

@@ -230,7 +230,13 @@ def with_display(profile: DataFrame) -> DataFrame:
 
 
 def _num(c: str) -> Column:
-    return F.col(c).cast("string")
+    """A number as the page prints it: no trailing zeros, no exponent."""
+    return F.regexp_replace(F.format_string("%.6f", F.col(c).cast("double")), r"\.?0+$", "")
+
+
+def _money(c: str) -> Column:
+    """Thousands groups, at most three decimals, no trailing zeros."""
+    return F.regexp_replace(F.format_number(F.col(c).cast("double"), 3), r"\.?0+$", "")
 
 
 def risk_reasons(profile: DataFrame) -> DataFrame:
@@ -254,7 +260,7 @@ def risk_reasons(profile: DataFrame) -> DataFrame:
     ))
     fl = F.col("fee_label")
     fee = F.array_compact(F.array(
-        F.when(fl == 2, F.concat(F.lit("Student has defaulted with "), _num("outstanding"), F.lit(" outstanding.")))
+        F.when(fl == 2, F.concat(F.lit("Student has defaulted with ₹"), _money("outstanding"), F.lit(" outstanding.")))
          .when(fl == 1, F.concat(F.lit("Late payment pattern — "), _num("days_late"), F.lit(" days since last payment."))),
         F.when((fl == 2) & (F.col("days_late") > 30),
                F.concat(F.lit("Payment is "), _num("days_late"), F.lit(" days overdue — confirmed default."))),

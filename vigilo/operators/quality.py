@@ -64,62 +64,84 @@ def _is_missing(df: DataFrame, c: str) -> Column:
     return col.isNull()
 
 
+#: The groups of checks ``feature_checks`` can build.
+KINDS = ("required", "nulls", "ranges", "band", "means", "monotone")
+
+
 def feature_checks(df: DataFrame, tbl: str, label_col: str, required: list[str],
                    ranges: dict[str, tuple], mean_checks: list[MeanCheck],
                    positive_label: int | None = None, band_pct: tuple | None = None,
                    monotone_col: str | None = None, labels: tuple = (0, 1, 2),
-                   id_col: str = "student_id") -> DataFrame:
-    """Q1–Q6 for one feature table in one aggregation; returns check rows."""
-    cols = [c for c in df.columns]
-    aggs = [F.count(F.lit(1)).alias("_n")]
-    for c in cols:
-        aggs.append(F.count(F.when(_is_missing(df, c), F.lit(1))).alias(f"_null_{c}"))
-    for c in ranges:
-        aggs += [F.min(c).alias(f"_min_{c}"), F.max(c).alias(f"_max_{c}")]
-    mean_pairs = {(m.col, m.a) for m in mean_checks} | {(m.col, m.b) for m in mean_checks}
-    if monotone_col:
-        mean_pairs |= {(monotone_col, k) for k in labels}
-    for c, k in sorted(mean_pairs):
-        aggs.append(F.avg(F.when(F.col(label_col) == k, F.col(c))).alias(f"_mean_{c}_{k}"))
-    if positive_label is not None:
-        aggs.append(F.count(F.when(F.col(label_col) == positive_label, F.lit(1))).alias("_pos"))
-    stats = df.agg(*aggs)
-
-    rows = required_columns_rows(df, tbl, required)
-    for c in cols:
-        if c == id_col:
-            continue
-        rows.append(_row(tbl, "nulls", c, F.col(f"_null_{c}"), F.lit(0), "error", F.col(f"_null_{c}") == 0))
-    for c, (lo, hi) in ranges.items():
-        if lo is not None:
-            rows.append(_row(tbl, "min", c, F.col(f"_min_{c}"), F.lit(lo), "error", F.col(f"_min_{c}") >= lo))
-        if hi is not None:
-            rows.append(_row(tbl, "max", c, F.col(f"_max_{c}"), F.lit(hi), "error", F.col(f"_max_{c}") <= hi))
-    if positive_label is not None and band_pct is not None:
-        pct = F.col("_pos") / F.col("_n") * F.lit(100.0)
-        rows.append(_row(tbl, "label_pct_min", label_col, pct, F.lit(band_pct[0]), "warn", pct >= band_pct[0]))
-        rows.append(_row(tbl, "label_pct_max", label_col, pct, F.lit(band_pct[1]), "warn", pct <= band_pct[1]))
-    for m in mean_checks:
-        a, b = F.col(f"_mean_{m.col}_{m.a}"), F.col(f"_mean_{m.col}_{m.b}")
-        name = f"mean_{m.a}_{'lt' if m.a_less else 'gt'}_{m.b}"
-        rows.append(_row(tbl, name, m.col, a, b, m.severity, (a < b) if m.a_less else (a > b)))
-    if monotone_col:
+                   kinds: tuple = KINDS) -> DataFrame:
+    """Q1–Q6 for one feature table in one aggregation; returns check rows.
+
+    Only the aggregates of the ``kinds`` asked for are computed (the required
+    columns alone need no scan). A check on a column that the table lacks is a
+    failed row without an observed value.
+    """
+    have = set(df.columns)
+    aggs, rows = {}, []
+
+    def agg(name: str, column) -> Column:
+        aggs.setdefault(name, column.alias(name))
+        return F.col(name)
+
+    def check(name, col, needs, observed, bound, severity, passed):
+        if have.issuperset(needs):
+            rows.append(_row(tbl, name, col, observed(), bound() if callable(bound) else F.lit(bound), severity, passed()))
+        else:
+            rows.append(_row(tbl, name, col, F.lit(None), F.lit(None) if callable(bound) else F.lit(bound), severity, F.lit(False)))
+
+    if "required" in kinds:
+        rows += required_columns_rows(df, tbl, required)
+    if "nulls" in kinds:
+        for c in df.columns:
+            n = agg(f"_null_{c}", F.count(F.when(_is_missing(df, c), F.lit(1))))
+            rows.append(_row(tbl, "nulls", c, n, F.lit(0), "error", n == 0))
+    if "ranges" in kinds:
+        for c, (lo, hi) in ranges.items():
+            if lo is not None:
+                low = lambda c=c: agg(f"_min_{c}", F.min(c))
+                check("min", c, {c}, low, lo, "error", lambda low=low, lo=lo: low() >= lo)
+            if hi is not None:
+                high = lambda c=c: agg(f"_max_{c}", F.max(c))
+                check("max", c, {c}, high, hi, "error", lambda high=high, hi=hi: high() <= hi)
+    if "band" in kinds and positive_label is not None and band_pct is not None:
+        def pct():
+            pos = agg("_pos", F.count(F.when(F.col(label_col) == positive_label, F.lit(1))))
+            return F.try_divide(pos, agg("_n", F.count(F.lit(1)))) * F.lit(100.0)
+        check("label_pct_min", label_col, {label_col}, pct, band_pct[0], "warn", lambda: pct() >= band_pct[0])
+        check("label_pct_max", label_col, {label_col}, pct, band_pct[1], "warn", lambda: pct() <= band_pct[1])
+
+    def mean(c, k):
+        return agg(f"_mean_{c}_{k}", F.avg(F.when(F.col(label_col) == k, F.col(c))))
+
+    if "means" in kinds:
+        for m in mean_checks:
+            a, b = (lambda m=m: mean(m.col, m.a)), (lambda m=m: mean(m.col, m.b))
+            check(f"mean_{m.a}_{'lt' if m.a_less else 'gt'}_{m.b}", m.col, {m.col, label_col}, a, b, m.severity,
+                  lambda m=m, a=a, b=b: (a() < b()) if m.a_less else (a() > b()))
+    if "monotone" in kinds and monotone_col:
         for lo_k, hi_k in zip(labels, labels[1:]):
-            a, b = F.col(f"_mean_{monotone_col}_{hi_k}"), F.col(f"_mean_{monotone_col}_{lo_k}")
-            rows.append(_row(tbl, f"rising_{hi_k}_over_{lo_k}", monotone_col, a, b, "warn", a > b))
+            a, b = (lambda k=hi_k: mean(monotone_col, k)), (lambda k=lo_k: mean(monotone_col, k))
+            check(f"rising_{hi_k}_over_{lo_k}", monotone_col, {monotone_col, label_col}, a, b, "warn",
+                  lambda a=a, b=b: a() > b())
+    if not rows:
+        return df.sparkSession.createDataFrame([], CHECK_SCHEMA)
+    stats = df.agg(*aggs.values()) if aggs else df.sparkSession.range(1)
     return stats.select(F.inline(F.array(*rows)))
 
 
-def presence_checks(df: DataFrame, tbl: str = "attendance_features") -> DataFrame:
+def presence_checks(df: DataFrame, tbl: str = "attendance_features", kinds: tuple = KINDS) -> DataFrame:
     """Q1–Q5 for the presence feature table (label ``is_anomaly``)."""
     return feature_checks(df, tbl, "is_anomaly", PRESENCE_REQUIRED, PRESENCE_RANGES,
-                          PRESENCE_MEAN_CHECKS, positive_label=1, band_pct=ANOMALY_BAND_PCT)
+                          PRESENCE_MEAN_CHECKS, positive_label=1, band_pct=ANOMALY_BAND_PCT, kinds=kinds)
 
 
-def period_checks(df: DataFrame, tbl: str = "fee_features") -> DataFrame:
+def period_checks(df: DataFrame, tbl: str = "fee_features", kinds: tuple = KINDS) -> DataFrame:
     """Q1–Q6 for the period feature table (label 0/1/2)."""
     return feature_checks(df, tbl, "label", PERIOD_REQUIRED, PERIOD_RANGES, PERIOD_MEAN_CHECKS,
-                          monotone_col="days_since_last_payment")
+                          monotone_col="days_since_last_payment", kinds=kinds)
 
 
 def label_distribution(df: DataFrame, label_col: str, tbl: str) -> DataFrame:

@@ -9,25 +9,44 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vigilo.functions import portable_unit_hash, unit_hash
+from vigilo.functions import hash_bits, unit_hash
 from vigilo.operators.evaluation import dense_positions
 
 
+#: A label is a class: more distinct values than this are an error, not a table to broadcast.
+MAX_CLASSES = 10_000
+
+
+def _class_rows(df: DataFrame, label_col: str) -> list:
+    rows = df.limit(MAX_CLASSES + 1).collect()
+    if len(rows) > MAX_CLASSES:
+        raise ValueError(f"{label_col} has more than {MAX_CLASSES} distinct values: not a class label")
+    return rows
+
+
 def stratified_split(df: DataFrame, label_col: str, test_fraction: float = 0.2, seed: int = 42,
-                     key_col: str = "id", portable: bool | None = None) -> DataFrame:
-    """M6: adds ``split`` = 'test' / 'train'; every class is split at ``test_fraction``.
+                     key_col: str = "id") -> DataFrame:
+    """M6: adds ``split`` = 'test' / 'train'; of every class exactly round(n * fraction) rows are test rows.
 
-    A row is in the test set when the uniform hash of its key falls below
-    the fraction, which stratifies every class in expectation with no
-    shuffle at all (a per-row projection). Integral keys use an integer
-    multiplicative hash that SQL engines reproduce (``portable``, the
-    default for them); other keys (e.g. 'STU_001') use ``xxhash64``.
+    A class's test rows are those with the smallest hash of their key (ties by
+    key). No class is sorted: a histogram of the hash (4,096 buckets a class,
+    partial counts) tells the bucket in which the class's cut falls; buckets
+    below are test, above train, and only the rows of the cut bucket are ranked.
     """
-    from pyspark.sql import types as T
-    if portable is None:
-        portable = isinstance(df.schema[key_col].dataType, (T.IntegerType, T.LongType, T.ShortType, T.ByteType))
-    u = portable_unit_hash(key_col, seed) if portable else unit_hash(key_col, seed=seed)
-    return df.withColumn("split", F.when(u < F.lit(float(test_fraction)), "test").otherwise("train"))
+    d = df.withColumn("_h", hash_bits(key_col, seed=seed)).withColumn("_b", F.shiftright("_h", 40))
+    up = Window.partitionBy(label_col).orderBy("_b")
+    hist = (d.groupBy(label_col, "_b").agg(F.count(F.lit(1)).alias("_c"))
+            .withColumn("_upto", F.sum("_c").over(up))
+            .withColumn("_want", F.floor(F.sum("_c").over(Window.partitionBy(label_col)) * F.lit(float(test_fraction)) + F.lit(0.5))))
+    cuts = hist.where((F.col("_upto") - F.col("_c") < F.col("_want")) & (F.col("_upto") >= F.col("_want")))
+    cuts = cuts.select(F.col(label_col).alias("_l"), F.col("_b").alias("_cut"), (F.col("_want") - F.col("_upto") + F.col("_c")).alias("_need"))
+    known = df.sparkSession.createDataFrame(_class_rows(cuts, label_col), cuts.schema)
+    d = d.join(F.broadcast(known), F.col(label_col).eqNullSafe(F.col("_l")), "left")
+    at_cut = F.coalesce(F.col("_b") == F.col("_cut"), F.lit(False))
+    rank = F.row_number().over(Window.partitionBy(label_col).orderBy("_h", key_col))
+    inside = d.where(at_cut).withColumn("split", F.when(rank <= F.col("_need"), "test").otherwise("train"))
+    outside = d.where(~at_cut).withColumn("split", F.when(F.col("_b") < F.col("_cut"), "test").otherwise("train"))
+    return outside.unionByName(inside).drop("_h", "_b", "_l", "_cut", "_need")
 
 
 def class_weights(df: DataFrame, label_col: str = "label", mode: str = "fixed", minority: int = 2,
@@ -35,17 +54,18 @@ def class_weights(df: DataFrame, label_col: str = "label", mode: str = "fixed",
     """Adds ``weight``.
 
     fixed: ``factor`` for the ``minority`` class, else 1. balanced: n / (K * n_c)
-    from the class counts (one row per class — a bounded table joined on the
-    label, broadcast).
+    from the class counts (one row per class; at most MAX_CLASSES, checked, joined
+    on the label, broadcast).
     """
     if mode == "fixed":
         return df.withColumn("weight", F.when(F.col(label_col) == minority, F.lit(float(factor))).otherwise(F.lit(1.0)))
     if mode != "balanced":
         raise ValueError(f"unknown weight mode {mode!r}")
-    counts = df.groupBy(label_col).agg(F.count(F.lit(1)).alias("_nc"))
-    w = Window.partitionBy(F.lit(1))
-    counts = counts.select(label_col, (F.sum("_nc").over(w) / (F.count(F.lit(1)).over(w) * F.col("_nc"))).alias("weight"))
-    return df.join(F.broadcast(counts), label_col, "left")
+    counts = _class_rows(df.groupBy(label_col).agg(F.count(F.lit(1)).alias("_nc")), label_col)
+    total = sum(r["_nc"] for r in counts)
+    schema = df.select(label_col).schema.add("weight", "double")
+    weights = df.sparkSession.createDataFrame([(r[0], total / (len(counts) * r["_nc"])) for r in counts], schema)
+    return df.join(F.broadcast(weights), label_col, "left")
 
 
 def _distance(features: list[str], a: str, b: str) -> F.Column:
@@ -214,17 +234,19 @@ def smote(df: DataFrame, label_col: str, features: list[str], minority: int = 1,
     Synthetic row s (0-based) takes parent = minority row at position
     s mod n_min, one of the parent's k exact nearest minority neighbours and
     a gap u in [0, 1) — both from a hash of (seed, s) — and interpolates
-    x + u (neighbour - x) on every feature. Parents expand by ``explode``
-    (no driver loop over rows); output keeps ``df``'s columns, synthetic
-    rows have a NULL key and ``synthetic`` = true.
+    x + u (neighbour - x) on every feature. Output keeps ``df``'s columns,
+    synthetic rows have a NULL key and ``synthetic`` = true. Fewer than k + 1
+    minority rows raise an error, as nothing could be drawn from k neighbours.
     """
     feats = list(features)
-    counts = {r[0]: r[1] for r in df.groupBy(label_col).count().collect()}  # one row per class
+    counts = {r[0]: r["_n"] for r in _class_rows(df.groupBy(label_col).agg(F.count(F.lit(1)).alias("_n")), label_col)}
     n_min = counts.get(minority, 0)
     n_maj = sum(v for c, v in counts.items() if c != minority)
     need = n_maj - n_min
     base = df.withColumn("synthetic", F.lit(False))
-    if need <= 0 or n_min < 2:
+    if need > 0 and n_min <= k:
+        raise ValueError(f"{n_min} rows of class {minority!r}: oversampling with {k} neighbours needs at least {k + 1}")
+    if need <= 0:
         return base
     from vigilo.session import pin
     # the minority rows feed the kNN, the neighbour features and the parent positions: pin them once
@@ -235,11 +257,10 @@ def smote(df: DataFrame, label_col: str, features: list[str], minority: int = 1,
             .groupBy("id").agg(F.sort_array(F.collect_list(F.struct("nn", "nb"))).alias("nbrs")))  # <= k each
     parents = dense_positions(mino.select(F.col(key_col).alias("id"), *feats), ["id"]).join(nbrs, "id")
     parents = pin(parents)  # minority rows + positions + neighbours: cut the lineage once
-    reps = ((F.lit(need - 1) - F.col("pos")) / F.lit(n_min)).cast("long") + 1
-    syn = (parents.filter(F.col("pos") < need)
-           .select("*", F.explode(F.sequence(F.lit(0), reps - 1)).alias("_m"))
-           .withColumn("_s", F.col("pos") + F.col("_m") * F.lit(n_min)))
-    pick = F.pmod(F.xxhash64(F.lit(seed), F.col("_s")), F.size("nbrs")) + 1
+    # the synthetic rows are a distributed range; each finds its parent by position, so no parent expands in one task
+    syn = (df.sparkSession.range(need).select(F.col("id").alias("_s"), (F.col("id") % F.lit(n_min)).alias("pos"))
+           .join(parents.withColumn("pos", F.col("pos").cast("long")), "pos"))
+    pick = F.pmod(hash_bits("_s", seed=seed), F.size("nbrs")) + 1
     u = unit_hash("_s", seed=seed + 1)
     syn = syn.withColumn("_nb", F.element_at("nbrs", pick.cast("int"))["nb"]).withColumn("_u", u)
     out_cols = []

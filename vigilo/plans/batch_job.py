@@ -41,9 +41,11 @@ class BatchJobResult:
 
 def run_batch_job(spark: SparkSession, presence: DataFrame, periods: DataFrame, dim: DataFrame | None,
                   labels: DataFrame | None, out_dir: str, gbt_iters: int | None = None,
-                  n_trees: int = 100, write_history: bool = True) -> BatchJobResult:
+                  n_trees: int = 100, write_history: bool = True, ignore_failed_keys: bool = False) -> BatchJobResult:
     """presence (id, date, is_present), periods (id, term, ...), dim (id, class), labels (id, is_anomaly).
 
+    The checks are evaluated and written before any model is fitted; rows that
+    share a key stop the job unless ``ignore_failed_keys``.
     ``write_history`` also stores the presence rows range-partitioned and
     sorted by (id, date), so a one-entity history lookup (D10) reads only the
     row groups whose id range contains it (Parquet min/max skipping).
@@ -67,21 +69,22 @@ def run_batch_job(spark: SparkSession, presence: DataFrame, periods: DataFrame,
     fee_checks = Q.period_checks(fee.withColumnRenamed("id", "student_id"))
     checks = fee_checks if checks is None else checks.unionByName(fee_checks)
     checks = checks.unionByName(key_checks)
+    checks.write.mode("overwrite").parquet(f"{out_dir}/checks")
+    checks = spark.read.parquet(f"{out_dir}/checks")
     gate = Q.quality_gate(checks)
+    broken = [r["tbl"] for r in checks.where("check_name = 'unique_key' and not passed").collect()]
+    if broken and not ignore_failed_keys:
+        raise ValueError(f"rows share a key in: {', '.join(broken)} (see {out_dir}/checks)")
 
     # 3. anomaly model: standardise -> forest -> contamination offset
     feats = att.fillna(0.0, ["day_of_week_variance"])
-    scaler = fit_standardizer(feats, PRESENCE_FEATURES)
-    z = scaler.transform(feats)
-    fitted = {}
-
-    def fit_forest():
-        model, fitted["scored"] = IsolationForest(PRESENCE_FEATURES, n_trees=n_trees).fit_score(z, keep=[])
-        return model
-    forest = AR.load_or_fit(spark, f"{out_dir}/models/anomaly", AR.load_forest, fit_forest, AR.save_forest)
-    AR.save_standardizer(spark, scaler, f"{out_dir}/models/anomaly_scaler")
-    # a fresh fit already scored the training rows; a loaded model scores them now
-    scored_att = fitted["scored"] if "scored" in fitted else forest.decision(z)
+    def fit_anomaly():
+        scaler = fit_standardizer(feats, PRESENCE_FEATURES)
+        forest, _ = IsolationForest(PRESENCE_FEATURES, n_trees=n_trees).fit_score(scaler.transform(feats), keep=[])
+        return AR.AnomalyModel(scaler, forest)
+    # scaler and forest are one artifact: both are loaded or both are fitted
+    anomaly = AR.load_or_fit(spark, f"{out_dir}/models/anomaly", AR.load_anomaly, fit_anomaly, AR.save_anomaly)
+    scored_att = anomaly.forest.decision(anomaly.scaler.transform(feats))
     risk = TH.risk_from_decision("decision")
     att_scored = feats.join(scored_att.select("id", risk.alias("risk_raw"), F.col("is_flagged").alias("is_anomaly_pred")), "id")
 
@@ -91,20 +94,32 @@ def run_batch_job(spark: SparkSession, presence: DataFrame, periods: DataFrame,
     split = S.stratified_split(inputs, "fee_default", 0.2, 42)
     train = split.filter(F.col("split") == "train").select("id", "fee_default", *FP.BINARY_FEATURES)
     balanced = S.smote(train, "fee_default", FP.BINARY_FEATURES, minority=1, k=3, seed=42)
-    binary = G.fit_default_binary(balanced, **extra)
-    binary.save(f"{out_dir}/models/default_binary")
+    save = lambda _, model, path: model.save(path)
+
+    def fit_binary():
+        model = G.fit_default_binary(balanced, **extra)
+        # the decision threshold comes from the training rows, never from the held-out ones
+        own = model.predict_proba(split.filter(F.col("split") == "train")).select(
+            F.col("fee_default").alias("y_true"), F.col("default_prob").alias("prob"))
+        pick = TH.tune_threshold(TH.threshold_scan(own)).first()
+        return model.with_threshold(pick["highest"]) if pick and pick["highest"] is not None else model
+    binary = AR.load_or_fit(spark, f"{out_dir}/models/default_binary", G.DefaultBinaryModel.load, fit_binary, save)
     weighted = S.class_weights(fee, "label", "fixed", minority=2, factor=4.0)
-    status = G.fit_status_multiclass(weighted, weight_col="weight", **extra)
-    status.save(f"{out_dir}/models/status_multiclass")
-    fee_pred = status.predict(fee).select("id", F.col("p_2").alias("default_prob"), "label_pred",
-                                          "total_outstanding", "days_since_last_payment", "label",
-                                          "previous_term_status")
+    status = AR.load_or_fit(spark, f"{out_dir}/models/status_multiclass", G.StatusMulticlassModel.load,
+                            lambda: G.fit_status_multiclass(weighted, weight_col="weight", **extra), save)
+
+    def written(df, name):  # predictions are read by many tables: score once, read the file
+        df.write.mode("overwrite").parquet(f"{out_dir}/predictions/{name}")
+        return spark.read.parquet(f"{out_dir}/predictions/{name}")
+    fee_pred = written(status.predict(fee).select("id", F.col("p_2").alias("default_prob"), "label_pred",
+                                                  "total_outstanding", "days_since_last_payment", "label",
+                                                  "previous_term_status"), "status")
 
     # 5. evaluation tables (held-out binary, in-sample multiclass, anomaly vs labels)
     test = split.filter(F.col("split") == "test")
-    bp = binary.predict_proba(test).select("id", F.col("fee_default").alias("y_true"),
-                                           (F.col("default_prob") >= binary.threshold).cast("int").alias("y_pred"),
-                                           F.col("default_prob").alias("prob"))
+    bp = written(binary.predict_proba(test).select("id", F.col("fee_default").alias("y_true"),
+                                                   (F.col("default_prob") >= binary.threshold).cast("int").alias("y_pred"),
+                                                   F.col("default_prob").alias("prob")), "default_held_out")
     mp = fee_pred.select("id", F.col("label").alias("y_true"), F.col("label_pred").alias("y_pred"))
     scan = TH.threshold_scan(bp)
     evaluation = {
@@ -121,10 +136,16 @@ def run_batch_job(spark: SparkSession, presence: DataFrame, periods: DataFrame,
         "top_default": E.top_default(fee_pred),
     }
     if labels is not None:
-        ap = att_scored.select("id", F.col("is_anomaly").alias("y_true"),
-                               F.col("is_anomaly_pred").cast("int").alias("y_pred"))
-        evaluation["anomaly_metrics"] = E.binary_metrics(ap)
-        evaluation["anomaly_gate"] = E.target_gate(E.binary_metrics(ap), "anomaly", "recall", 0.60)
+        ap = written(att_scored.select("id", F.col("is_anomaly").alias("y_true"), "risk_raw", "longest_absence_streak", "attendance_rate",
+                                       F.col("is_anomaly_pred").cast("int").alias("y_pred")), "anomaly")
+        metrics = E.binary_metrics(ap)
+        evaluation["anomaly_metrics"] = metrics
+        evaluation["anomaly_gate"] = E.target_gate(metrics, "anomaly", "recall", 0.60)
+        evaluation["anomaly_confusion"] = E.confusion_matrix(ap)
+        evaluation["anomaly_report"] = E.classification_report(ap, classes=[0, 1], names=["Normal", "Anomaly"])
+        evaluation["anomaly_top_flagged"] = (
+            ap.where("y_pred = 1").orderBy(F.desc("risk_raw"), "id").limit(10)
+            .withColumn("verdict", F.when(F.col("y_true") == 1, "confirmed").otherwise("false alarm")))
     AR.write_evaluation(evaluation, f"{out_dir}/evaluation")
 
     # 6. history store for per-entity lookups, then the scored profile (durable table the dashboard reads)

@@ -215,33 +215,37 @@ def f11(spark, sf):
 
 
 # ---------------------------------------------------------------- Q: quality
-def _checks(t: TestTables) -> DataFrame:
-    return Q.presence_checks(att_table(t)).unionByName(Q.period_checks(fee_table(t)))
+def _checks(t: TestTables, *kinds: str) -> DataFrame:
+    kinds = kinds or Q.KINDS
+    return Q.presence_checks(att_table(t), kinds=kinds).unionByName(Q.period_checks(fee_table(t), kinds=kinds))
 
 
-def _checks_r6(t, names: list[str] | None = None, prefix: str | None = None):
-    c = _checks(t)
-    if names is not None:
-        c = c.filter(F.col("check_name").isin(names))
-    if prefix is not None:
-        c = c.filter(F.col("check_name").startswith(prefix))
+def _r6_rows(c: DataFrame) -> DataFrame:
     return c.select("tbl", "check_name", "col", r6("observed").alias("observed"), r6("bound").alias("bound"),
                     "severity", "passed")
 
 
 @register("q1_required_columns")
 def q1(spark, sf):
-    return _checks_r6(_t(spark, sf), ["required_columns"])
+    """Both feature tables, and the fee table without its label: that one must fail."""
+    t = _t(spark, sf)
+    bare = Q.period_checks(fee_table(t).drop("label"), "fee_features_unlabelled", kinds=("required",))
+    return _r6_rows(_checks(t, "required").unionByName(bare))
 
 
 @register("q2_null_counts")
 def q2(spark, sf):
-    return _checks_r6(_t(spark, sf), ["nulls"])
+    """Both feature tables, and the fee table with every 7th id (and its days) missing: that one must fail."""
+    t = _t(spark, sf)
+    fee = fee_table(t)
+    gone = F.pmod(F.col("student_id"), F.lit(7)) == 0
+    holes = fee.withColumns({c: F.when(~gone, F.col(c)) for c in ("student_id", "days_since_last_payment")})
+    return _r6_rows(_checks(t, "nulls").unionByName(Q.period_checks(holes, "fee_features_holes", kinds=("nulls",))))
 
 
 @register("q3_ranges")
 def q3(spark, sf):
-    return _checks_r6(_t(spark, sf), ["min", "max"])
+    return _r6_rows(_checks(_t(spark, sf), "ranges"))
 
 
 @register("q4_label_distribution")
@@ -254,17 +258,17 @@ def q4(spark, sf):
 
 @register("q4_label_band")
 def q4b(spark, sf):
-    return _checks_r6(_t(spark, sf), ["label_pct_min", "label_pct_max"])
+    return _r6_rows(_checks(_t(spark, sf), "band"))
 
 
 @register("q5_group_means")
 def q5(spark, sf):
-    return _checks_r6(_t(spark, sf), ["mean_1_lt_0", "mean_1_gt_0", "mean_2_gt_0"])
+    return _r6_rows(_checks(_t(spark, sf), "means"))
 
 
 @register("q6_monotone_means")
 def q6(spark, sf):
-    return _checks_r6(_t(spark, sf), prefix="rising_")
+    return _r6_rows(_checks(_t(spark, sf), "monotone"))
 
 
 @register("q7_top_anomalies")

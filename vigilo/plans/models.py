@@ -3,13 +3,15 @@
 Deterministic steps (standardise, quantile offset, risk, split, weights,
 threshold rules, threshold tuning, the exact kNN of oversampling) have SQL
 twins. Fitted models (forest, boosted trees, synthetic rows) are checked on
-rows and invariants. Registered GBT fits use a reduced iteration budget
-(``QUERY_GBT_ITERS``) so the whole registry runs in minutes; the training
-batch job (``vigilo.plans.batch_job``) uses the reference's parameters.
+rows and invariants. Boosted trees are fitted with their full iteration budget;
+queries that need the same fitted model share its saved artifact (S8, load or
+fit) in the shared folder of the application.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import functions as F
 
 from vigilo.functions import rint_round, risk_tier
@@ -20,22 +22,19 @@ from vigilo.operators import sampling as S
 from vigilo.operators import thresholds as TH
 from vigilo.operators.iforest import IsolationForest
 from vigilo.operators.scaling import fit_standardizer
+from vigilo.session import ensure_checkpoint_dir
+from vigilo.sources import artifacts as AR
 from vigilo.plans.catalog import _t, fee_feats, predictions, presence_feats, r6, register
 
 PRESENCE_FEATURES = ["attendance_rate", "longest_absence_streak", "absence_in_last_30_days", "day_of_week_variance"]
-QUERY_GBT_ITERS = 10
 QUERY_TREES = 100
 
-# Fitted models shared by the queries of one application and data folder (fits are deterministic,
-# so M11/M12/D12 reuse M9's model and M15 reuses M8's instead of refitting).
-_FITTED: dict[tuple, object] = {}
-
 
-def _memo(spark, sf, name, fit):
-    key = (spark.sparkContext.applicationId, sf, name)
-    if key not in _FITTED:
-        _FITTED[key] = fit()
-    return _FITTED[key]
+def _artifact(spark, sf, name, load, fit):
+    """Load the model another query of this application saved for the same tables, or fit and save it."""
+    tag = hashlib.sha1(f"{spark.sparkContext.applicationId}|{sf}".encode()).hexdigest()[:16]
+    path = f"{ensure_checkpoint_dir(spark)}/models-{tag}/{name}"
+    return AR.load_or_fit(spark, path, load, fit, lambda _, model, p: model.save(p))
 
 
 def _z(spark, sf):
@@ -162,8 +161,8 @@ def _binary_model(spark, sf):
     def fit():
         tr = S.smote(_binary_train(spark, sf).select("id", "fee_default", *FP.BINARY_FEATURES),
                      "fee_default", FP.BINARY_FEATURES, minority=1)
-        return G.fit_default_binary(tr, maxIter=QUERY_GBT_ITERS)
-    return _memo(spark, sf, "default_binary", fit)
+        return G.fit_default_binary(tr)
+    return _artifact(spark, sf, "default_binary", G.DefaultBinaryModel.load, fit)
 
 
 @register("m8_fit_default_binary")
@@ -176,8 +175,8 @@ def m8(spark, sf):
 def _multi_model(spark, sf):
     def fit():
         f = S.class_weights(fee_feats(_t(spark, sf)), "label", "fixed", minority=2, factor=4.0)
-        return G.fit_status_multiclass(f, weight_col="weight", maxIter=QUERY_GBT_ITERS)
-    return _memo(spark, sf, "status_multiclass", fit)
+        return G.fit_status_multiclass(f, weight_col="weight")
+    return _artifact(spark, sf, "status_multiclass", G.StatusMulticlassModel.load, fit)
 
 
 @register("m9_fit_status_multiclass")

@@ -216,8 +216,8 @@ def _check(tbl, check, col, observed, bound, severity, passed):
             f"'{severity}' as severity, coalesce({passed}, false) as passed")
 
 
-ATT_COLS = ["attendance_rate", "longest_absence_streak", "absence_in_last_30_days", "day_of_week_variance", "is_anomaly"]
-FEE_COLS = ["days_since_last_payment", "previous_term_status", "total_outstanding", "income_encoded",
+ATT_COLS = ["student_id", "attendance_rate", "longest_absence_streak", "absence_in_last_30_days", "day_of_week_variance", "is_anomaly"]
+FEE_COLS = ["student_id", "days_since_last_payment", "previous_term_status", "total_outstanding", "income_encoded",
             "transport_user", "sibling_count", "label"]
 DOUBLE_COLS = {"attendance_rate", "day_of_week_variance", "days_since_last_payment", "total_outstanding"}
 
@@ -226,7 +226,7 @@ def _null_expr(c):
     return f"(count(*) filter (where {c} is null{' or isnan(' + c + ')' if c in DOUBLE_COLS else ''}))"
 
 
-def _check_rows(kind):
+def _check_rows(kind, probes=False):
     rows = []
     tabs = [("attendance_features", "att", ATT_COLS, "is_anomaly"), ("fee_features", "feetab", FEE_COLS, "label")]
     for tbl, src, cols, lab in tabs:
@@ -235,6 +235,13 @@ def _check_rows(kind):
         if kind == "nulls":
             for c in cols:
                 rows.append(f"select * from ({_check(tbl, 'nulls', c, _null_expr(c), '0', 'error', _null_expr(c) + ' = 0')} from {src})")
+    if kind == "required" and probes:
+        rows.append(f"select * from ({_check('fee_features_unlabelled', 'required_columns', None, '1', '0', 'error', 'false')})")
+    if kind == "nulls" and probes:
+        holes = ("(select * replace (case when student_id % 7 <> 0 then student_id end as student_id, "
+                 "case when student_id % 7 <> 0 then days_since_last_payment end as days_since_last_payment) from feetab)")
+        for c in FEE_COLS:
+            rows.append(f"select * from ({_check('fee_features_holes', 'nulls', c, _null_expr(c), '0', 'error', _null_expr(c) + ' = 0')} from {holes} h)")
     ranges = [("attendance_features", "att", "attendance_rate", 0, 1), ("attendance_features", "att", "longest_absence_streak", None, 200)]
     for c in ["income_encoded", "transport_user", "sibling_count", "previous_term_status", "label"]:
         hi = {"income_encoded": 2, "transport_user": 1, "sibling_count": 3, "previous_term_status": 2, "label": 2}[c]
@@ -272,8 +279,8 @@ def _union(rows):
     return "\nunion all\n".join(rows)
 
 
-q("q1_required_columns", _union(_check_rows("required")), "att", "feetab")
-q("q2_null_counts", _union(_check_rows("nulls")), "att", "feetab")
+q("q1_required_columns", _union(_check_rows("required", True)), "att", "feetab")
+q("q2_null_counts", _union(_check_rows("nulls", True)), "att", "feetab")
 q("q3_ranges", _union(_check_rows("ranges")), "att", "feetab")
 q("q4_label_distribution", f"""
   select 'attendance_features' as tbl, is_anomaly as label, count(*) as n,
@@ -406,17 +413,17 @@ q("d15_risk_reasons", """
   select id, attendance_reasons, fee_reasons, attendance_reasons = '' and fee_reasons = '' as no_risk from (
   select id,
     concat_ws(' | ',
-      case when is_anomaly and attendance_rate < 50 then 'Critical attendance at ' || cast(attendance_rate as varchar) || '% — far below the 75% safe threshold. IsolationForest flagged this as a severe anomaly.'
-           when is_anomaly and attendance_rate < 70 then 'Attendance dropped to ' || cast(attendance_rate as varchar) || '%, triggering the anomaly detection model.'
-           when is_anomaly then 'Despite ' || cast(attendance_rate as varchar) || '% overall, the absence pattern is irregular — a sudden recent drop was detected.' end,
+      case when is_anomaly and attendance_rate < 50 then 'Critical attendance at ' || regexp_replace(format('{:.6f}', cast(attendance_rate as double)), '\\.?0+$', '') || '% — far below the 75% safe threshold. IsolationForest flagged this as a severe anomaly.'
+           when is_anomaly and attendance_rate < 70 then 'Attendance dropped to ' || regexp_replace(format('{:.6f}', cast(attendance_rate as double)), '\\.?0+$', '') || '%, triggering the anomaly detection model.'
+           when is_anomaly then 'Despite ' || regexp_replace(format('{:.6f}', cast(attendance_rate as double)), '\\.?0+$', '') || '% overall, the absence pattern is irregular — a sudden recent drop was detected.' end,
       case when is_anomaly and absence_streak >= 5 then cast(absence_streak as varchar) || '-day consecutive absence streak detected — possible family crisis or health issue.' end,
       case when is_anomaly and absence_30d >= 8 then cast(absence_30d as varchar) || ' absences in the last 30 days — sharp recent deterioration.' end
     ) as attendance_reasons,
     concat_ws(' | ',
-      case when fee_label = 2 then 'Student has defaulted with ' || cast(outstanding as varchar) || ' outstanding.'
+      case when fee_label = 2 then 'Student has defaulted with ₹' || regexp_replace(format('{:,.3f}', cast(outstanding as double)), '\\.?0+$', '') || ' outstanding.'
            when fee_label = 1 then 'Late payment pattern — ' || cast(days_late as varchar) || ' days since last payment.' end,
       case when fee_label = 2 and days_late > 30 then 'Payment is ' || cast(days_late as varchar) || ' days overdue — confirmed default.' end,
-      case when fee_prob > 15 and fee_label < 2 then 'AI predicts ' || cast(fee_prob as varchar) || '% chance of future default — early intervention recommended.' end
+      case when fee_prob > 15 and fee_label < 2 then 'AI predicts ' || regexp_replace(format('{:.6f}', cast(fee_prob as double)), '\\.?0+$', '') || '% chance of future default — early intervention recommended.' end
     ) as fee_reasons
   from prof)""", "prof")
 q("d16_initials", """
@@ -497,8 +504,8 @@ q("m5_risk_score", f"""
          when greatest(0e0, least(100e0, 100e0 * (1e0 - (decision + 0.5e0)))) > 40 then 'Medium' else 'Low' end as risk_level
   from dec""", "dec")
 q("m6_stratified_split", """
-  select id, label, case when ((id + 42) * 2654435761) % 4294967296 / 4294967296e0 < 0.2e0 then 'test' else 'train' end
-         as split from fee""", "fee")
+  select id, label, case when row_number() over (partition by label order by ('0x' || substr(md5('42:' || id), 1, 13))::bigint, id)
+           <= floor(count(*) over (partition by label) * 0.2e0 + 0.5e0) then 'test' else 'train' end as split from fee""", "fee")
 q("m10_class_weights", f"""
   select id, label, case when label = 2 then 4e0 else 1e0 end as weight_fixed,
          {R('count(*) over () / ((select count(distinct label) from fee) * count(*) over (partition by label))')} as weight_balanced
@@ -525,7 +532,8 @@ cte("mi", ["fee"], """
   select *, cast(label = 2 as integer) as fee_default, cast(income_encoded = 2 as integer) as is_low_income,
          cast(sibling_count >= 3 as integer) as has_many_siblings, cast(previous_term_status >= 1 as integer) as was_late_or_worse,
          days_since_last_payment * total_outstanding / 10000e0 as days_x_outstanding
-  from fee where ((id + 42) * 2654435761) % 4294967296 / 4294967296e0 >= 0.2e0 and label = 2""")
+  from fee where label = 2 qualify row_number() over (partition by label = 2 order by ('0x' || substr(md5('42:' || id), 1, 13))::bigint, id)
+    > floor(count(*) over (partition by label = 2) * 0.2e0 + 0.5e0)""")
 _dist = " + ".join(f"(cast(a.{c} as double) - cast(b.{c} as double)) * (cast(a.{c} as double) - cast(b.{c} as double))" for c in _BF)
 q("m7_smote_knn", f"""
   select id, nbr_id, nn, {R('dist')} as dist from (

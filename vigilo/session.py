@@ -20,6 +20,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("VIGILO_DRIVER_MEMORY", "8g"))
     )
     spark = builder.getOrCreate()
@@ -41,7 +42,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
+        if not (sc.master == "local" or sc.master.startswith("local[")):
             raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder (HDFS/S3/...) for the cluster")
         configured = tempfile.mkdtemp(prefix="vigilo-ckpt-")  # local mode only (tests)
     sc.setCheckpointDir(configured)
@@ -54,9 +55,12 @@ def pin(df):
     ``checkpoint()`` writes with a second job that recomputes its input
     unless it is cached, so the input is persisted first, written to the
     shared checkpoint folder, and the cache released: the returned frame
-    reads the checkpoint files (short lineage, survives executor loss).
+    reads the checkpoint files (short lineage, survives executor loss). A
+    frame its caller has cached stays cached.
     """
     ensure_checkpoint_dir(df.sparkSession)
+    if df.is_cached or df.storageLevel.useMemory or df.storageLevel.useDisk:
+        return df.checkpoint(eager=True)
     cached = df.persist()
     try:
         return cached.checkpoint(eager=True)
@@ -85,5 +89,6 @@ def cluster_conf(input_bytes: int, executor_cores: int, executors: int,
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.parquet.aggregatePushdown": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.sql.session.timeZone": "UTC",
     }

@@ -9,10 +9,15 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from vigilo.functions import rint_round, risk_tier
 from vigilo.operators.iforest import IsolationForestModel
+from vigilo.operators.thresholds import risk_from_decision
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -46,13 +51,45 @@ def load_standardizer(spark: SparkSession, path: str):
     return StandardizerModel([r["col"] for r in rows], [r["mean"] for r in rows], [r["std"] for r in rows])
 
 
+@dataclass
+class AnomalyModel:
+    """Scaler and forest fitted together: one artifact, so they cannot go out of step."""
+    scaler: object
+    forest: IsolationForestModel
+
+    def flag(self, features: DataFrame, id_col: str = "id") -> DataFrame:
+        """New feature rows -> id, risk score (2 dp), flag, tier, with the fitted scaling and offset."""
+        clean = features.fillna(0.0, [c for c in self.forest.features if c in features.columns])
+        d = self.forest.decision(self.scaler.transform(clean))
+        risk = risk_from_decision("decision")
+        return d.select(F.col(id_col).alias("student_id"), rint_round(risk, 2).alias("risk_score"), "is_flagged",
+                        risk_tier(risk).alias("risk_level"))
+
+
+def save_anomaly(spark: SparkSession, model: AnomalyModel, path: str) -> None:
+    """Both parts below one path; the parameters, written last, make the artifact whole."""
+    save_standardizer(spark, model.scaler, f"{path}/scaler")
+    save_forest(spark, model.forest, path)
+
+
+def load_anomaly(spark: SparkSession, path: str) -> AnomalyModel:
+    return AnomalyModel(load_standardizer(spark, f"{path}/scaler"), load_forest(spark, path))
+
+
 def load_or_fit(spark: SparkSession, path: str, load: Callable[[SparkSession, str], object],
                 fit: Callable[[], object], save: Callable[[SparkSession, object, str], None]):
-    """Load the artifact at ``path``; if absent or unreadable, fit, save and return it."""
+    """Load the artifact at ``path``; if absent, incomplete or of another format, fit, save and return it.
+
+    Anything else that goes wrong while reading (permissions, a lost connection)
+    is raised: it must not overwrite a good artifact.
+    """
     if _exists(spark, path):
         try:
             return load(spark, path)
-        except Exception:  # noqa: BLE001 - an unreadable artifact is refitted, like the reference
+        except AnalysisException as e:
+            if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+        except (KeyError, TypeError, ValueError):  # parameters of another format
             pass
     model = fit()
     save(spark, model, path)

@@ -73,7 +73,12 @@ def _read(spark: SparkSession, path: str, schema: T.StructType, fmt: str | None)
     f = _fmt(path, fmt)
     reader = spark.read.schema(schema)
     if f == "csv":
-        return reader.option("header", True).option("mode", "FAILFAST").csv(path)
+        # Columns are bound by header name: read as text, then cast (a value that does not fit fails the query).
+        raw = spark.read.option("header", True).option("mode", "FAILFAST").csv(path)
+        missing = [c.name for c in schema.fields if c.name not in raw.columns]
+        if missing:
+            raise ValueError(f"{path} has no column {', '.join(missing)}")
+        return raw.select(*[F.col(c.name).cast(c.dataType).alias(c.name) for c in schema.fields])
     return reader.format(f).load(path)
 
 
@@ -102,7 +107,9 @@ def read_entity_dim(spark: SparkSession, path: str, fmt: str | None = None,
         else:
             raw = spark.read.format(f).load(path)
         cols = set(raw.columns)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         if required:
             raise MissingInputError(f"entity dimension not found at {path}")
         return None
