@@ -32,7 +32,7 @@ def _norm(v):
     if hasattr(v, "item"):
         return _norm(v.item())
     if isinstance(v, int):
-        return repr(float(v)) if False else str(v)
+        return str(v)
     return str(v)
 
 
@@ -92,7 +92,7 @@ def run(sf_dir, names=None, verbose=True):
             print(f"   TYPE-DIFF {name}: {tdiff}")
         sh, sl = digest(scols, srows)
         dh, dl = digest(dcols, drows)
-        ok = (len(srows) == len(drows)) and sorted(scols) == sorted(dcols) and sh == dh
+        ok = not tdiff and (len(srows) == len(drows)) and sorted(scols) == sorted(dcols) and sh == dh
         results[name] = ("OK" if ok else "MISMATCH", len(srows), len(drows))
         print(f"{name:34s} {'OK      ' if ok else 'MISMATCH'} rows={len(srows)}/{len(drows)} {dt:.1f}s")
         if not ok and verbose:

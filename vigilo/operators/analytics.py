@@ -155,7 +155,7 @@ def drill_down(profile: DataFrame, kind: str, value: str, metric: str | None = N
     if kind == "rate_bucket":
         return profile.filter(rate_bucket() == value)
     if kind == "class":
-        df = profile.filter(F.col("student_class") == value)
+        df = profile.filter(F.coalesce("student_class", F.lit("Unknown")) == value)
         if metric == "anomalies":
             df = df.filter(F.col("is_anomaly"))
         elif metric == "defaults":

@@ -78,6 +78,15 @@ def _load_params(spark: SparkSession, path: str):
     return spark.read.parquet(f"{path}/params").first()
 
 
+#: Training rows a partition holds at least: every iteration is a few jobs over all partitions, so empty ones only cost.
+PARTITION_ROWS = 20_000
+
+
+def _sized(data: DataFrame) -> DataFrame:
+    """Materialise the cached training rows and join partitions that are too small to be worth a task."""
+    return data.coalesce(max(1, -(-data.count() // PARTITION_ROWS)))
+
+
 def fit_default_binary(train: DataFrame, features: list[str] = BINARY_FEATURES, label: str = "fee_default",
                        weight_col: str | None = None, **params) -> DefaultBinaryModel:
     """M8: binary GBT (reference parameters unless overridden)."""
@@ -89,8 +98,7 @@ def fit_default_binary(train: DataFrame, features: list[str] = BINARY_FEATURES,
     # split finding and the metadata passes read the input again: keep it instead of its lineage
     data = train.select(label, *features, *([weight_col] if weight_col else [])).persist()
     try:
-        data.count()
-        return DefaultBinaryModel(Pipeline(stages=[asm, gbt]).fit(data), list(features))
+        return DefaultBinaryModel(Pipeline(stages=[asm, gbt]).fit(_sized(data)), list(features))
     finally:
         data.unpersist()
 
@@ -164,11 +172,11 @@ def fit_status_multiclass(train: DataFrame, features: list[str] = STATUS_FEATURE
         gbt = GBTClassifier(featuresCol="features", labelCol=f"_is_{k}", **p)
         if weight_col:
             gbt.setWeightCol(weight_col)
-        return gbt.fit(data)
+        return gbt.fit(sized)
 
     from concurrent.futures import ThreadPoolExecutor
     try:
-        data.count()
+        sized = _sized(data)
         with ThreadPoolExecutor(max_workers=parallelism or len(classes)) as pool:
             models = list(pool.map(fit_one, classes))
     finally:

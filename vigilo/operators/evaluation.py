@@ -91,6 +91,10 @@ def target_gate(metric: DataFrame, model: str, metric_col: str, minimum: float)
                          (v >= F.lit(float(minimum))).alias("passed"))
 
 
+#: Rows a partition of a prefix sum holds.
+PREFIX_ROWS = 200_000
+
+
 def prefix_sums(df: DataFrame, order_col, value_cols: list[str], partitions: int | None = None) -> DataFrame:
     """Exclusive running sums of ``value_cols`` in ``order_col`` order, fully distributed.
 
@@ -100,13 +104,20 @@ def prefix_sums(df: DataFrame, order_col, value_cols: list[str], partitions: int
     range shuffles need not agree). Each partition computes its local sums
     in one window task; the per-partition totals (one row per partition — a
     bounded table) give each partition's offset, added by a broadcast join.
+    The number of partitions follows the number of rows (PREFIX_ROWS each), not
+    the cluster's shuffle setting: a thousand distinct scores are one partition.
     ``order_col`` (a name or a list of names) must be unique per row.
     """
     from vigilo.session import pin
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [order_col] if isinstance(order_col, str) else list(order_col)
-    ranged = pin(df.repartitionByRange(n, *order)).withColumn("_pid", F.spark_partition_id())
+    held = df.is_cached
+    df = df if held else df.persist()
+    try:
+        n = partitions or max(1, -(-df.count() // PREFIX_ROWS))
+        ranged = pin(df.repartitionByRange(n, *order)).withColumn("_pid", F.spark_partition_id())
+    finally:
+        if not held:
+            df.unpersist()
     w_local = Window.partitionBy("_pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     local = ranged.select("*", *[F.coalesce(F.sum(c).over(w_local), F.lit(0)).alias(f"_loc_{c}") for c in value_cols])
     totals = ranged.groupBy("_pid").agg(*[F.sum(c).alias(f"_tot_{c}") for c in value_cols])

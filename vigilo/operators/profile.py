@@ -153,13 +153,16 @@ def page_info(df: DataFrame, number: int, size: int = PAGE_SIZE) -> DataFrame:
                         F.least(F.lit(number * size).cast("long"), F.col("total")), F.col("total")).alias("label"))
 
 
-def keyset_page(df: DataFrame, key: str, after: tuple | None, size: int = PAGE_SIZE) -> DataFrame:
+def keyset_page(df: DataFrame, key: str | None, after: tuple | None, size: int = PAGE_SIZE) -> DataFrame:
     """D8 for deep pages: rows strictly after the (sort value, id) of the last row seen.
 
-    Unlike offset paging, the cost does not grow with the page number.
+    Unlike offset paging, the cost does not grow with the page number. Without a
+    key the order is by id and the sort value is not looked at.
     """
-    col, desc = SORT_KEYS[key]
-    if after is not None:
+    if after is not None and key not in SORT_KEYS:
+        df = df.filter(F.col("id") > after[1])
+    elif after is not None:
+        col, desc = SORT_KEYS[key]
         v, last_id = after
         beyond = (F.col(col) < v) if desc else (F.col(col) > v)
         df = df.filter(beyond | ((F.col(col) == v) & (F.col("id") > last_id)))

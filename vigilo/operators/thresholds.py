@@ -91,30 +91,25 @@ def grid() -> list[float]:
 def threshold_scan(pred: DataFrame, t: str = "y_true", p: str = "prob") -> DataFrame:
     """M14 scan: tp / fn / fp, recall and precision at every grid threshold.
 
-    ONE pass over the predictions: each row is expanded over the (15) grid
-    thresholds it reaches plus a sentinel every row reaches, and counts are
-    aggregated per threshold (partial aggregation: one row per threshold per
-    task crosses the shuffle). The sentinel's counts are the class totals;
-    a window over the 16 result rows hands them to every threshold. No cross
-    join, no second scan.
+    ONE pass over the predictions: each row counts under the number of
+    thresholds it reaches (one row in, one group of at most 16; partial counts
+    cross the shuffle), and sums from the top turn those into the counts per
+    threshold and the class totals. No expansion, no cross join, no second scan.
     """
     from pyspark.sql import Window
     from vigilo.functions import safe_ratio
-    sentinel = -1.0
     g = F.array(*[F.lit(x) for x in grid()])
-    reached = pred.select(F.col(t).alias("_t"), F.explode(
-        F.concat(F.array(F.lit(sentinel)), F.filter(g, lambda x: F.col(p) >= x))).alias("threshold"))
-    hits = reached.groupBy("threshold").agg(F.count(F.when(F.col("_t") == 1, F.lit(1))).alias("tp"),
-                                            F.count(F.when(F.col("_t") != 1, F.lit(1))).alias("fp"))
-    spark = pred.sparkSession
+    reached = F.size(F.filter(g, lambda x: F.col(p) >= x))
+    hits = pred.groupBy(reached.cast("long").alias("k")).agg(
+        F.count(F.when(F.col(t) == 1, F.lit(1))).alias("tp"), F.count(F.when(F.col(t) != 1, F.lit(1))).alias("fp"))
     steps = (GRID_STOP_PCT - GRID_START_PCT) // GRID_STEP_PCT + 1
-    all_t = spark.range(steps).select(((F.lit(GRID_START_PCT) + F.col("id") * F.lit(GRID_STEP_PCT))
-                                       / F.lit(100.0)).alias("threshold")).unionByName(
-        spark.range(1).select(F.lit(sentinel).alias("threshold")))
-    out = all_t.join(F.broadcast(hits), "threshold", "left").fillna(0, ["tp", "fp"])
-    pos = F.max(F.when(F.col("threshold") == sentinel, F.col("tp"))).over(Window.partitionBy(F.lit(1)))
-    out = out.withColumn("_pos", pos).filter(F.col("threshold") != sentinel)
-    return out.select("threshold", "tp", (F.col("_pos") - F.col("tp")).alias("fn"), "fp",
+    # at most 16 rows: how many predictions reach exactly k thresholds; the sums from k upwards are the counts at threshold k
+    rows = pred.sparkSession.range(steps + 1).withColumnRenamed("id", "k").join(hits, "k", "left").fillna(0, ["tp", "fp"])
+    up = Window.partitionBy(F.lit(1)).orderBy(F.desc("k")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = rows.select("k", F.sum("tp").over(up).alias("tp"), F.sum("fp").over(up).alias("fp"),
+                      F.sum("tp").over(Window.partitionBy(F.lit(1))).alias("_pos")).where("k > 0")
+    threshold = (F.lit(GRID_START_PCT) + (F.col("k") - 1) * F.lit(GRID_STEP_PCT)) / F.lit(100.0)
+    return out.select(threshold.alias("threshold"), "tp", (F.col("_pos") - F.col("tp")).alias("fn"), "fp",
                       safe_ratio(F.col("tp"), F.col("_pos")).alias("recall"),
                       safe_ratio(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"))
 

@@ -400,11 +400,34 @@ def d7(spark, sf):
     return D.sort_profiles(profile(_t(spark, sf)), "att_asc").select("id", "attendance_rate")
 
 
+def _sorted_by(key, col):
+    @register(f"d7_sort_{key}")
+    def by_key(spark, sf):
+        return D.sort_profiles(profile(_t(spark, sf)), key).select("id", col)
+
+
+for _key, _col in (("risk_desc", "risk_score"), ("risk_asc", "risk_score"), ("att_desc", "attendance_rate"), ("fee_desc", "fee_prob")):
+    _sorted_by(_key, _col)
+
+
 @register("d8_page")
 def d8(spark, sf):
     return D.page(profile(_t(spark, sf)), PAGE_NUMBER, "risk_desc").select("id", "name", "risk_score")
 
 
+@register("d8_keyset_page")
+def d8k(spark, sf):
+    """The page after the last row of the page before it, without an offset."""
+    prof = profile(_t(spark, sf))
+    last = D.page(prof, PAGE_NUMBER - 1, "risk_desc").select("risk_score", "id").collect()[-1]
+    return D.keyset_page(prof, "risk_desc", (last["risk_score"], last["id"])).select("id", "name", "risk_score")
+
+
+@register("d8_keyset_page_by_id")
+def d8ki(spark, sf):
+    return D.keyset_page(profile(_t(spark, sf)), None, (None, 40)).select("id", "name")
+
+
 @register("d8_page_info")
 def d8i(spark, sf):
     return D.page_info(D.filter_segment(profile(_t(spark, sf)), "safe"), PAGE_NUMBER)
@@ -534,6 +557,20 @@ def b11c(spark, sf):
     return B.drill_down(profile(_t(spark, sf)), "class", "GERMANY", "defaults").select("id", "fee_label")
 
 
+@register("b11_drill_down_fee_status")
+def b11d(spark, sf):
+    return B.drill_down(profile(_t(spark, sf)), "fee_status", "Late").select("id", "fee_label")
+
+
+@register("b11_drill_down_class_metrics")
+def b11e(spark, sf):
+    """A class that has rows, under every metric."""
+    prof = profile(_t(spark, sf))
+    top = prof.groupBy("student_class").count().orderBy(F.desc("count"), "student_class").first()["student_class"]
+    parts = [B.drill_down(prof, "class", top, m).select("id", F.lit(m).alias("metric")) for m in ("all", "anomalies", "late", "defaults")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
 @register("b12_suggest")
 def b12(spark, sf):
     return B.suggest(profile(_t(spark, sf)), SEARCH_TEXT, 5)

@@ -380,6 +380,11 @@ q("d6_segment_anomaly", "select id, risk_score from prof where is_anomaly", "pro
 q("d6_segment_fee_risk", "select id, fee_prob from prof where fee_label = 2", "prof")
 q("d6_segment_safe", "select id, risk_score, fee_label from prof where not is_anomaly and fee_label = 0", "prof")
 q("d7_sort_profiles", "select id, attendance_rate from prof order by attendance_rate, id", "prof")
+for _k, _c, _o in (("risk_desc", "risk_score", "desc"), ("risk_asc", "risk_score", "asc"), ("att_desc", "attendance_rate", "desc"),
+                   ("fee_desc", "fee_prob", "desc")):
+    q(f"d7_sort_{_k}", f"select id, {_c} from prof order by {_c} {_o}, id", "prof")
+q("d8_keyset_page", "select id, name, risk_score from prof order by risk_score desc, id limit 20 offset 20", "prof")
+q("d8_keyset_page_by_id", "select id, name from prof where id > 40 order by id limit 20", "prof")
 q("d8_page", "select id, name, risk_score from prof order by risk_score desc, id limit 20 offset 20", "prof")
 q("d8_page_info", """
   select total, cast(ceil(total / 20) as bigint) as pages,
@@ -478,6 +483,12 @@ q("b10_safe_count_landing", "select landing_safe from kpi", "kpi")
 q("b11_drill_down_risk_tier", "select id, risk_score from prof where risk_score > 40 and risk_score <= 70", "prof")
 q("b11_drill_down_rate_bucket", "select id, attendance_rate from prof where attendance_rate >= 80 and attendance_rate < 90", "prof")
 q("b11_drill_down_class", "select id, fee_label from prof where student_class = 'GERMANY' and fee_label = 2", "prof")
+q("b11_drill_down_fee_status", "select id, fee_label from prof where fee_label = 1", "prof")
+q("b11_drill_down_class_metrics", """
+  select p.id, m.metric from prof p, (select unnest(['all', 'anomalies', 'late', 'defaults']) as metric) m
+  where p.student_class = (select student_class from prof group by 1 order by count(*) desc, 1 limit 1)
+    and (m.metric = 'all' or m.metric = 'anomalies' and is_anomaly or m.metric = 'late' and fee_label = 1
+         or m.metric = 'defaults' and fee_label = 2)""", "prof")
 q("b12_suggest", """
   select id, name, student_class from prof
   where contains(lower(name), 'ar') or contains(lower(cast(id as varchar)), 'ar') order by id limit 5""", "prof")
