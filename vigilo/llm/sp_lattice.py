@@ -170,7 +170,9 @@ def encode_documents(docs: DataFrame, model_file: str) -> DataFrame:
     blocks = max(1, -(-total // BLOCK_BYTES))
     block = F.pmod(F.xxhash64("doc_id", text), F.lit(blocks)).cast("int")
     rows = docs.select(block.alias("block"), F.col("doc_id").cast("string"), text.alias("text")).repartition("block")
-    distinct = rows.select("block", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(UNIT), F.lit(0)))).alias("unit"))
+    # Names the id (an empty piece of it), so that both readers of the shuffle need the same columns and share it.
+    with_id = F.concat("text", F.substring(F.coalesce("doc_id", F.lit("")), 1, 0))
+    distinct = rows.select("block", F.explode(F.array_distinct(F.regexp_extract_all(with_id, F.lit(UNIT), F.lit(0)))).alias("unit"))
     known = encode_units(distinct.where(F.length("unit") <= MAX_UNIT).distinct(), pieces)
     shared = docs.sparkSession.sparkContext.broadcast(pieces)
     out = (rows.groupBy("block").cogroup(known.toDF("block2", "unit", "ids").groupBy("block2"))
