@@ -34,8 +34,8 @@ def classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate class stays: the one with the smallest id (one row of it)."""
-    return _only(docs, near_duplicates(docs), "kept").dropDuplicates(["doc_id"])
+    """One document of each near-duplicate class stays: the one with the smallest id (rows equal in id and text: one)."""
+    return _only(docs, near_duplicates(docs), "kept").dropDuplicates(["doc_id", "text"])
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

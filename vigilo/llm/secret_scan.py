@@ -110,9 +110,9 @@ def redact(docs: DataFrame) -> DataFrame:
     rows = docs.withColumns({"_h": F.xxhash64(text), "_len": F.length(text), "_base": base_spans(text)})
     parts = docs.select(F.xxhash64(text).alias("h"), F.length(text).alias("len"), base_spans(text).alias("base"),
                         weak_spans(text).alias("weak"))
-    linked = _linked(parts).withColumnRenamed("h", "_h").withColumnRenamed("len", "_len")
+    linked = _linked(parts).toDF("_h", "_len", "_linked")
     joined = rows.join(linked, ["_h", "_len"], "left")
-    all_spans = F.concat("_base", F.coalesce("linked", S.none()))
+    all_spans = F.concat("_base", F.coalesce("_linked", S.none()))
     clean = joined.withColumn("text", F.when(F.col("text").isNull(), F.col("text")).otherwise(S.masked(text, all_spans)))
     if "n_chars" in docs.columns:
         clean = clean.withColumn("n_chars", F.when(F.size(all_spans) > 0, F.length("text").cast("long"))
