@@ -105,18 +105,31 @@ def fit(docs: DataFrame, labels: DataFrame) -> Voter | None:
     usable = (labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).where(~held_out())
               .groupBy("doc_id").agg(F.max("quality").alias("quality")))
     picked = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_LABELLED)
-    rows = (docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
-            .mapInPandas(_term_rows, "doc_id long, quality int, v binary").collect())
-    rows = [r for r in sorted(rows, key=lambda r: (r["doc_id"], bytes(r["v"]))) if any(r["v"])]
+    vectors = (docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
+               .mapInPandas(_term_rows, "doc_id long, quality int, v binary"))
+    # The sample is bounded, so one task holds it; the driver gets the space and the labelled vectors in it, about 3 MB.
+    rows = vectors.repartition(1).mapInPandas(_latent, "kind string, quality int, z binary").collect()
     if not rows:
         return None
-    x = np.stack([np.frombuffer(r["v"], np.float32) for r in rows]).astype(np.float64)
-    y = np.array([r["quality"] for r in rows], float)
+    basis = np.stack([np.frombuffer(r["z"]) for r in rows if r["kind"] == "basis"])
+    labelled = [r for r in rows if r["kind"] == "row"]
+    y = np.array([r["quality"] for r in labelled], float)
+    return Voter(basis, np.stack([np.frombuffer(r["z"]) for r in labelled]), y, float(y.mean()))
+
+
+def _latent(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The truncated SVD of the sample: rows of the projection (kind 'basis') and the labelled unit vectors (kind 'row')."""
+    parts = [df[df["v"].map(any).astype(bool)] for df in batches]
+    if not sum(map(len, parts)):
+        return
+    df = pd.concat(parts).sort_values(["doc_id", "v"], ignore_index=True)
+    x = np.stack([np.frombuffer(v, np.float32) for v in df["v"]]).astype(np.float64)
     values, basis = np.linalg.eigh(x.T @ x)
-    basis = basis[:, np.argsort(-values)[:RANK]]
+    basis = np.ascontiguousarray(basis[:, np.argsort(-values)[:RANK]])
     z = x @ basis
     z /= np.maximum(np.linalg.norm(z, axis=1), 1e-12)[:, None]
-    return Voter(basis, z, y, float(y.mean()))
+    yield pd.DataFrame({"kind": "basis", "quality": 0, "z": [b.tobytes() for b in basis]})
+    yield pd.DataFrame({"kind": "row", "quality": df["quality"], "z": [v.tobytes() for v in z]})
 
 
 def _term_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
