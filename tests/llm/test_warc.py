@@ -21,7 +21,7 @@ def ids(data):
 
 
 def gaps(data):
-    return [(x[1], x[2]) for x in M.salvage(data) if x[0] == "gap"]
+    return [(x[1], x[2]) for x in M.salvage(data) if x[0] == "gap" and x[3] is None]
 
 
 def test_salvage_plain():
@@ -50,6 +50,14 @@ def test_salvage_members():
     assert ids(b"".join(parts)[:-10]) == [f"<urn:page:{i}>" for i in range(3)]
 
 
+def test_records_before_the_damage_in_a_member_are_kept():
+    import random
+    noise = random.Random(1).randbytes(200_000)
+    whole = gzip.compress(b"".join(record(i, noise[i * 20_000:(i + 1) * 20_000]) for i in range(10)))
+    assert ids(whole[:len(whole) // 2])[:3] == ["<urn:page:0>", "<urn:page:1>", "<urn:page:2>"]
+    assert gaps(whole[:len(whole) // 2]) == [(0, len(whole) // 2)]
+
+
 def test_query_equals_duckdb(spark):
     d = "/root/testdata/sf0.001"
     con = duckdb.connect()

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigilo.llm.common import scratch_path, table
+from vigilo.llm.common import scratch_path, staged, table
 
 CRLF = "\r\n"
 #: Payloads below this size are always written in full.
@@ -41,7 +41,9 @@ def records(pages: DataFrame) -> DataFrame:
     Of rows with equal payloads of REVISIT_BYTES or more, those with the largest
     page_id are responses, the others revisits of it; smaller payloads and rows
     with a null page_id are always responses. Only ids and digests are
-    shuffled to find the revisits; the pages meet their target by page_id and digest.
+    shuffled to find the revisits; they are written down first, so that Spark knows
+    their size when the pages meet them by page_id and digest: few are sent to
+    the pages, many are joined by a shuffle.
     """
     payload = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
     rows = pages.select("page_id", F.coalesce(F.col("url").cast("string"), F.lit("")).alias("url"), payload.alias("payload"))
@@ -49,7 +51,7 @@ def records(pages: DataFrame) -> DataFrame:
     large = rows.where((F.col("bytes") >= REVISIT_BYTES) & F.col("page_id").isNotNull()).select("page_id", "digest")
     target = large.groupBy("digest").agg(F.max("page_id").alias("refers_to"), F.min("page_id").alias("low")).where("low < refers_to")
     revisit = (large.join(target, "digest").where("page_id < refers_to").select("page_id", "digest", "refers_to").distinct())
-    rows = rows.join(revisit, ["page_id", "digest"], "left")
+    rows = rows.join(staged(revisit, "revisits"), ["page_id", "digest"], "left")
     head = lambda *kv: F.concat(*[x for k, v in kv for x in (F.lit(f"{k}: "), v, F.lit(CRLF))])
     uri = F.regexp_replace("url", r"[\x00-\x20\x7F]", "%20")
     name = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(c.cast("string"), F.lit("")), F.lit(">"))
@@ -166,7 +168,7 @@ def _plain(data: bytes):
 
 
 def _member(data: bytes, at: int):
-    """(content, end) of the whole gzip member at ``at``, or None."""
+    """(content, end) of the gzip member at ``at``; end is None when it breaks off, with what could be decoded before."""
     import zlib
 
     z, out, pos = zlib.decompressobj(31), [], at
@@ -175,23 +177,23 @@ def _member(data: bytes, at: int):
             out.append(z.decompress(data[pos:pos + 65536]))
             pos += 65536
     except zlib.error:
-        return None
-    return (b"".join(out), min(pos, len(data)) - len(z.unused_data)) if z.eof else None
+        return b"".join(out), None
+    return b"".join(out), min(pos, len(data)) - len(z.unused_data) if z.eof else None
 
 
 def _members(data: bytes):
-    """Gzip members: (offset, end, bytes) or (offset, end, None) for a quarantined stretch."""
+    """Gzip members: (offset, end, content, whole); a quarantined stretch is not whole and may have some content."""
     at, size = 0, len(data)
     while at < size:
-        found = _member(data, at) if data.startswith(GZIP_MAGIC, at) else None
-        if found:
-            yield at, found[1], found[0]
-            at = found[1]
+        content, end = _member(data, at) if data.startswith(GZIP_MAGIC, at) else (b"", None)
+        if end is not None:
+            yield at, end, content, True
+            at = end
             continue
         seek = data.find(GZIP_MAGIC, at + 1)
-        while seek >= 0 and _member(data, seek) is None:
+        while seek >= 0 and _member(data, seek)[1] is None:
             seek = data.find(GZIP_MAGIC, seek + 1)
-        yield at, seek if seek >= 0 else size, None
+        yield at, seek if seek >= 0 else size, content, False
         at = seek if seek >= 0 else size
 
 
@@ -202,12 +204,11 @@ def salvage(data: bytes) -> Iterator[tuple]:
     between members is a gap of the file itself (member offset None).
     """
     if data[:3] == GZIP_MAGIC or (not _VERSION.match(data) and GZIP_MAGIC in data and not _VERSION.search(data)):
-        for start, end, content in _members(data):
-            if content is None:
+        for start, end, content, whole in _members(data):
+            for kind, a, b, what in _plain(content):
+                yield kind, a, b, start, what
+            if not whole:
                 yield "gap", start, end, None, "bad gzip member"
-            else:
-                for kind, a, b, what in _plain(content):
-                    yield kind, a, b, start, what
     else:
         for kind, a, b, what in _plain(data):
             yield kind, a, b, None, what
