@@ -55,3 +55,18 @@ def test_query_round_trip(spark):
     assert len(out) == len(texts)
     for r in out:
         assert r.decoded_crc32 == zlib.crc32(texts[r.doc_id].encode()) and r.decoded_chars == len(texts[r.doc_id]) and r.n_ids > 0
+
+
+def test_whole_texts_equal_the_library(spark):
+    """Runs of spaces give the library's ids; elsewhere no path of the library's has a greater sum (`▁the` for `▁t`, `he` has a smaller one)."""
+    sp, pieces = best_path_library(), M.load_pieces(PATH)
+    runs = ["a   b", "x  ", "    return x", "a\n\n        if x:\n\t\ty  \n", "x" + " " * 17 + "y", " " * 63 + "word", " " * 40 + "end", " " * 200,
+            "  .  , ;", "a" + " " * 100 + "1", "  two  spaces ", "日本   語  ", "x   \n   \n"]
+    texts = runs + [t for t in HARD if t]
+    assert sp.encode("a   b", out_type=str) == ["▁a", "▁▁", "▁b"]
+    score = dict(pieces.search.values())
+    total = lambda ids: sum(score.get(i, pieces.fallback) for i in ids)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in M.encode_documents(df, PATH).collect():
+        ids, want = np.frombuffer(r.ids, "<u4").tolist(), sp.encode(texts[r.doc_id])
+        assert ids == want or (r.doc_id >= len(runs) and total(ids) > total(want)), texts[r.doc_id][:40]

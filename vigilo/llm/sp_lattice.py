@@ -1,7 +1,7 @@
 """SentencePiece encoding and decoding over a relational lattice.
 
-Texts are cut into units that no piece of the table crosses (before every
-escaped space, between Latin letters and other characters, around line ends).
+Texts are cut into units that no piece of the table crosses (before every run
+of escaped spaces, between Latin letters and other characters, around line ends).
 The distinct units of a block of documents become a lattice: bounded-length
 substrings are exploded and equi-joined to the piece table, the edges are
 grouped by unit, and a higher-order aggregate folds Viterbi over them. The
@@ -29,7 +29,7 @@ from vigilo.llm.common import table
 
 SPACE = "▁"
 LATIN = "A-Za-zÀ-ÖØ-öø-ɏḀ-ỿ"
-UNIT = f"{SPACE}?[{LATIN}]+|{SPACE}?[^{LATIN}{SPACE}\\n]+|{SPACE}|\\n"
+UNIT = f"{SPACE}*[{LATIN}]+|{SPACE}*[^{LATIN}{SPACE}\\n]+|{SPACE}+|\\n"
 #: Longer units are folded where they are looked up (the same fold, in linear memory).
 MAX_UNIT = 64
 BLOCK_BYTES = 16 << 20
@@ -63,8 +63,7 @@ def load_pieces(model_file: str) -> Pieces:
             surface.append(b"")
         else:
             surface.append(piece.replace(SPACE, " ").encode())
-            if SPACE not in piece[1:]:  # runs of spaces carry no usable score; single spaces always do better
-                search[piece] = (i, float(sp.get_score(i)))
+            search[piece] = (i, float(sp.get_score(i)))
     if byte0 is None:
         raise ValueError("the piece table has no byte pieces")
     unit = re.compile(UNIT)
