@@ -76,3 +76,14 @@ def test_odd_rows(spark):
     out = sorted((str(r.page_id), str(r.url), r.text, r.n_chars) for r in M.extract_main_text(df).collect())
     assert out == [("1", "None", "", 0), ("1", "None", "", 0), ("None", "u", "Some text.", 10)]
     assert M.extract_main_text(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("raw", [
+    "<script>for(i=0;i<n;i++){f(i)}</script>", "<SCRIPT type='x'>a<b&&c</Script >", "<script>if(a<b)s='<p>no text</p>'</script>",
+    "<script>s='<!--'</script>", "<script><!--> s</script>", "<script><!-- w('<script>x<y</script>'); --></script>", "<script>s='</scripts>'</script>",
+    "<style>a<b{}</style>", "<title>a <b c</title>", "<textarea>x <y </textarea>", "<noscript><img src=x </noscript>", "<iframe>a<b</iframe>",
+    "<template><script>i<n</script><p>none</p></template>", "<object><style>a<b{}</style></object>", "<svg><title>x</svg>",
+    "<svg><!-- </svg> --><text>no</text></svg>", "<template><p title='</template>'>no</p></template>", "<script src=x></script>",
+])
+def test_raw_elements_end_at_their_own_end_tag(raw):
+    assert M.main_text(f"{raw}<article><p>First of two.</p>{raw}<p>Second of two.</p></article>") == "First of two.\nSecond of two."

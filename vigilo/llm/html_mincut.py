@@ -27,6 +27,8 @@ BLOCK_TAGS = frozenset("""address article aside blockquote body button caption c
 figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html iframe legend li main menu nav noscript ol optgroup option p
 pre section select summary table tbody td tfoot th thead tr ul""".split())
 RAW_TAGS = frozenset("script style template textarea title noscript svg math iframe object canvas".split())
+#: Of these, the ones whose content is plain text up to their own end tag; the others hold markup.
+PLAIN_TAGS = frozenset("script style textarea title noscript iframe".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BOILER_TAGS = frozenset("nav header footer aside form button select menu dialog fieldset label".split())
 CONTENT_TAGS = frozenset("article main".split())
@@ -42,6 +44,8 @@ CLOSES = {  # an opening element ends an open one of these, up to the nearest co
 }
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^"'>])*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)"""
                   r"""|<[!?/][^>]*(?:>|\Z)""", re.S)
+_END = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in PLAIN_TAGS}
+_SCRIPT = re.compile(r"<!--|-->|<(/?)script(?=[\s/>])", re.I)
 _ATTR = re.compile(r"""(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
@@ -73,6 +77,28 @@ class _Element:
                 self.content += 1
 
 
+def _plain_end(html: str, name: str, at: int) -> int:
+    """Where the end tag of a plain text element starts whose content starts at ``at`` (-1: none)."""
+    if name != "script":
+        m = _END[name].search(html, at)
+        return m.start() if m else -1
+    comment = inner = False  # a script element inside a comment of the script has an end tag of its own
+    while m := _SCRIPT.search(html, at):
+        at = m.end()
+        if m[0] == "<!--":
+            if not comment:
+                comment, at = True, at - 2  # its dashes may be those of the end
+        elif m[0] == "-->":
+            comment = inner = False
+        elif not m[1]:
+            inner = comment
+        elif inner:
+            inner = False
+        else:
+            return m.start()
+    return -1
+
+
 def blocks(html: str) -> list[tuple[str, _Element, int]]:
     """Text blocks in page order: (text, innermost block element, characters inside links)."""
     out, buffer = [], []
@@ -96,7 +122,7 @@ def blocks(html: str) -> list[tuple[str, _Element, int]]:
             if link_depth:
                 links += len(text.strip())
 
-    for m in _TAG.finditer(html):
+    while m := _TAG.search(html, at):
         if skip is None:
             add(html[at:m.start()])
         at = m.end()
@@ -107,12 +133,19 @@ def blocks(html: str) -> list[tuple[str, _Element, int]]:
         if skip is not None:
             if closing and name == skip:
                 skip = None
+            elif not closing and name in PLAIN_TAGS and skip not in ("svg", "math") and not (m[3] or m[6] or "").rstrip().endswith("/"):
+                end = _plain_end(html, name, at)
+                at = end if end >= 0 else at
             continue
         if not closing and name in RAW_TAGS:
             if name in BLOCK_TAGS:
                 flush()
             attrs = (m[3] or m[6] or "").rstrip()
             skip = None if attrs.endswith("/") else name
+            if skip in PLAIN_TAGS:
+                at = _plain_end(html, name, at)
+                if at < 0:
+                    break
             continue
         if name == "a":
             link_depth = max(0, link_depth + (-1 if closing else 1))
