@@ -59,3 +59,11 @@ def test_odd_rows(spark):
     assert got == sorted([("1", 3, "1", True), ("1", 3, "1", True), ("None", 3, "1", False), ("None", 0, "None", False), ("2", 3, "1", False)])
     assert M.near_vectors(df.limit(0)).count() == 0
     assert M.near_vectors(df.where("vec_id is null and embedding is null")).count() == 1
+
+
+def test_one_distinct_vector(spark):
+    hot = [(i, [0.5, -2.0, 0.25]) for i in range(5)]
+    for rows in ([(7, [3.0, 4.0])], [(7, [-2.0])], hot, [*hot, (9, None), (10, [0.0] * 3)]):
+        out = M.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()
+        assert sorted((r.vec_id, r.n_links, r.component_id) for r in out) == brute(rows)
+        assert all(r.kept == (r.vec_id == r.component_id) for r in out)

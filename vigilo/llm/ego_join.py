@@ -39,12 +39,14 @@ def _unit(e):
     return F.transform(F.array(scaled), lambda s: F.transform(F.array(norm(s)), lambda n: F.transform(s, lambda x: x / n))[0])[0]
 
 
-def _basis(units: DataFrame, width: int):
-    """Orthonormal leading principal directions, width x k (fitted on all vectors; the driver gets width^2 numbers)."""
+def _basis(units: DataFrame, width: int, n: int):
+    """Orthonormal leading principal directions, width x k (fitted on all n vectors; the driver gets width^2 numbers)."""
     import numpy as np
     from pyspark.ml.feature import PCA
     from pyspark.ml.functions import array_to_vector
 
+    if n == 1:  # one vector has no covariance, and any basis will do
+        return np.eye(width, min(DIMENSIONS, width))
     padded = F.concat("u", F.array_repeat(F.lit(0.0), F.lit(width) - F.size("u")))
     model = PCA(k=min(DIMENSIONS, width), inputCol="x", outputCol="y").fit(units.select(array_to_vector(padded).alias("x")))
     q, _ = np.linalg.qr(model.pc.toArray())
@@ -180,7 +182,7 @@ def near_vectors(vectors: DataFrame) -> DataFrame:
              F.col("vec_id").isNotNull().alias("kept"))
     if not top["n"]:
         return rows.select(*alone)
-    basis = _basis(distinct, top["w"])
+    basis = _basis(distinct, top["w"], top["n"])
     k = basis.shape[1]
     placed = distinct.select("node", "size", "u").mapInPandas(
         _placed(basis), "node long, size long, len int, v binary, p array<double>, cells array<int>")
