@@ -74,6 +74,19 @@ def test_odd_rows(spark):
     assert M.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_text_without_any_id_links_and_bridges(spark):
+    base = [f"b{i}" for i in range(100)]
+    left, right = " ".join([f"x{i}" for i in range(10)] + base[10:]), " ".join(base[:90] + [f"y{i}" for i in range(10)])
+    near = lambda p: " ".join(f"{p}{i}" for i in range(60))
+    rows = [(1, left), (None, " ".join(base)), (None, " ".join(base)), (2, right), (None, near("n")), (3, near("n") + " tail"),
+            (None, near("m")), (None, near("m") + " tail"), (4, near("z"))]
+    assert brute([(1, left), (2, right)]) == [(1, 96, 1), (2, 96, 2)]
+    out = M.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    got = sorted((str(r.doc_id), r.n_shingles, str(r.component_id), r.kept) for r in out)
+    assert got == sorted([("1", 96, "1", True), ("None", 96, "1", False), ("None", 96, "1", False), ("2", 96, "1", False), ("None", 56, "3", False),
+                          ("3", 57, "3", True), ("None", 56, "None", False), ("None", 57, "None", False), ("4", 56, "4", True)])
+
+
 def test_coordinates_come_from_one_shifted_permutation():
     ids = M.shingle_ids(" ".join(f"t{i}" for i in range(400)))
     other = M.shingle_ids(" ".join(f"t{i}" for i in range(40, 440)))

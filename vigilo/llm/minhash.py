@@ -109,7 +109,7 @@ def _signatures(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             bits.append(np.packbits(low).view(np.int64))
             bands = np.hstack([tags, sig.reshape(BANDS, ROWS)])
             keys.append([xxhash.xxh3_64_intdigest(b.tobytes()) - (1 << 63) for b in bands])
-        yield pd.DataFrame({"doc_id": df["doc_id"], "n_shingles": n, "sid": sid, "bands": keys, "bits": bits})
+        yield pd.DataFrame({"doc_id": df["doc_id"], "n_shingles": n, "sid": sid, "bands": keys, "bits": bits, "text_hash": df["text_hash"]})
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -190,21 +190,22 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     No rows give no rows.
     """
     id_type = docs.schema["doc_id"].dataType
-    docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    docs = docs.select("doc_id", F.col("text").cast("string").alias("text")).withColumn("text_hash", F.xxhash64("text"))
     # The id travels as text: a null would turn a whole batch of numbers into floats.
     signed = staged(docs.withColumn("doc_id", F.col("doc_id").cast("string"))
-                    .mapInPandas(_signatures, "doc_id string, n_shingles long, sid long, bands array<long>, bits array<long>")
+                    .mapInPandas(_signatures, "doc_id string, n_shingles long, sid long, bands array<long>, bits array<long>, text_hash long")
                     .withColumn("doc_id", F.col("doc_id").cast(id_type)), "signed")
     full = signed.where("n_shingles > 0")
     nodes = full.groupBy("sid").agg(F.first("n_shingles").alias("n"), F.first("bands").alias("bands"),
-                                    F.first("bits").alias("bits"), F.min("doc_id").alias("rep"))
+                                    F.first("bits").alias("bits"), F.min("doc_id").alias("rep"),
+                                    F.min("text_hash").alias("text_hash"))
     exploded = nodes.select("sid", "n", "bits", F.explode("bands").alias("key"))
     shared = exploded.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
     met = staged(exploded.join(shared, "key"), "met")
     buckets = staged(met.drop("c").join(met.groupBy("sid").agg(F.sum("c").alias("meets")), "sid"), "buckets")
 
     wanted = buckets.select("sid").distinct()
-    source = (nodes.select("sid", "rep").join(wanted, "sid", "left_semi")
+    source = (nodes.select("sid", "rep", "text_hash").join(wanted, "sid", "left_semi")
               .withColumnRenamed("rep", "doc_id"))
     # A doc_id may repeat with other texts, so the set is recomputed and its own digest checked against the node's.
     sets = staged(_sets_of(docs, source), "sets")
@@ -242,15 +243,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
              .select("doc_id", "sid", F.coalesce("root", "sid").alias("root")))
     names = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     of_sid = named.select("sid", "root").distinct().join(names, "root").select("sid", "component_id")
-    out = signed.drop("bands", "bits").join(of_sid, "sid", "left")
+    out = signed.drop("bands", "bits", "text_hash").join(of_sid, "sid", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
                       F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
 
 
 def _sets_of(docs: DataFrame, source: DataFrame) -> DataFrame:
-    picked = docs.join(source, "doc_id")
-    return picked.select("sid", "text").mapInPandas(_checked_sets, "sid long, ids array<long>").dropDuplicates(["sid"])
+    picked = docs.join(source.drop("text_hash"), "doc_id").select("sid", "text")
+    # Texts that only rows without an id have are fetched by their hash, one copy of each.
+    nameless = (docs.where("doc_id is null").join(source.where("doc_id is null").drop("doc_id"), "text_hash")
+                .select("sid", "text").dropDuplicates(["sid"]))
+    return picked.unionByName(nameless).mapInPandas(_checked_sets, "sid long, ids array<long>").dropDuplicates(["sid"])
 
 
 def _checked_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
