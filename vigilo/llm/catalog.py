@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from vigilo.llm import ego_join, html_mincut, knn_quality, minhash, packing, pii_bootstrap, quality_rules, secret_scan, sp_lattice, warc
+from vigilo.llm import (ego_join, html_mincut, knn_quality, minhash, packing, pii_bootstrap, quality_rules, secret_scan, sp_lattice,
+                        token_counts, warc)
 
 QUERIES = {
     "op1_warc_salvage": warc.op1_warc_salvage,
@@ -15,6 +16,7 @@ QUERIES = {
     "op8_nearest_neighbour_quality": knn_quality.op8_nearest_neighbour_quality,
     "op9_minimum_cut_extraction": html_mincut.op9_minimum_cut_extraction,
     "op10_sentencepiece_lattice": sp_lattice.op10_sentencepiece_lattice,
+    "op11_token_counts": token_counts.op11_token_counts,
 }
 
 ORACLES = {
