@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from vigilo.llm import (ego_join, html_mincut, knn_quality, minhash, packing, pii_bootstrap, quality_rules, secret_scan, sp_lattice,
-                        token_counts, warc)
+from vigilo.llm import (ego_join, hard_negatives, html_mincut, knn_quality, minhash, packing, pii_bootstrap, quality_rules,
+                        secret_scan, sp_lattice, token_counts, vector_codes, warc)
 
 QUERIES = {
     "op1_warc_salvage": warc.op1_warc_salvage,
@@ -17,6 +17,8 @@ QUERIES = {
     "op9_minimum_cut_extraction": html_mincut.op9_minimum_cut_extraction,
     "op10_sentencepiece_lattice": sp_lattice.op10_sentencepiece_lattice,
     "op11_token_counts": token_counts.op11_token_counts,
+    "op12_hard_negatives": hard_negatives.op12_hard_negatives,
+    "op13_gnat_vector_codes": vector_codes.op13_gnat_vector_codes,
 }
 
 ORACLES = {
@@ -24,4 +26,6 @@ ORACLES = {
     "op4_quality_rules": quality_rules.ORACLE,
     "op5_minhash_near_dedup": minhash.ORACLE,
     "op7_epsilon_grid_order": ego_join.ORACLE,
+    "op12_hard_negatives": hard_negatives.ORACLE,
+    "op13_gnat_vector_codes": vector_codes.ORACLE,
 }
