@@ -37,8 +37,10 @@ def test_pre_tokens_part_texts_without_changing_their_count():
     alphabet = list("aeiou trnsl   ,.'-()09\n▁éßжя数据的🙂\t") + ["th", "ing ", "  ", "</s>"]
     texts = HARD + ["".join(rng.choice(alphabet) for _ in range(rng.randint(1, 60))) for _ in range(1500)]
     for t in texts:
-        assert sum(parts.pieces(parts.split(t))) == len(sp.encode(t)), repr(t[:80])
-        assert "".join(parts.split(t)) == (sp.normalize(t) if t else "")
+        keys, long, _ = parts.parts(parts.words([t]).flatten())
+        full = [x or k for k, x in zip(keys.to_pylist(), long.to_pylist())]
+        assert sum(parts.pieces(full)) == len(sp.encode(t)), repr(t[:80])
+        assert sorted("".join(full)) == sorted(sp.normalize(t) if t else "")
 
 
 def test_no_piece_lies_across_a_border():
@@ -54,9 +56,9 @@ def test_pieces_over_a_space_are_refused():
         parting(["ab", "a▁b"])
 
 
-@pytest.mark.parametrize("heavy", [1, 50, 20_000])
+@pytest.mark.parametrize("heavy", [0, 50, 100_000])
 def test_whole_table_equals_the_library(spark, monkeypatch, heavy):
-    """With HEAVY = 1 nearly every pre-token goes through the shuffled join, else through the broadcast."""
+    """With HEAVY = 0 every pre-token goes through the shuffled join, else through the broadcast."""
     monkeypatch.setattr(token_counts, "HEAVY", heavy)
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     rows = docs.select("doc_id", "text").collect()
@@ -66,10 +68,11 @@ def test_whole_table_equals_the_library(spark, monkeypatch, heavy):
         assert (got[r["doc_id"]]["n_bytes"], got[r["doc_id"]]["n_tokens"], got[r["doc_id"]]["over_limit"]) == (n_bytes, n, n > 4096)
 
 
-@pytest.mark.parametrize("heavy", [1, 20_000])
+@pytest.mark.parametrize("heavy", [0, 100_000])
 def test_hard_texts_long_pre_tokens_and_a_full_gathering(spark, monkeypatch, heavy):
     monkeypatch.setattr(token_counts, "HEAVY", heavy)
-    monkeypatch.setattr(token_counts, "GATHERED", 3)
+    monkeypatch.setattr(token_counts, "SLICE", 7)
+    monkeypatch.setattr(token_counts, "GATHERED", 10)
     got = {r["doc_id"]: r for r in count_tokens(frame(spark, list(enumerate(HARD))), FILE, limit=100).collect()}
     for i, (n_bytes, n) in enumerate(expected(HARD)):
         assert (got[i]["n_bytes"], got[i]["n_tokens"], got[i]["over_limit"]) == (n_bytes, n, n > 100), HARD[i][:40]
