@@ -112,11 +112,40 @@ def test_topk_salted_equals_group_limit(spark):
     assert a.filter("g = 0").count() == 4
 
 
-def test_analytics_bundle_parts(prof):
-    parts = B.analytics_bundle(prof, top=2)
-    assert set(parts) == {"kpis", "risk_distribution", "fee_distribution", "attendance_histogram",
-                          "class_breakdown", "top_risk_students", "recent_activity"}
-    assert parts["top_risk_students"].count() == 2 and parts["attendance_histogram"].count() == 6
+def test_analytics_bundle_equals_its_parts(prof):
+    rows = {}
+    for r in B.analytics_bundle(prof, top=2).collect():
+        rows.setdefault(r["part"], {})[r["key"], r["metric"]] = r["value"]
+    assert set(rows) == set(B.BUNDLE_PARTS)
+    k = B.kpis(prof).first()
+    assert rows["totals"] == {("all", m): str(k[c]) for m, c in B.TOTAL_FIELDS.items()}
+    assert rows["system_health"] == {("all", "system_health"): str(k["system_health"])}
+    assert rows["risk_distribution"] == {(r["tier"], "count"): str(r["students"]) for r in B.risk_distribution(prof).collect()}
+    assert rows["fee_distribution"] == {(r["status"], "count"): str(r["students"]) for r in B.fee_distribution(prof).collect()}
+    assert rows["attendance_histogram"] == {(r["bucket"], "count"): str(r["students"]) for r in B.rate_histogram(prof).collect()}
+    assert rows["class_breakdown"] == {(r["class"], m): str(r[m]) for r in B.class_breakdown(prof).collect()
+                                       for m in ("total", "anomalies", "defaults", "late")}
+    text = lambda v: str(v).lower() if isinstance(v, bool) else str(v)
+    assert rows["top_risk_students"] == {(str(i + 1), m): text(r[m]) for i, r in enumerate(B.top_n(prof, 2).collect()) for m in B.TOP_FIELDS}
+    assert rows["recent_activity"] == {(str(i + 1), m): text(r[m]) for i, r in enumerate(B.alert_feed(prof).collect())
+                                       for m in B.ACTIVITY_FIELDS}
+
+
+def test_analytics_bundle_scans_the_profile_once_and_keeps_ties_in_id_order(spark, tmp_path):
+    fields = ("id long, name string, student_class string, attendance_rate double, is_anomaly boolean, risk_score double, "
+              "absence_streak int, absence_30d int, fee_label int, fee_prob double, outstanding double, days_late int")
+    rows = [(i, f"n{i}", None if i % 5 == 0 else f"c{i % 3}", 40.0 + i % 60, i % 2 == 0, 50.0, 0, 0, i % 4, 10.0, 0.0, 0) for i in range(1, 400)]
+    spark.createDataFrame(rows, fields).repartition(6).write.parquet(f"{tmp_path}/p")
+    bundle = B.analytics_bundle(spark.read.parquet(f"{tmp_path}/p"), top=5)
+    plan = bundle._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "InMemoryRelation" not in plan and "InMemoryTableScan" not in plan
+    got = {(r["key"], r["metric"]): r["value"] for r in bundle.where("part = 'top_risk_students'").collect()}
+    assert [got[str(k), "id"] for k in range(1, 6)] == ["1", "2", "3", "4", "5"]   # all scores equal
+    classes = {r["key"]: int(r["value"]) for r in bundle.where("part = 'class_breakdown' and metric = 'total'").collect()}
+    assert sum(classes.values()) == 399 and classes["Unknown"] == 79
+    assert B.analytics_bundle(spark.createDataFrame([], fields)).collect() == []
+    with pytest.raises(ValueError):
+        B.analytics_bundle(bundle, top=None)
 
 
 def test_cluster_conf():

@@ -22,6 +22,11 @@ def _cnt(cond) -> F.Column:
     return F.count(F.when(cond, F.lit(1)))
 
 
+def _health(total: str, high: str, defaults: str) -> F.Column:
+    return F.greatest(F.lit(0.0), rint_round(F.lit(100.0) - F.col(high) / F.col(total) * F.lit(40.0)
+                                             - F.col(defaults) / F.col(total) * F.lit(60.0), 1))
+
+
 def kpis(profile: DataFrame) -> DataFrame:
     """B1 + B2 + B3 + B9 + B10 fused: every dashboard counter from one scan (B13 core)."""
     r, fl = F.col("risk_score"), F.col("fee_label")
@@ -34,13 +39,10 @@ def kpis(profile: DataFrame) -> DataFrame:
         _cnt(r > 70).alias("risk_high"),
         _cnt((r > 40) & (r <= 70)).alias("risk_medium"),
     )
-    health = F.greatest(F.lit(0.0), rint_round(
-        F.lit(100.0) - F.col("risk_high") / F.col("total") * F.lit(40.0)
-        - F.col("fee_defaults") / F.col("total") * F.lit(60.0), 1))
     return agg.select(
         "*",
         (F.col("total") - F.col("risk_high") - F.col("risk_medium")).alias("risk_low"),
-        F.when(F.col("total") > 0, health).alias("system_health"),
+        F.when(F.col("total") > 0, _health("total", "risk_high", "fee_defaults")).alias("system_health"),
         F.greatest(F.lit(0), F.col("total") - F.col("anomalies") - F.col("fee_defaults")).alias("landing_safe"),
     )
 
@@ -172,18 +174,70 @@ def suggest(profile: DataFrame, text: str, n: int = 5) -> DataFrame:
     return search(profile, text).orderBy("id").limit(n).select("id", "name", "student_class")
 
 
-def analytics_bundle(profile: DataFrame, top: int | None = 10) -> dict[str, DataFrame]:
-    """Every dashboard part over one persisted profile (one scan feeds the counters)."""
-    p = profile.persist()
-    return {
-        "kpis": kpis(p),
-        "risk_distribution": risk_distribution(p),
-        "fee_distribution": fee_distribution(p),
-        "attendance_histogram": rate_histogram(p),
-        "class_breakdown": class_breakdown(p),
-        "top_risk_students": top_n(p, top),
-        "recent_activity": alert_feed(p),
-    }
+# Fixed values of the reference: names of the bundle's parts and of the fields of its listed entities.
+BUNDLE_PARTS = ("totals", "risk_distribution", "fee_distribution", "attendance_histogram", "class_breakdown",
+                "top_risk_students", "recent_activity", "system_health")
+TOTAL_FIELDS = {"total_students": "total", "anomaly_count": "anomalies", "fee_default_count": "fee_defaults", "fee_late_count": "fee_late"}
+TOP_FIELDS = ("id", "name", "student_class", "attendance_rate", "risk_score", "fee_prob", "is_anomaly", "fee_label")
+ACTIVITY_FIELDS = ("id", "name", "type", "detail")
+ACTIVITY_ROWS = 8
+
+
+def _first_k(order: list[F.Column], fields: tuple, k: int, where=None) -> F.Column:
+    """Aggregate: the first ``k`` rows by ``order`` as structs; a mergeable state of at most ``k`` rows per group and task."""
+    from pyspark.sql.internal import InternalFunction
+    row = F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)], F.struct(*[F.col(c) for c in fields]).alias("row"))
+    return InternalFunction.collect_top_k(row if where is None else F.when(where, row), k, True)
+
+
+def analytics_bundle(profile: DataFrame, top: int = 10) -> DataFrame:
+    """Every dashboard part as rows ``(part, key, metric, value)`` from ONE scan of the profile, nothing cached.
+
+    A single aggregation over the grouping sets (class) and () carries all
+    counters and two bounded top-k states (the ``top`` riskiest entities, the
+    first ACTIVITY_ROWS flagged ones), so a task ships one row per class, never
+    its entities. Listed entities are keyed by their rank (from 1). Values are
+    text, as the parts differ in type. An empty profile gives no rows.
+    """
+    if top is None or top < 1:
+        raise ValueError("the bundle lists a bounded number of entities: use combined_risk_ranking for all")
+    fl, r, flagged = F.col("fee_label"), F.col("risk_score"), F.col("is_anomaly")
+    p = profile.select(
+        *TOP_FIELDS, F.coalesce("student_class", F.lit("Unknown")).alias("class"), rate_bucket().alias("bucket"),
+        (r * F.lit(0.5) + F.col("fee_prob") * F.lit(0.5)).alias("combined"),
+        F.when(flagged, "Attendance Anomaly").otherwise("Fee Default").alias("type"),
+        F.when(flagged, F.concat(F.lit("Risk "), r.cast("string")))
+         .otherwise(F.concat(F.col("fee_prob").cast("string"), F.lit("% default prob"))).alias("detail"))
+    whole = p.rollup("class").agg(
+        F.grouping_id().alias("all"),
+        F.count(F.lit(1)).alias("total"), _cnt(flagged).alias("anomalies"),
+        _cnt(fl == 2).alias("fee_defaults"), _cnt(fl == 1).alias("fee_late"), _cnt(fl == 0).alias("fee_on_time"),
+        _cnt(r > 70).alias("risk_high"), _cnt((r > 40) & (r <= 70)).alias("risk_medium"),
+        *[_cnt(F.col("bucket") == label).alias(f"b{i}") for i, (label, _) in enumerate(RATE_BUCKETS)],
+        _first_k([-F.col("combined"), F.col("id")], TOP_FIELDS, top).alias("riskiest"),
+        _first_k([F.col("id")], ACTIVITY_FIELDS, ACTIVITY_ROWS, flagged | (fl == 2)).alias("activity"))
+
+    def rows(part: str, key, metrics: dict) -> list[F.Column]:
+        return [F.struct(F.lit(part).alias("part"), key.cast("string").alias("key"), F.lit(m).alias("metric"),
+                         v.cast("string").alias("value")) for m, v in metrics.items()]
+
+    def listed(part: str, col: str, fields: tuple) -> F.Column:
+        return F.flatten(F.transform(col, lambda x, i: F.array(*rows(part, i + 1, {c: x["row"][c] for c in fields}))))
+
+    totals, risks, fees, histogram, classes, riskiest, activity, health = BUNDLE_PARTS
+    n = F.col
+    low = n("total") - n("risk_high") - n("risk_medium")
+    fixed = rows(totals, F.lit("all"), {k: n(c) for k, c in TOTAL_FIELDS.items()})
+    for key, value in (("High", n("risk_high")), ("Medium", n("risk_medium")), ("Low", low)):
+        fixed += rows(risks, F.lit(key), {"count": value})
+    for key, value in (("On Time", n("fee_on_time")), ("Late", n("fee_late")), ("Default", n("fee_defaults"))):
+        fixed += rows(fees, F.lit(key), {"count": value})
+    for i, (label, _) in enumerate(RATE_BUCKETS):
+        fixed += rows(histogram, F.lit(label), {"count": n(f"b{i}")})
+    fixed += rows(health, F.lit("all"), {health: _health("total", "risk_high", "fee_defaults")})
+    of_class = rows(classes, n("class"), {"total": n("total"), "anomalies": n("anomalies"), "defaults": n("fee_defaults"), "late": n("fee_late")})
+    every = F.concat(F.array(*fixed), listed(riskiest, "riskiest", TOP_FIELDS), listed(activity, "activity", ACTIVITY_FIELDS))
+    return whole.select(F.inline(F.when(n("all") == 1, every).otherwise(F.array(*of_class))))
 
 
 def status_counts(periods: DataFrame, status_col: str = "status") -> DataFrame:

@@ -581,6 +581,12 @@ def b13(spark, sf):
     return B.kpis(profile(_t(spark, sf)))
 
 
+@register("b13_analytics_bundle")
+def b13all(spark, sf):
+    """Every part of the dashboard as (part, key, metric, value) rows."""
+    return B.analytics_bundle(profile(_t(spark, sf)))
+
+
 @register("b14_status_counts")
 def b14(spark, sf):
     return B.status_counts(_t(spark, sf).periods)

@@ -493,6 +493,35 @@ q("b12_suggest", """
   select id, name, student_class from prof
   where contains(lower(name), 'ar') or contains(lower(cast(id as varchar)), 'ar') order by id limit 5""", "prof")
 q("b13_kpis", "select * from kpi", "kpi")
+_TOP = ["id", "name", "student_class", "attendance_rate", "risk_score", "fee_prob", "is_anomaly", "fee_label"]
+_ACT = ["id", "name", "type", "detail"]
+cte("bundle_top", ["prof"], """
+  select *, row_number() over (order by risk_score * 0.5e0 + fee_prob * 0.5e0 desc, id) as rank from prof qualify rank <= 10""")
+cte("bundle_activity", ["prof"], """
+  select id, name, case when is_anomaly then 'Attendance Anomaly' else 'Fee Default' end as type,
+         case when is_anomaly then 'Risk ' || cast(risk_score as varchar) else cast(fee_prob as varchar) || '% default prob' end as detail,
+         row_number() over (order by id) as rank
+  from prof where is_anomaly or fee_label = 2 qualify rank <= 8""")
+cte("bundle_class", ["prof"], """
+  select coalesce(student_class, 'Unknown') as class, count(*) as total, count(*) filter (where is_anomaly) as anomalies,
+         count(*) filter (where fee_label = 2) as defaults, count(*) filter (where fee_label = 1) as late from prof group by 1""")
+cte("bundle_bucket", ["prof"], """
+  select case when attendance_rate < 50 then '0-50%' when attendance_rate < 60 then '50-60%' when attendance_rate < 70 then '60-70%'
+              when attendance_rate < 80 then '70-80%' when attendance_rate < 90 then '80-90%' else '90-100%' end as bucket from prof""")
+q("b13_analytics_bundle", f"""
+  select 'totals' as part, 'all' as key, m.metric, cast(case m.metric when 'total_students' then total when 'anomaly_count' then anomalies
+    when 'fee_default_count' then fee_defaults else fee_late end as varchar) as value
+  from kpi, (select unnest(['total_students', 'anomaly_count', 'fee_default_count', 'fee_late_count']) as metric) m
+  union all select 'risk_distribution', k.tier, 'count', cast(case k.tier when 'High' then risk_high when 'Medium' then risk_medium else risk_low end as varchar)
+  from kpi, (select unnest(['High', 'Medium', 'Low']) as tier) k
+  union all select 'fee_distribution', k.status, 'count', cast(case k.status when 'On Time' then fee_on_time when 'Late' then fee_late else fee_defaults end as varchar)
+  from kpi, (select unnest(['On Time', 'Late', 'Default']) as status) k
+  union all select 'attendance_histogram', b.bucket, 'count', cast(count(h.bucket) as varchar)
+  from (select unnest(['0-50%', '50-60%', '60-70%', '70-80%', '80-90%', '90-100%']) as bucket) b left join bundle_bucket h on h.bucket = b.bucket group by b.bucket
+  union all select 'system_health', 'all', 'system_health', cast(system_health as varchar) from kpi
+  {" ".join(f"union all select 'class_breakdown', class, '{m}', cast({m} as varchar) from bundle_class" for m in ("total", "anomalies", "defaults", "late"))}
+  {" ".join(f"union all select 'top_risk_students', cast(rank as varchar), '{m}', cast({m} as varchar) from bundle_top" for m in _TOP)}
+  {" ".join(f"union all select 'recent_activity', cast(rank as varchar), '{m}', cast({m} as varchar) from bundle_activity" for m in _ACT)}""", "kpi", "bundle_top", "bundle_activity", "bundle_class", "bundle_bucket")
 q("b14_status_counts", "select status, count(*) as periods from periods group by status order by status", "periods")
 
 # M
