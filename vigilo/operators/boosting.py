@@ -1,11 +1,9 @@
-"""Gradient-boosted default models on MLlib.
-
-* ``DefaultBinaryModel`` — binary GBT on the 10 derived inputs (M8).
-* ``StatusMulticlassModel`` — 3-class status: MLlib's GBT is binary and
-  ``OneVsRest`` exposes no probabilities, so K binary GBTs are fitted
-  (one per class, sharing one assembled feature vector) and their positive
-  probabilities are normalised to sum to 1 (M9).
-Training is MLlib's distributed histogram GBT; scoring is a projection.
+"""Gradient-boosted default models.
+
+* ``DefaultBinaryModel`` — binary GBT on the 10 derived inputs (M8), MLlib's
+  distributed histogram GBT; scoring is a projection.
+* ``StatusMulticlassModel`` — 3-class status: one multinomial model (M9). MLlib's
+  GBT is binary only, so it is fitted by ``softmax_boosting``.
 """
 
 from __future__ import annotations
@@ -13,7 +11,7 @@ from __future__ import annotations
 from dataclasses import dataclass, replace
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
+from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -21,14 +19,13 @@ from pyspark.sql import functions as F
 
 from vigilo.functions import fee_tier, rint_round
 from vigilo.operators.periods import BINARY_FEATURES, STATUS_FEATURES, model_inputs
-from vigilo.operators.thresholds import threshold_label
+from vigilo.operators.softmax_boosting import SoftmaxBoosting, fit_softmax_boosting
 
 # Fixed hyper-parameters of the reference (binary script / serving retrain).
 BINARY_PARAMS = dict(maxIter=500, stepSize=0.03, maxDepth=3, subsamplingRate=0.7, minInstancesPerNode=2,
                      featureSubsetStrategy="sqrt", seed=42)
-MULTICLASS_PARAMS = dict(maxIter=200, stepSize=0.08, maxDepth=4, seed=42)
+MULTICLASS_PARAMS = dict(maxIter=200, stepSize=0.08, maxDepth=4)
 BINARY_THRESHOLD = 0.20
-MULTICLASS_THRESHOLD = 0.5
 CLASSES = (0, 1, 2)
 
 
@@ -103,85 +100,21 @@ def fit_default_binary(train: DataFrame, features: list[str] = BINARY_FEATURES,
         data.unpersist()
 
 
-@dataclass
-class StatusMulticlassModel:
-    assembler: VectorAssembler
-    models: list  # one GBTClassificationModel per class
-    classes: tuple
-    features: list[str]
-    threshold: float = MULTICLASS_THRESHOLD
-
-    def predict_proba(self, df: DataFrame) -> DataFrame:
-        """p_0..p_K normalised one-vs-rest probabilities."""
-        cols = df.columns
-        out = self.assembler.transform(df)
-        for k, m in zip(self.classes, self.models):
-            m = m.copy()
-            m.setProbabilityCol(f"_prob_{k}").setRawPredictionCol(f"_raw_{k}").setPredictionCol(f"_pred_{k}")
-            out = m.transform(out)
-        raw = [vector_to_array(f"_prob_{k}")[1] for k in self.classes]
-        total = sum(raw[1:], raw[0])
-        return out.select(*cols, *[(r / total).alias(f"p_{k}") for k, r in zip(self.classes, raw)])
-
-    def predict(self, df: DataFrame) -> DataFrame:
-        """Threshold rule on p_2, else the likelier of 0 and 1."""
-        p = self.predict_proba(df)
-        return p.withColumn("label_pred", threshold_label("p_0", "p_1", "p_2", self.threshold))
+class StatusMulticlassModel(SoftmaxBoosting):
+    """M9: the multinomial status model; probabilities p_0, p_1, p_2 and the threshold rule of M13."""
 
     def importances(self, spark: SparkSession) -> DataFrame:
-        """Mean importance over the per-class models."""
-        arrs = [m.featureImportances.toArray() for m in self.models]
-        imp = [float(sum(a[i] for a in arrs) / len(arrs)) for i in range(len(self.features))]
-        return _importance_frame(spark, self.features, imp)
-
-    def with_threshold(self, threshold: float) -> "StatusMulticlassModel":
-        """The same model with a tuned decision threshold."""
-        return replace(self, threshold=float(threshold))
-
-    @property
-    def iterations(self) -> int:
-        return min(m.getNumTrees for m in self.models)
-
-    def save(self, path: str) -> None:
-        """Assembler, one model per class, feature list, classes and threshold."""
-        self.assembler.write().overwrite().save(f"{path}/assembler")
-        for k, m in zip(self.classes, self.models):
-            m.write().overwrite().save(f"{path}/class_{k}")
-        _save_params(path, self.features, self.threshold, self.classes)
-
-    @classmethod
-    def load(cls, spark: SparkSession, path: str) -> "StatusMulticlassModel":
-        p = _load_params(spark, path)
-        models = [GBTClassificationModel.load(f"{path}/class_{k}") for k in p["classes"]]
-        return cls(VectorAssembler.load(f"{path}/assembler"), models, tuple(p["classes"]), list(p["features"]), p["threshold"])
+        """(feature, importance, rank), most important first."""
+        return _importance_frame(spark, self.features, self.feature_importances())
 
 
 def fit_status_multiclass(train: DataFrame, features: list[str] = STATUS_FEATURES, label: str = "label",
-                          classes: tuple = CLASSES, weight_col: str | None = None, parallelism: int | None = None,
-                          **params) -> StatusMulticlassModel:
-    """M9: one binary GBT per class on a shared assembled (and cached) vector.
-
-    The K fits are independent, so they are submitted concurrently from
-    driver threads (``parallelism``, default K) and share the cluster.
-    """
+                          classes: tuple = CLASSES, weight_col: str | None = None, **params) -> StatusMulticlassModel:
+    """M9: one multinomial model of all classes (reference parameters unless overridden)."""
     p = {**MULTICLASS_PARAMS, **params}
-    asm = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="error")
-    data = asm.transform(train).select("features", label, *([weight_col] if weight_col else []))
-    data = data.withColumns({f"_is_{k}": (F.col(label) == k).cast("double") for k in classes}).persist()
-    def fit_one(k):
-        gbt = GBTClassifier(featuresCol="features", labelCol=f"_is_{k}", **p)
-        if weight_col:
-            gbt.setWeightCol(weight_col)
-        return gbt.fit(sized)
-
-    from concurrent.futures import ThreadPoolExecutor
-    try:
-        sized = _sized(data)
-        with ThreadPoolExecutor(max_workers=parallelism or len(classes)) as pool:
-            models = list(pool.map(fit_one, classes))
-    finally:
-        data.unpersist()
-    return StatusMulticlassModel(asm, models, tuple(classes), list(features))
+    model = fit_softmax_boosting(train, list(features), label, classes, weight_col, rounds=p["maxIter"], rate=p["stepSize"],
+                                 depth=p["maxDepth"])
+    return StatusMulticlassModel(**vars(model))
 
 
 def _importance_frame(spark: SparkSession, features: list[str], imp: list[float]) -> DataFrame:
