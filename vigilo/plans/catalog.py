@@ -17,6 +17,7 @@ from vigilo.operators import analytics as B
 from vigilo.operators import evaluation as E
 from vigilo.operators import periods as FP
 from vigilo.operators import presence as A
+from vigilo.operators import presence_segments as PS
 from vigilo.operators import profile as D
 from vigilo.operators import quality as Q
 from vigilo.sources.adapters import TestTables, anomaly_labels
@@ -26,6 +27,7 @@ REGISTRY: dict[str, QueryFn] = {}
 
 # Parameters of the registered queries (inputs, not caps).
 RECENT_N_TEST = 10          # last-n records (the test calendar has 30 days)
+APPEND_SEGMENT_DAYS = 8     # short segments, so that the test calendar has several
 LOOKUP_ID = 42
 SEARCH_TEXT = "ar"
 PAGE_NUMBER = 2
@@ -143,6 +145,28 @@ def a5(spark, sf):
         "absence_in_last_30_days", r6("day_of_week_variance").alias("day_of_week_variance"))
 
 
+@register("a5_segment_summaries")
+def a5s(spark, sf):
+    """A5 from merged date segments: the rows of a5_presence_features."""
+    f = PS.presence_features_by_segments(_t(spark, sf).presence)
+    return f.select("id", r6("attendance_rate").alias("attendance_rate"), "longest_absence_streak",
+                    "absence_in_last_30_days", r6("day_of_week_variance").alias("day_of_week_variance"))
+
+
+@register("a5_appended_days")
+def a5a(spark, sf):
+    """A5 after the last week arrives: summaries of the earlier days, then only the segments of the new days again."""
+    presence = _t(spark, sf).presence
+    last = presence.agg(F.max("date")).first()[0]
+    new = F.col("date") > F.date_sub(F.lit(last).cast("date"), 7)
+    history, arrived = presence.where(~new), presence.where(new)
+    stored = PS.segment_summaries(history, segment_days=APPEND_SEGMENT_DAYS)
+    now = PS.append_records(stored, history, arrived, segment_days=APPEND_SEGMENT_DAYS)
+    f = PS.features_from_summary(PS.merge_segments(now))
+    return f.select("id", r6("attendance_rate").alias("attendance_rate"), "longest_absence_streak",
+                    "absence_in_last_30_days", r6("day_of_week_variance").alias("day_of_week_variance"))
+
+
 @register("a6_attach_labels")
 def a6(spark, sf):
     t = _t(spark, sf)

@@ -173,7 +173,8 @@ q("a3_absences_last_n", """
   select id, cast(sum(case when rn > n - 10 then 1 - is_present else 0 end) as integer) as absence_in_last_n
   from pr group by id""", "pr")
 q("a4_weekday_variance", f"select id, {R('day_of_week_variance')} as day_of_week_variance from wdvar", "wdvar")
-q("a5_presence_features", f"""
+for _name in ("a5_presence_features", "a5_segment_summaries", "a5_appended_days"):
+    q(_name, f"""
   select id, {R('attendance_rate')} as attendance_rate, longest_absence_streak, absence_in_last_30_days,
          {R('day_of_week_variance')} as day_of_week_variance from feat""", "feat")
 q("a6_attach_labels", f"""
