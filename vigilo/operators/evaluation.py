@@ -1,9 +1,8 @@
 """Model evaluation over a predictions table (id, y_true, y_pred[, prob]).
 
 Confusion cells, per-class reports and gates come from ONE conditional
-aggregation (K*K cells). AUC is exact: predictions are grouped by distinct
-score, then a distributed prefix sum over the score order (range-partitioned,
-so no single task holds every score) accumulates the negatives below.
+aggregation (K*K cells). AUC is exact: a histogram of the scores counts all
+pairs between buckets, and only buckets that mix classes are refined.
 """
 
 from __future__ import annotations
@@ -135,22 +134,103 @@ def dense_positions(df: DataFrame, order_cols: list[str], out_col: str = "pos")
     return prefix_sums(one, order_cols, ["_one"]).withColumnRenamed("below__one", out_col).drop("_one")
 
 
-def roc_auc(pred: DataFrame, t: str = "y_true", score: str = "prob", round_digits: int | None = None) -> DataFrame:
-    """Exact AUC-ROC (ties count one half) as sum over distinct scores.
+#: Buckets of one refinement step, and rows up to which a mixed bucket is ranked value by value.
+AUC_BUCKETS = 1 << 16
+AUC_RANKED = 1 << 20
+
+
+def _ordered(score) -> F.Column:
+    """Scores as finite numbers in their order: nulls first, NaN last (like Spark's own order), infinities at the ends."""
+    s = score.cast("double")
+    return (F.when(s.isNull(), F.lit(0).cast("tinyint")).when(F.isnan(s), F.lit(4).cast("tinyint"))
+            .when(s == float("-inf"), F.lit(1).cast("tinyint")).when(s == float("inf"), F.lit(3).cast("tinyint"))
+            .otherwise(F.lit(2).cast("tinyint")))
+
 
-    AUC = sum_s pos_s * (neg_below_s + neg_s / 2) / (P * N). ``round_digits``
-    optionally rounds scores first to bound the number of distinct values.
+def roc_auc(pred: DataFrame, t: str = "y_true", score: str = "prob", round_digits: int | None = None) -> DataFrame:
+    """Exact AUC-ROC (ties count one half) from score buckets, without ranking the scores.
+
+    A positive in a higher bucket beats every negative of a lower one, so a
+    histogram gives all pairs between buckets exactly. Pairs inside a bucket
+    are none when it holds one class, halves when it holds one score; only mixed
+    buckets are looked into: small ones (AUC_RANKED rows) by their distinct
+    scores, each in a task of its own, larger ones by a histogram over their own
+    range, and so on. A step shuffles at most AUC_BUCKETS counts per task and
+    open bucket. Pairs are summed as whole numbers.
+
+    ``round_digits`` optionally rounds scores first. Null scores rank lowest, NaN
+    highest; labels other than 1 are negatives. Without both classes the AUC is 0.
     """
     s = F.col(score)
     if round_digits is not None:
         s = F.round(s, round_digits)
-    by_score = (pred.groupBy(s.alias("_s"))
-                .agg(F.count(F.when(F.col(t) == 1, F.lit(1))).alias("pos"),
-                     F.count(F.when(F.col(t) != 1, F.lit(1))).alias("neg")))
-    ranked = prefix_sums(by_score, "_s", ["neg"])
-    return ranked.agg(
-        safe_ratio(F.sum(F.col("pos") * (F.col("below_neg") + F.col("neg") / F.lit(2.0))),
-                   F.sum("pos") * F.sum("neg")).alias("auc"))
+    kind = _ordered(s)
+    rows = pred.select(kind.alias("kind"), F.when(kind == 2, s.cast("double") + F.lit(0.0)).otherwise(F.lit(0.0)).alias("s"),
+                       F.coalesce(F.col(t) == 1, F.lit(False)).alias("hit")).persist()
+    try:
+        return _auc(rows)
+    finally:
+        rows.unpersist()
+
+
+def _counts() -> list[F.Column]:
+    return [F.count(F.when(F.col("hit"), 1)).alias("pos"), F.count(F.when(~F.col("hit"), 1)).alias("neg")]
+
+
+def _doubled_pairs(cells: DataFrame, group: list[str], order: str, own) -> DataFrame:
+    """Per cell: twice its positives times the negatives of lower cells of its group, plus what ``own`` counts inside."""
+    below = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    whole = "decimal(38,0)"
+    cross = F.col("pos").cast(whole) * F.coalesce(F.sum("neg").over(below), F.lit(0)).cast("decimal(19,0)") * F.lit(2)
+    return cells.withColumn("pairs", (cross + F.when(own, F.col("pos").cast("decimal(18,0)") * F.col("neg").cast("decimal(18,0)"))
+                                      .otherwise(F.lit(0))).cast(whole))
+
+
+def _auc(rows: DataFrame) -> DataFrame:
+    from vigilo.session import pin
+    spark = rows.sparkSession
+    # The root: kinds in order; finite scores (kind 2) are the only bucket with an inside.
+    root = rows.groupBy("kind").agg(*_counts(), F.min("s").alias("lo"), F.max("s").alias("hi")).collect()
+    root.sort(key=lambda r: r["kind"])
+    pos, neg = sum(r["pos"] for r in root), sum(r["neg"] for r in root)
+    doubled, below = 0, 0
+    for r in root:
+        doubled += 2 * r["pos"] * below + (r["pos"] * r["neg"] if r["lo"] == r["hi"] else 0)
+        below += r["neg"]
+    mix = [r for r in root if r["kind"] == 2 and r["lo"] < r["hi"] and r["pos"] and r["neg"]]
+    inside = rows.where("kind = 2").select(F.lit(0).cast("long").alias("bucket"), "s", "hit")
+    pieces, open_buckets = AUC_BUCKETS, None
+    while mix:
+        # Open buckets stay a table (the first is a constant): each is cut into equal steps of its own range.
+        inside = (inside.withColumns({"lo": F.lit(mix[0]["lo"]), "hi": F.lit(mix[0]["hi"])}) if open_buckets is None
+                  else inside.join(open_buckets, "bucket"))
+        s, lo, hi = F.col("s"), F.col("lo"), F.col("hi")
+        # Halves where the range itself overflows; it is never 0 otherwise, as lo < hi.
+        share = F.when(hi - lo < float("inf"), (s - lo) / (hi - lo)).otherwise((s / 2 - lo / 2) / (hi / 2 - lo / 2))
+        step = F.least(F.floor(share * F.lit(pieces)), F.lit(pieces - 1))
+        inside = inside.select("bucket", step.cast("long").alias("piece"), "s", "hit")
+        cells = inside.groupBy("bucket", "piece").agg(*_counts(), F.min("s").alias("lo"), F.max("s").alias("hi")).persist()
+        mixed = (F.col("pos") > 0) & (F.col("neg") > 0) & (F.col("lo") < F.col("hi"))
+        small = F.col("pos") + F.col("neg") <= AUC_RANKED
+        total = _doubled_pairs(cells, ["bucket"], "piece", F.col("lo") == F.col("hi")).agg(
+            F.sum("pairs").alias("pairs"), F.count(F.when(mixed & small, 1)).alias("small"),
+            F.count(F.when(mixed & ~small, 1)).alias("large")).first()
+        doubled += int(total["pairs"])
+        if total["small"]:
+            scores = (inside.join(cells.where(mixed & small).select("bucket", "piece"), ["bucket", "piece"], "left_semi")
+                      .groupBy("bucket", "piece", "s").agg(*_counts()))
+            doubled += int(_doubled_pairs(scores, ["bucket", "piece"], "s", F.lit(True)).agg(F.sum("pairs")).first()[0])
+        if not total["large"]:
+            cells.unpersist()
+            break
+        numbered = pin(cells.where(mixed & ~small).select("bucket", "piece", "lo", "hi", F.monotonically_increasing_id().alias("new")))
+        cells.unpersist()
+        inside = (inside.join(numbered.select("bucket", "piece", "new"), ["bucket", "piece"])
+                  .select(F.col("new").alias("bucket"), "s", "hit"))
+        open_buckets = numbered.select(F.col("new").alias("bucket"), "lo", "hi")
+        pieces = max(2, AUC_BUCKETS // min(AUC_BUCKETS // 2, total["large"]))
+    auc = doubled / (2 * pos * neg) if pos and neg else 0.0
+    return spark.range(1).select(F.lit(float(auc)).alias("auc"))
 
 
 def top_flagged(scored: DataFrame, n: int = 5) -> DataFrame:
