@@ -16,8 +16,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vigilo.session import pin
-
 # Fixed values of the period adapter: order status -> payment status,
 # account-balance cut points for the income bracket.
 STATUS_OF_ORDER = {"F": 0, "O": 1}  # anything else (P) -> 2
@@ -36,48 +34,50 @@ def presence_from_events(events: DataFrame, id_col: str = "user_id", ts_col: str
     map task, each bounded by the number of days). Each entity row then
     emits its present days and the other event days (``array_except``, a hash
     set difference — O(days), no per-day probing). The distinct event days (a
-    date each, however far apart) come to the driver and enter the plan as a
-    constant. The output is partitioned by entity, which the feature window
-    reuses.
+    date each, however far apart) are a scalar subquery of the same plan, so
+    building the plan starts no job. The output is partitioned by entity, which
+    the feature window reuses.
     """
     day = F.to_date(F.col(ts_col))
-    epoch = F.unix_date(day).alias("d")
-    days = sorted(r["d"] for r in events.where(F.col(ts_col).isNotNull()).select(epoch).distinct().collect())
-    if not days:
-        return events.select(F.col(id_col).alias("id"), day.alias("date"),
-                             F.lit(1).alias("is_present")).limit(0)
-    calendar = F.transform(F.lit(days).cast("array<int>"), lambda d: F.date_from_unix_date(d))
+    calendar = events.agg(F.collect_set(day)).scalar()
     per_entity = events.groupBy(F.col(id_col).alias("id")).agg(F.collect_set(day).alias("_days"))
+    per_entity = per_entity.withColumn("_calendar", calendar)
     rows = F.concat(
         F.transform("_days", lambda d: F.struct(d.alias("date"), F.lit(1).alias("is_present"))),
-        F.transform(F.array_except(calendar, F.col("_days")),
+        F.transform(F.array_except("_calendar", "_days"),
                     lambda d: F.struct(d.alias("date"), F.lit(0).alias("is_present"))))
     return per_entity.select("id", F.inline(rows))
 
 
-def _numbered(orders: DataFrame) -> DataFrame:
+#: Orders beyond which a customer's orders are numbered month by month, each in a task of its own.
+HOT_ORDERS = 1_000_000
+
+
+def _numbered(orders: DataFrame, hot_orders: int | None = None) -> DataFrame:
     """Orders with ``term`` (1..n per customer by date, key) and the previous order's date.
 
-    Skew-safe: the orders are range-partitioned by (customer, date, key), numbered
-    inside each partition, and only the customers that cross a partition border
-    (at most two per partition) get the count and last date of the partitions
-    before, from a table of that many rows. A customer with a third of all
-    orders is spread over as many partitions as it fills.
+    One window per customer, and per month for hot customers: those with more
+    than HOT_ORDERS orders (so one in HOT_ORDERS of all orders at most, a table
+    that Spark broadcasts or not by its size). A hot customer's months get the
+    count and last date of the months before from one row per month. The plan is
+    built without a job and without writing anything; without hot customers the
+    branch is empty and adaptive execution drops its joins.
     """
-    split = orders.repartitionByRange("o_custkey", "_d", "o_orderkey").withColumn("_pid", F.spark_partition_id())
-    split = pin(split)  # every branch below must see the same partition numbers
-    inside = Window.partitionBy("_pid", "o_custkey").orderBy("_d", "o_orderkey")
-    local = split.withColumn("_rn", F.row_number().over(inside)).withColumn("_prev", F.lag("_d").over(inside))
-    ends = split.groupBy("_pid").agg(F.min("o_custkey").alias("_first"), F.max("o_custkey").alias("_last"))
-    border = (ends.select("_pid", F.explode(F.array_distinct(F.array("_first", "_last"))).alias("o_custkey")))
-    # At most two rows per partition: bounded by the number of partitions, not by the data.
-    parts = (split.join(F.broadcast(border), ["_pid", "o_custkey"]).groupBy("o_custkey", "_pid")
-             .agg(F.count(F.lit(1)).alias("_n"), F.max("_d").alias("_end")))
-    before = Window.partitionBy("o_custkey").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    carry = parts.select("_pid", "o_custkey", F.sum("_n").over(before).alias("_skip"), F.max("_end").over(before).alias("_carry"))
-    return (local.join(F.broadcast(carry.where("_skip is not null")), ["_pid", "o_custkey"], "left")
+    most = F.lit(HOT_ORDERS if hot_orders is None else hot_orders)
+    hot = (orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > most)
+           .select(F.col("o_custkey").alias("_hot")))
+    month = (F.year("_d") * 12 + F.month("_d")).cast("int")
+    marked = orders.join(hot, orders["o_custkey"] == hot["_hot"], "left")
+    marked = marked.withColumn("_part", F.when(F.col("_hot").isNotNull(), month).otherwise(F.lit(0))).drop("_hot")
+    inside = Window.partitionBy("o_custkey", "_part").orderBy("_d", "o_orderkey")
+    local = marked.withColumn("_rn", F.row_number().over(inside)).withColumn("_prev", F.lag("_d").over(inside))
+    before = Window.partitionBy("_c").orderBy("_m").rowsBetween(Window.unboundedPreceding, -1)
+    carry = (orders.join(hot, orders["o_custkey"] == hot["_hot"], "left_semi")
+             .groupBy(F.col("o_custkey").alias("_c"), month.alias("_m")).agg(F.count(F.lit(1)).alias("_n"), F.max("_d").alias("_end"))
+             .select("_c", "_m", F.sum("_n").over(before).alias("_skip"), F.max("_end").over(before).alias("_carry")))
+    return (local.join(carry, (local["o_custkey"] == carry["_c"]) & (local["_part"] == carry["_m"]), "left")
             .withColumn("term", (F.col("_rn") + F.coalesce("_skip", F.lit(0))).cast("int"))
-            .withColumn("_prev", F.coalesce("_prev", "_carry")).drop("_pid", "_rn", "_skip", "_carry"))
+            .withColumn("_prev", F.coalesce("_prev", "_carry")).drop("_part", "_rn", "_skip", "_carry", "_c", "_m"))
 
 
 def periods_from_orders(orders: DataFrame, customer: DataFrame) -> DataFrame:
