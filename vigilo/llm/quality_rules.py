@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vigilo.llm.common import SPACE_CLASS, let, table, words
+from vigilo.llm.common import SPACE_CLASS, let, staged, table, words
 
 SPACES = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
@@ -69,14 +69,14 @@ def base_counts(facts: DataFrame) -> DataFrame:
     ).drop("of_words")
 
 
-def frequent_lines(facts: DataFrame) -> DataFrame:
-    """``(host, line)``: hashes of the lines above the limit.
+def frequent_lines(hashed: DataFrame) -> DataFrame:
+    """``hashed(host, text_hash, hashes)`` -> ``(host, line)``: hashes of the lines above the limit.
 
     Counts distinct texts, so exact copies of a document count once. One
     aggregation counts lines and, as the null line, the documents of the host.
     """
-    own = F.array_distinct(F.transform("lines", _line_hash))
-    seen = facts.select("host", "text_hash", F.explode(F.concat(own, F.array(F.lit(None).cast("long")))).alias("line"))
+    own = F.array_distinct("hashes")
+    seen = hashed.select("host", "text_hash", F.explode(F.concat(own, F.array(F.lit(None).cast("long")))).alias("line"))
     counts = seen.groupBy("host", "line").agg(F.count_distinct("text_hash").alias("n"))
     totals = counts.where("line is null").select("host", F.col("n").alias("docs"))
     heavy = counts.where(F.col("line").isNotNull() & (F.col("n") > LINE_MIN_DOCS)).join(totals, "host")
@@ -94,15 +94,15 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     doc_id is carried through. Repeated rows get the same answer and count once
     as documents of their host. Extra columns are ignored; no rows give no rows.
     """
-    facts = _facts(docs)
-    heavy = frequent_lines(facts)
-    own = F.array_distinct(F.transform("lines", _line_hash))
-    per_doc = (facts.select("host", "text_hash", F.explode(own).alias("line")).join(heavy, ["host", "line"])
-               .groupBy("host", "text_hash").agg(F.collect_set("line").alias("boilerplate")))
+    # One pass over the texts: counts, line hashes and line lengths are written once, all that follows reads those.
     sized = F.transform("lines", lambda x: F.struct(_line_hash(x).alias("h"), F.length(_unspaced(x)).alias("c")))
-    rows = base_counts(facts).select(
+    rows = staged(base_counts(_facts(docs)).select(
         "doc_id", "host", "text_hash", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        sized.alias("sized"))
+        sized.alias("sized")), "quality")
+    hashed = rows.select("host", "text_hash", F.col("sized.h").alias("hashes"))
+    heavy = frequent_lines(hashed)
+    per_doc = (hashed.select("host", "text_hash", F.explode(F.array_distinct("hashes")).alias("line")).join(heavy, ["host", "line"])
+               .groupBy("host", "text_hash").agg(F.collect_set("line").alias("boilerplate")))
     failed = ((F.col("n_words") < MIN_WORDS) |
               (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
     none = F.array().cast("array<bigint>")
@@ -118,8 +118,8 @@ def quality_rules(docs: DataFrame) -> DataFrame:
 
 def cleaned(docs: DataFrame) -> DataFrame:
     """``docs`` with the boilerplate lines of their host taken out of ``text`` (other columns as they are)."""
-    facts = _facts(docs)
-    heavy = (frequent_lines(facts).groupBy("host").agg(F.collect_set("line").alias("_heavy"))
+    hashed = _facts(docs).select("host", "text_hash", F.transform("lines", _line_hash).alias("hashes"))
+    heavy = (frequent_lines(hashed).groupBy("host").agg(F.collect_set("line").alias("_heavy"))
              .withColumnRenamed("host", "_host"))
     kept = F.filter(F.split("text", "\n", -1),
                     lambda x: ~F.array_contains(F.col("_heavy"), _line_hash(x)) | (_unspaced(x) == ""))
