@@ -49,7 +49,9 @@ def test_batch_job_end_to_end(spark, tmp_path):
         assert spark.read.parquet(f"{out}/evaluation/{name}").count() > 0
     for name in ("anomaly_confusion", "anomaly_report", "anomaly_top_flagged"):
         assert spark.read.parquet(f"{out}/evaluation/{name}").count() > 0
-    assert os.path.isdir(f"{out}/models/anomaly/nodes") and os.path.isdir(f"{out}/models/status_multiclass/nodes")
+    from vigilo.sources.versions import newest_whole
+    for model in ("anomaly", "default_binary", "status_multiclass"):
+        assert newest_whole(spark, f"{out}/models/{model}") is not None
     from vigilo.operators.profile import history
     store = spark.read.parquet(f"{out}/presence_history")
     h = history(store, 3, n=5)

@@ -43,6 +43,18 @@ def test_forest_invariants(spark, feats):
     assert again.offset == pytest.approx(model.offset)
 
 
+def test_scores_in_the_plan_equal_the_batch_walk(spark, feats):
+    """The same forest by higher-order functions and by Arrow batches; no Python worker in the plan of the first."""
+    cols = ["a", "b", "c"]
+    model = IsolationForest(cols, n_trees=12, max_samples=64, contamination=None, seed=3).fit(feats)
+    plan = model.score_in_plan(feats)
+    assert "Arrow" not in plan._jdf.queryExecution().executedPlan().toString()
+    a = {r["id"]: r["score"] for r in plan.collect()}
+    b = {r["id"]: r["score"] for r in model.score_samples(feats).collect()}
+    assert set(a) == set(b) and all(a[i] == pytest.approx(b[i], abs=1e-12) for i in a)
+    assert plan.columns == [*feats.columns, "score"]
+
+
 def test_split_is_partition_invariant(spark, feats):
     a = S.stratified_split(feats.withColumn("label", F.col("id") % 3), "label").select("id", "split")
     b = S.stratified_split(feats.repartition(7).withColumn("label", F.col("id") % 3), "label").select("id", "split")

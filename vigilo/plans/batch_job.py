@@ -24,6 +24,7 @@ from vigilo.operators import thresholds as TH
 from vigilo.operators.iforest import IsolationForest
 from vigilo.operators.scaling import fit_standardizer
 from vigilo.sources import artifacts as AR
+from vigilo.sources.versions import load_or_fit_version
 from vigilo.sources.readers import write_features
 
 PRESENCE_FEATURES = ["attendance_rate", "longest_absence_streak", "absence_in_last_30_days", "day_of_week_variance"]
@@ -83,7 +84,8 @@ def run_batch_job(spark: SparkSession, presence: DataFrame, periods: DataFrame,
         forest, _ = IsolationForest(PRESENCE_FEATURES, n_trees=n_trees).fit_score(scaler.transform(feats), keep=[])
         return AR.AnomalyModel(scaler, forest)
     # scaler and forest are one artifact: both are loaded or both are fitted
-    anomaly = AR.load_or_fit(spark, f"{out_dir}/models/anomaly", AR.load_anomaly, fit_anomaly, AR.save_anomaly)
+    anomaly = load_or_fit_version(spark, f"{out_dir}/models/anomaly", AR.load_anomaly, fit_anomaly, AR.save_anomaly,
+                                  feats.select("id", *PRESENCE_FEATURES))
     scored_att = anomaly.forest.decision(anomaly.scaler.transform(feats))
     risk = TH.risk_from_decision("decision")
     att_scored = feats.join(scored_att.select("id", risk.alias("risk_raw"), F.col("is_flagged").alias("is_anomaly_pred")), "id")
@@ -103,10 +105,11 @@ def run_batch_job(spark: SparkSession, presence: DataFrame, periods: DataFrame,
             F.col("fee_default").alias("y_true"), F.col("default_prob").alias("prob"))
         pick = TH.tune_threshold(TH.threshold_scan(own)).first()
         return model.with_threshold(pick["highest"]) if pick and pick["highest"] is not None else model
-    binary = AR.load_or_fit(spark, f"{out_dir}/models/default_binary", G.DefaultBinaryModel.load, fit_binary, save)
+    binary = load_or_fit_version(spark, f"{out_dir}/models/default_binary", G.DefaultBinaryModel.load, fit_binary, save, train)
     weighted = S.class_weights(fee, "label", "fixed", minority=2, factor=4.0)
-    status = AR.load_or_fit(spark, f"{out_dir}/models/status_multiclass", G.StatusMulticlassModel.load,
-                            lambda: G.fit_status_multiclass(weighted, weight_col="weight", **extra), save)
+    status = load_or_fit_version(spark, f"{out_dir}/models/status_multiclass", G.StatusMulticlassModel.load,
+                                 lambda: G.fit_status_multiclass(weighted, weight_col="weight", **extra), save,
+                                 weighted.select("id", "label", "weight", *FP.STATUS_FEATURES))
 
     def written(df, name):  # predictions are read by many tables: score once, read the file
         df.write.mode("overwrite").parquet(f"{out_dir}/predictions/{name}")
@@ -145,7 +148,7 @@ def run_batch_job(spark: SparkSession, presence: DataFrame, periods: DataFrame,
         evaluation["anomaly_report"] = E.classification_report(ap, classes=[0, 1], names=["Normal", "Anomaly"])
         evaluation["anomaly_top_flagged"] = (
             ap.where("y_pred = 1").orderBy(F.desc("risk_raw"), "id").limit(10)
-            .withColumn("verdict", F.when(F.col("y_true") == 1, "confirmed").otherwise("false alarm")))
+            .withColumn("verdict", F.when(F.col("y_true") == 1, "Correctly Flagged").otherwise("False Positive")))
     AR.write_evaluation(evaluation, f"{out_dir}/evaluation")
 
     # 6. history store for per-entity lookups, then the scored profile (durable table the dashboard reads)

@@ -23,18 +23,18 @@ from vigilo.operators import thresholds as TH
 from vigilo.operators.iforest import IsolationForest
 from vigilo.operators.scaling import fit_standardizer
 from vigilo.session import ensure_checkpoint_dir
-from vigilo.sources import artifacts as AR
+from vigilo.sources.versions import load_or_fit_version
 from vigilo.plans.catalog import _t, fee_feats, predictions, presence_feats, r6, register
 
 PRESENCE_FEATURES = ["attendance_rate", "longest_absence_streak", "absence_in_last_30_days", "day_of_week_variance"]
 QUERY_TREES = 100
 
 
-def _artifact(spark, sf, name, load, fit):
-    """Load the model another query of this application saved for the same tables, or fit and save it."""
+def _artifact(spark, sf, name, load, fit, training):
+    """The model that another query fitted on the same training rows, or fit and publish it."""
     tag = hashlib.sha1(f"{spark.sparkContext.applicationId}|{sf}".encode()).hexdigest()[:16]
     path = f"{ensure_checkpoint_dir(spark)}/models-{tag}/{name}"
-    return AR.load_or_fit(spark, path, load, fit, lambda _, model, p: model.save(p))
+    return load_or_fit_version(spark, path, load, fit, lambda _, model, p: model.save(p), training)
 
 
 def _z(spark, sf):
@@ -135,6 +135,30 @@ def _forest_scored(spark, sf):
                            seed=42).fit_score(z, keep=[])[1]
 
 
+def fixed_forest():
+    """A forest given by a rule, not fitted: eight complete trees of depth three (its twin has the same rule)."""
+    import pandas as pd
+    from vigilo.operators.iforest import IsolationForestModel
+    rows = []
+    for t in range(8):
+        for i in range(15):
+            inner, f = i < 7, (t + i) % 4
+            cut = (0.05 * ((t * 7 + i * 3) % 20), float((t * 5 + i) % 12), float((t * 3 + i * 2) % 30), 0.01 * ((t + i) % 10))[f]
+            rows.append((t, i, 2 * i + 1 if inner else -1, 2 * i + 2 if inner else -1, f if inner else -1, cut if inner else 0.0,
+                         1 + (t + i) % 9, (i + 1).bit_length() - 1))
+    nodes = pd.DataFrame(rows, columns=["tree", "node", "left", "right", "feature", "threshold", "size", "depth"])
+    return IsolationForestModel(PRESENCE_FEATURES, 64, nodes, offset=-0.5)
+
+
+@register("m3_fixed_forest")
+def m3f(spark, sf):
+    """Scores and decisions of a given node table over all entities, inside the plan."""
+    f = presence_feats(_t(spark, sf)).fillna(0.0, ["day_of_week_variance"])
+    model = fixed_forest()
+    d = F.col("score") - F.lit(model.offset)
+    return model.score_in_plan(f).select("id", r6("score").alias("score"), r6(d).alias("decision"), (d < 0).alias("is_flagged"))
+
+
 @register("m3_decision_score")
 def m3(spark, sf):
     return _forest_scored(spark, sf).select("id", "score", "decision", "is_flagged")
@@ -158,11 +182,9 @@ def m7(spark, sf):
 
 
 def _binary_model(spark, sf):
-    def fit():
-        tr = S.smote(_binary_train(spark, sf).select("id", "fee_default", *FP.BINARY_FEATURES),
-                     "fee_default", FP.BINARY_FEATURES, minority=1)
-        return G.fit_default_binary(tr)
-    return _artifact(spark, sf, "default_binary", G.DefaultBinaryModel.load, fit)
+    train = _binary_train(spark, sf).select("id", "fee_default", *FP.BINARY_FEATURES)
+    fit = lambda: G.fit_default_binary(S.smote(train, "fee_default", FP.BINARY_FEATURES, minority=1))
+    return _artifact(spark, sf, "default_binary", G.DefaultBinaryModel.load, fit, train)
 
 
 @register("m8_fit_default_binary")
@@ -173,10 +195,9 @@ def m8(spark, sf):
 
 
 def _multi_model(spark, sf):
-    def fit():
-        f = S.class_weights(fee_feats(_t(spark, sf)), "label", "fixed", minority=2, factor=4.0)
-        return G.fit_status_multiclass(f, weight_col="weight")
-    return _artifact(spark, sf, "status_multiclass", G.StatusMulticlassModel.load, fit)
+    train = S.class_weights(fee_feats(_t(spark, sf)), "label", "fixed", minority=2, factor=4.0)
+    return _artifact(spark, sf, "status_multiclass", G.StatusMulticlassModel.load,
+                     lambda: G.fit_status_multiclass(train, weight_col="weight"), train)
 
 
 @register("m9_fit_status_multiclass")

@@ -536,6 +536,22 @@ def _z(c):
 
 
 q("m1_standardize", "select id, " + ", ".join(f"{_z(c)} as z_{c}" for c in _ZC) + " from feat", "feat")
+cte("fixed_nodes", [], """
+  select t, i, i >= 7 as leaf, (t + i) % 4 as f, case (t + i) % 4 when 0 then 0.05e0 * ((t * 7 + i * 3) % 20) when 1 then ((t * 5 + i) % 12)::double
+      when 2 then ((t * 3 + i * 2) % 30)::double else 0.01e0 * ((t + i) % 10) end as cut,
+    3 + case 1 + (t + i) % 9 when 1 then 0e0 when 2 then 1e0
+        else 2e0 * (ln((t + i) % 9) + 0.5772156649e0) - 2e0 * ((t + i) % 9) / (1 + (t + i) % 9) end as len
+  from range(8) a(t), range(15) b(i)""")
+cte("fixed_walk", ["feat", "fixed_nodes"], """
+  with recursive w(id, t, i, depth) as (select id, t, 0::bigint, 0 from feat, range(8) a(t)
+    union all
+    select w.id, w.t, 2 * w.i + case when case n.f when 0 then v.attendance_rate when 1 then v.longest_absence_streak
+        when 2 then v.absence_in_last_30_days else coalesce(v.day_of_week_variance, 0e0) end <= n.cut then 1 else 2 end, w.depth + 1
+    from w join fixed_nodes n on n.t = w.t and n.i = w.i join feat v on v.id = w.id where not n.leaf)
+  select w.id, -(2e0 ** (-avg(n.len) / (2e0 * (ln(63e0) + 0.5772156649e0) - 2e0 * 63e0 / 64e0))) as score
+  from w join fixed_nodes n on n.t = w.t and n.i = w.i where n.leaf group by w.id""")
+q("m3_fixed_forest", f"""
+  select id, {R('score')} as score, {R('score + 0.5e0')} as decision, score + 0.5e0 < 0 as is_flagged from fixed_walk""", "fixed_walk")
 cte("dec", ["feat"], """
   select id, attendance_rate - (select quantile_cont(attendance_rate, 0.1) from feat) as decision from feat""")
 q("m4_contamination_flag", f"select id, {R('decision')} as decision, decision < 0 as is_flagged from dec", "dec")
