@@ -637,6 +637,19 @@ def s5(spark, sf):
                        "is_anomaly")
 
 
+@register("s4_read_period_features")
+def s4p(spark, sf):
+    """S4 of the period kind: the fee features stored as CSV (all numbers as doubles), read back with schema and casts."""
+    import uuid
+    from vigilo.session import ensure_checkpoint_dir
+    from vigilo.sources.readers import read_features, write_features
+    f = fee_table(_t(spark, sf))
+    stored = f.select(F.col("student_id").cast("string").alias("student_id"), *[F.col(c).cast("double").alias(c) for c in f.columns[1:]])
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/features-{uuid.uuid4().hex}/period.csv"
+    write_features(stored, path, fmt="csv")
+    return read_features(spark, path, "period", fmt="csv")
+
+
 @register("d6_list_students")
 def d6l(spark, sf):
     return D.list_students(profile(_t(spark, sf)), SEARCH_TEXT, "safe").select("id", "name", "fee_label")

@@ -610,3 +610,54 @@ q("d9_entity_detail", """
     select id, string_agg(cast(date as varchar) || ':' || cast(is_present as varchar), ',' order by date) as history
     from (select * from presence where id = 42 order by date desc limit 10) group by id) h on h.id = p.id
   where p.id = 42""", "prof", "presence")
+
+q("s4_read_period_features", """
+  select cast(student_id as varchar) as student_id, days_since_last_payment, previous_term_status, total_outstanding, income_encoded,
+         transport_user, sibling_count, label from feetab""", "feetab")
+q("m13_binary_threshold_label", "select id, prob, cast(prob >= 0.2e0 as integer) as label_pred from pred", "pred")
+
+
+def _held(name, table, **values):
+    """Twin of a row of counts: what the tables say, and zeros for whatever must not happen."""
+    rows = " union all ".join(f"select '{k}' as check_name, cast({v} as bigint) as value" + (f" from {table}" if table and "(" in str(v) else "")
+                              for k, v in values.items())
+    q(name, rows, *([table] if table in CTE else []))
+
+
+_held("m2_forest_invariants", "feat", trees=100, smallest_sample="least(256, count(*))", largest_sample="least(256, count(*))", too_deep=0,
+      unknown_features=0, children_do_not_add_up=0, children_at_wrong_depth=0, empty_children=0)
+_held("m3_decision_invariants", "feat", rows="count(*)", ids="count(distinct id)", scores_out_of_range=0, flags_against_decision=0,
+      flagged_beyond_contamination=0)
+_held("m16_flag_invariants", "feat", rows="count(*)", risk_out_of_range=0, flagged_at_low_risk=0, high_risk_not_flagged=0, wrong_level=0)
+_held("m8_binary_invariants", "fee", rows="count(*)", iterations=500, probabilities_out_of_range=0, defaults_scored_no_higher=0)
+_held("m9_status_invariants", "fee", rows="count(*)", rounds=200, rising_losses=0, sums_not_one=0, out_of_range=0, labels_against_rule=0)
+_held("m11_importance_invariants", None, features=6, ranks=6, negative=0, sum_in_millionths=1000000)
+_held("m15_default_risk_invariants", "fee", rows="count(*)", ids="count(distinct id)", out_of_range=0, wrong_category=0, wrong_decision=0)
+cte("asked_att", ["feat", "req"], "select id from feat where id in (select id from req)")
+cte("asked_fee", ["fee", "req"], "select id from fee where id in (select id from req)")
+_held("d11_model_invariants", "asked_att", rows="count(*)", ids="count(distinct id)", scored_differently=0)
+_held("d12_model_invariants", "asked_fee", rows="count(*)", ids="count(distinct id)", out_of_range=0, wrong_category=0)
+
+# M7: every draw is a hash of (seed, number), so the synthetic rows have an exact twin.
+_x = ", ".join(f"cast({c} as double) as {c}" for c in _BF)
+cte("smote_train", ["fee"], """
+  select *, cast(label = 2 as integer) as fee_default, cast(income_encoded = 2 as integer) as is_low_income,
+         cast(sibling_count >= 3 as integer) as has_many_siblings, cast(previous_term_status >= 1 as integer) as was_late_or_worse,
+         days_since_last_payment * total_outstanding / 10000e0 as days_x_outstanding
+  from fee qualify row_number() over (partition by label = 2 order by ('0x' || substr(md5('42:' || id), 1, 13))::bigint, id)
+    > floor(count(*) over (partition by label = 2) * 0.2e0 + 0.5e0)""")
+cte("smote_parent", ["smote_train"], f"""
+  select id, {_x}, row_number() over (order by id) - 1 as pos, count(*) over () as n from smote_train where fee_default = 1""")
+cte("smote_near", ["smote_parent"], f"""
+  select a.pos, b.pos as nbr, row_number() over (partition by a.id order by sqrt({_dist}), b.id) as nn
+  from smote_parent a join smote_parent b on a.id <> b.id qualify nn <= 3""")
+_mixed = ", ".join(f"p.{c} + d.u * (o.{c} - p.{c}) as {c}" for c in _BF)
+cte("smote_draw", ["smote_train"], """
+  select s, ('0x' || substr(md5('42:' || s), 1, 13))::bigint as bits, ('0x' || substr(md5('43:' || s), 1, 13))::bigint / 4503599627370496e0 as u
+  from (select unnest(range(greatest(0, (select count(*) filter (where fee_default <> 1) - count(*) filter (where fee_default = 1) from smote_train)))) as s)""")
+q("m7_smote", f"""
+  select id, fee_default, {_x}, false as synthetic from smote_train
+  union all
+  select null, 1, {_mixed}, true from smote_draw d join smote_parent p on p.pos = d.s % p.n
+    join smote_near k on k.pos = p.pos and k.nn = d.bits % least(3, p.n - 1) + 1 join smote_parent o on o.pos = k.nbr""",
+  "smote_train", "smote_parent", "smote_near", "smote_draw")
