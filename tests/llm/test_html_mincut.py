@@ -59,6 +59,44 @@ def test_long_page_keeps_everything():
     assert text.count("\n") == 19_999
 
 
+PROSE = "This paragraph tells a part of the story in plain words, and it goes on for a while before it comes to its end here."
+
+
+@pytest.mark.parametrize("name", ["sidebar-content", "cookie-text", "main-menu", "comment-body", "footer-content", "newsletter-body",
+                                  "related-story", "ad-content"])
+def test_a_boilerplate_word_wins(name):
+    html = f"<div class=post><p>{PROSE}</p></div><div class={name}><p>{PROSE} Not this one.</p><p>{PROSE} Nor this.</p></div>"
+    assert M.main_text(html) == PROSE
+    assert M.main_text(f"<article><p>{PROSE}</p><div class={name}>{PROSE} No.</div><p>{PROSE}</p></article>") == f"{PROSE}\n{PROSE}"
+
+
+def test_articles_whose_names_hold_other_words():
+    for tag in ("article class='post has-sidebar related'", "main class=sidebar", "div class='post-header'", "div class='content with-sidebar'"):
+        assert M.main_text(f"<{tag}><p>{PROSE}</p>") == PROSE
+    assert M.main_text(f"<article><p>{PROSE}</p></article><article class=comment><p>{PROSE}</p></article>") == PROSE
+
+
+def test_the_cut_decides_against_the_classifier():
+    short = f"<div><p>{PROSE}</p><p>He left</p><p>{PROSE}</p></div>"
+    assert M.main_text(short) == f"{PROSE}\nHe left\n{PROSE}"
+    advert = "Our shop has many fine things at the very best prices, come in today and see them all for yourself."
+    links = "<div><a href=1>Home</a></div>"
+    among = f"<div>{links}<div>{advert}</div>{links}</div><div class=text><p>{PROSE}</p></div>"
+    assert M.main_text(among) == PROSE
+    moved = [(t, x) for h in (short, among) for t, s, x in M.labelled(h) if (s > 0) != x]
+    assert moved == [("He left", True), (advert, False)]
+
+
+def test_hostile_pages_take_linear_time():
+    import time
+    n = 100_000
+    for html in ("<div>" * n + "</ul>" * n + "text", "<li><ul>" + "<div>" * n + "<li>x</li>" * n, "<div>" * n + "<td>" * n,
+                 "".join("<div>Some words in this line.</div><div><a>x</a></div>" for _ in range(n // 4))):
+        start = time.time()
+        M.main_text(html)
+        assert time.time() - start < 20
+
+
 def test_query_on_pages(spark):
     import re
     from html import unescape

@@ -4,9 +4,11 @@ A page's text blocks are the nodes of a graph. A linear classifier turns each
 block's features (landmark elements, class and id words, link density, length,
 punctuation) into a terminal capacity: to the source for content, to the sink
 for boilerplate. Blocks that follow each other and blocks of one parent element
-are tied by smoothness edges, heavier the closer they stand in the DOM. The
-minimum cut separates content from boilerplate. Pages are independent rows;
-Spark spreads them, and a task holds one small batch at a time.
+are tied by smoothness edges, heavier the closer they stand in the DOM and light where a boilerplate container
+begins or ends. The minimum cut separates content from boilerplate: a short
+line between paragraphs stays with them, a line of prose between link lists
+goes with those. Pages are independent rows; Spark spreads them, and a task
+holds one small batch at a time.
 """
 
 from __future__ import annotations
@@ -37,11 +39,15 @@ contentinfo cookie cookies dialog disqus footer form gdpr header login masthead
 pagination pager popup promo promoted promotion recommended related replies reply respond search share sharing sidebar sidebars signup
 social sponsor sponsored subscribe subscription tags toolbar topbar widget""".split())
 CONTENT_WORDS = frozenset("article content entry main post story text body articlebody".split())
+COMMENT_WORDS = frozenset("comment comments disqus replies reply respond".split())
+LAYOUT_WORDS = frozenset("has no with without".split())  # "has-sidebar" names a neighbour, not the element itself
 CLOSES = {  # an opening element ends an open one of these, up to the nearest container
     "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
     "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
     "option": ({"option"}, {"select"}),
 }
+#: What is left of an edge's weight where it crosses the border of a boilerplate container.
+BORDER = 0.25
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^"'>])*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)"""
                   r"""|<[!?/][^>]*(?:>|\Z)""", re.S)
 _END = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in PLAIN_TAGS}
@@ -67,14 +73,17 @@ class _Element:
                 self.hidden = True
             elif name in ("class", "id", "role"):
                 words.update(w.lower() for w in _WORD.findall(value))
-        good = bool(words & CONTENT_WORDS) or tag in CONTENT_TAGS
-        inner_header = tag == "header" and self.content > 0
-        bad = (tag in BOILER_TAGS and not inner_header) or bool(words & BOILER_WORDS)
-        if tag not in ("html", "body"):
-            if bad and (tag in BOILER_TAGS or not good):
-                self.boiler += 1
-            elif good:
-                self.content += 1
+        if tag in ("html", "body"):
+            return
+        named = set() if words & LAYOUT_WORDS else words & BOILER_WORDS
+        if words & {"article", "entry", "post", "story"} or self.content:
+            named -= {"header"}  # a text's own head
+        if tag in CONTENT_TAGS:  # only a reader's comment is marked up as an article and is none
+            named &= COMMENT_WORDS if tag == "article" else set()
+        if named or tag in BOILER_TAGS and not (tag == "header" and self.content):
+            self.boiler += 1
+        elif words & CONTENT_WORDS or tag in CONTENT_TAGS:
+            self.content += 1
 
 
 def _plain_end(html: str, name: str, at: int) -> int:
@@ -103,9 +112,19 @@ def blocks(html: str) -> list[tuple[str, _Element, int]]:
     """Text blocks in page order: (text, innermost block element, characters inside links)."""
     out, buffer = [], []
     node = _Element("html", "", None)
+    opened: dict[str, list[_Element]] = {}  # open elements by name, so that no tag walks over its ancestors
     links = link_depth = at = 0
     skip = None
 
+    def leave(to):
+        nonlocal node
+        while node is not to:
+            opened[node.tag].pop()
+            node = node.parent
+
+    def innermost(names):
+        return max((opened[n][-1] for n in names if opened.get(n)), key=lambda e: e.depth, default=None)
+
     def flush():
         nonlocal links
         text = " ".join("".join(buffer).split())
@@ -158,26 +177,19 @@ def blocks(html: str) -> list[tuple[str, _Element, int]]:
             flush()
             link_depth = 0
             if closing:
-                top = node
-                while top and top.tag != name:
-                    top = top.parent
-                if top and top.parent:
-                    node = top.parent
+                if top := innermost((name,)):
+                    leave(top.parent)
             elif name not in ("html", "body"):
-                if node.tag == "head" and name != "head":
-                    node = node.parent
-                if node.tag == "p":
-                    node = node.parent
+                if node.tag == "head" and name != "head" or node.tag == "p":
+                    leave(node.parent)
                 ends, stop = CLOSES.get(name, ((), ()))
-                top = node
-                while top and ends and top.tag not in stop:
-                    if top.tag in ends:
-                        node = top.parent
-                        break
-                    top = top.parent
+                top, wall = innermost(ends), innermost(stop)
+                if top and (wall is None or top.depth > wall.depth):
+                    leave(top.parent)
                 node = _Element(name, m[3] or m[6], node)
+                opened.setdefault(name, []).append(node)
             elif node.tag == "head":
-                node = node.parent
+                leave(node.parent)
     if skip is None:
         add(html[at:])
     flush()
@@ -190,8 +202,8 @@ def score(text: str, node: _Element, links: int) -> float:
     s = -1.0
     if node.hidden or node.tag == "head":
         return -12.0
-    s += 4.0 * min(node.content, 1) - 8.0 * min(node.boiler, 1)
-    s += 2.5 if n >= 20 else 1.0 if n >= 8 else 0.0
+    s += -8.0 if node.boiler else 4.0 if node.content else 0.0
+    s += 3.5 if n >= 40 else 2.5 if n >= 20 else 1.0 if n >= 8 else 0.0
     ended, heading = text[-1] in ".!?…\"”»。", node.tag in ("h1", "h2", "h3", "blockquote", "pre")
     s += 1.0 * ended + 0.5 * heading
     s -= 1.5 if n < 4 and not (ended or heading or node.content) else 0.0
@@ -203,14 +215,18 @@ def score(text: str, node: _Element, links: int) -> float:
 def smoothness(nodes: list[_Element]) -> list[tuple[int, int, float]]:
     """Edges between neighbours in page order and between blocks of one parent element."""
     edges = []
+
+    def tie(i, j, weight):
+        apart = (nodes[i].boiler > 0) != (nodes[j].boiler > 0)
+        edges.append((i, j, weight * (BORDER if apart else 1.0)))
+
     for i, b in enumerate(nodes):
         home = b.parent or b
         if i:
             a = nodes[i - 1]
-            near = 1.2 if a is b or (a.parent or a) is home else 0.6 if (a.parent and a.parent.parent is home.parent) else 0.2
-            edges.append((i - 1, i, near))
+            tie(i - 1, i, 1.8 if a is b or (a.parent or a) is home else 0.6 if (a.parent and a.parent.parent is home.parent) else 0.2)
         if 0 <= home.last < i - 1:
-            edges.append((home.last, i, 0.6))
+            tie(home.last, i, 0.6)
         home.last = i
     return edges
 
@@ -252,39 +268,46 @@ def min_cut(unary: list[float], edges: list[tuple[int, int, float]]) -> list[boo
             flow[b][a] = flow[b].get(a, 0.0) + w
     source = {i: cap[i] for i in rest if cap[i] > 0}
     sink = {i: -cap[i] for i in rest if cap[i] < 0}
-    while True:
-        before = {i: -1 for i, c in source.items() if c > 1e-12}
-        queue, goal = deque(before), None
-        while queue and goal is None:
-            i = queue.popleft()
-            if sink.get(i, 0.0) > 1e-12:
-                goal = i
+    spent: set[int] = set()  # reach no sink any more: the source side of the cut
+    for start in source:
+        while source[start] > 1e-12 and start not in spent:
+            before, queue, goal = {start: -1}, deque([start]), None
+            while queue:
+                i = queue.popleft()
+                if sink.get(i, 0.0) > 1e-12:
+                    goal = i
+                    break
+                for j, c in flow[i].items():
+                    if c > 1e-12 and j not in before and j not in spent:
+                        before[j] = i
+                        queue.append(j)
+            if goal is None:
+                spent.update(before)
                 break
-            for j, c in flow[i].items():
-                if c > 1e-12 and j not in before:
-                    before[j] = i
-                    queue.append(j)
-        if goal is None:
-            break
-        path, i = [goal], goal
-        while before[i] >= 0:
-            i = before[i]
-            path.append(i)
-        push = min(source[path[-1]], sink[goal], *(flow[b][a] for a, b in zip(path, path[1:])))
-        source[path[-1]] -= push
-        sink[goal] -= push
-        for a, b in zip(path, path[1:]):
-            flow[b][a] -= push
-            flow[a][b] += push
+            path, i = [goal], goal
+            while before[i] >= 0:
+                i = before[i]
+                path.append(i)
+            push = min(source[start], sink[goal], *(flow[b][a] for a, b in zip(path, path[1:])))
+            source[start] -= push
+            sink[goal] -= push
+            for a, b in zip(path, path[1:]):
+                flow[b][a] -= push
+                flow[a][b] += push
     for i in rest:
-        label[i] = i in before
+        label[i] = i in spent
     return [bool(x) for x in label]
 
 
-def main_text(html: str | None) -> str:
+def labelled(html: str | None) -> list[tuple[str, float, bool]]:
+    """Blocks in page order: (text, classifier score, label of the cut)."""
     found = blocks(html or "")
-    labels = min_cut([score(*b) for b in found], smoothness([b[1] for b in found]))
-    return "\n".join(b[0] for b, keep in zip(found, labels) if keep)
+    costs = [score(*b) for b in found]
+    return [(b[0], c, x) for b, c, x in zip(found, costs, min_cut(costs, smoothness([b[1] for b in found])))]
+
+
+def main_text(html: str | None) -> str:
+    return "\n".join(text for text, _, keep in labelled(html) if keep)
 
 
 def _extracted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
