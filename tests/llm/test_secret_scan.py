@@ -66,6 +66,53 @@ def test_weak_parts_need_a_complement(spark):
     assert got == {0: [], 1: ["weak_id", "weak_key"], 2: ["weak_endpoint", "weak_key"], 3: [], 4: [], 5: ["weak_id"]}
 
 
+WEAK_ID = re.compile(r"""(?<![A-Za-z0-9])(?:(?:AKIA|ASIA|AIza|SK|AC)[A-Za-z0-9_-]{8,}+|(?i:client_?id|account_?id|user(?:name)?|login)"""
+                     r"""\x20*+[:=]\x20*+["']?[A-Za-z0-9_.@-]{3,}+)(?![A-Za-z0-9])""")
+KEY = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}+={0,2}+(?![A-Za-z0-9+/_=-])")
+PLACE = re.compile(r"""(?<![A-Za-z0-9])(?:(?:https?|ftp|jdbc|mongodb|postgres(?:ql)?|mysql|redis|amqp)://[^\x20\x09-\x0D"'<>]{4,}+"""
+                   r"""|(?i:endpoint|host)\x20*+[:=]\x20*+["']?[A-Za-z0-9.-]{3,}+)""")
+
+
+def brute_linked(text):
+    """Every pair of parts: a weak one stays beside a complementary, disjoint one within the scope."""
+    text = text or ""
+    places = [("weak_endpoint", m.start(), m.end()) for m in PLACE.finditer(text)]
+    keys = [("weak_key", m.start(), m.end()) for m in KEY.finditer(text)
+            if all(re.search(c, m[0]) for c in M.KEY_HAS) and not ("/" in m[0] and all(re.search(M.SEGMENT, x) for x in m[0].split("/")))]
+    keys = [k for k in keys if not any(p[1] < k[2] and k[1] < p[2] for p in places)]
+    weak = [("weak_id", m.start(), m.end()) for m in WEAK_ID.finditer(text)] + keys + places
+    strong = [(k, int(s), int(e)) for k, s, e in (x.split(":") for x in brute(text).split(",") if x)]
+    gap = lambda a, b: b[1] - a[2] if b[1] >= a[2] else a[1] - b[2] if a[1] >= b[2] else None
+    return sorted(w for w in weak if any(M.PART[p[0]] in M.COMPLEMENT[w[0]] and gap(w, p) is not None and gap(w, p) <= M.SCOPE
+                                         for p in weak + strong))
+
+
+def test_linking_matches_all_pairs(spark):
+    import random
+    rnd = random.Random(5)
+    key = lambda n: "".join(rnd.choice("Ab1cD2eF3gH4iJ5kL6mN7oP8") for _ in range(n))
+    made = [lambda: "login: bob" + str(rnd.randint(1, 99)), lambda: key(rnd.choice([20, 30, 150, 700])), lambda: "AKIA" + "Z" * rnd.choice([8, 30]),
+            lambda: "https://x.example.org/" + key(rnd.choice([5, 400])), lambda: "token=" + key(8), lambda: "z" * rnd.randint(1, 250),
+            lambda: "src/Main/App2Controller/indexFile", lambda: "host = db.example.org", lambda: "w " * rnd.randint(1, 130)]
+    texts = [" ".join(rnd.choice(made)() for _ in range(rnd.randint(1, 12))) for _ in range(300)] + TEXTS
+    got = {r.doc_id: r.linked for r in as_query(M.scan(rows(spark, texts)))}
+    want = {i: brute_linked(t) for i, t in enumerate(texts)}
+    assert {i: sorted((k, int(s), int(e)) for k, s, e in (x.split(":") for x in v.split(",") if x)) for i, v in got.items()} == want
+    assert sum(map(bool, want.values())) > 100
+
+
+def test_nothing_complements_itself(spark):
+    url = "https://example.com/watch/AbC123dEfGhIjKlMnOpQ"
+    long_url = "https://example.com/?q=" + "a1" * 200
+    key = "Ab1cD2eF3gH4iJ5kL6mN7oP8" * 7
+    texts = [f"see {url} ok", f"see {url} and {url}x", "account_id: Bob99 and path src/Main/App2Controller/indexFile",
+             f"{long_url} {key[:24]}", f"AKIA12345678 beside {key}"]
+    got = {r.doc_id: r.linked for r in as_query(M.scan(rows(spark, texts)))}
+    assert [got[i] for i in range(3)] == ["", "", ""]
+    assert got[3] == f"weak_endpoint:0:{len(long_url)},weak_key:{len(long_url) + 1}:{len(long_url) + 25}"
+    assert got[4] == f"weak_id:0:12,weak_key:20:{20 + len(key)}"
+
+
 def test_link_distance_matches_brute_force(spark):
     key = "Ab1cD2eF3gH4iJ5kL6mN7oP8"
     texts = [f"login: bob77 {'z' * n} {key} " for n in (150, 198, 199, 200, 201, 380, 420)]

@@ -3,9 +3,12 @@
 Strong patterns report at once (assignments, access identifiers, long hex
 runs). Weak candidates - short access identifiers, bare key material,
 endpoints - mean nothing alone: they are reported only when a complementary
-part lies within the same scope. Scopes are windows of ``SCOPE`` characters
+part lies within the same scope, before or behind them: a part never
+complements what it overlaps. Scopes are windows of ``SCOPE`` characters
 around a part; parts meet by an interval join on (document, scope cell),
-where each part looks at its own and the neighbouring cells.
+where each part looks at its own and the neighbouring cell on either side.
+Candidates run to their natural end, whatever their length. A run inside an
+address or a path is no key.
 """
 
 from __future__ import annotations
@@ -13,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vigilo.llm.common import table
+from vigilo.llm.common import let, table
 from vigilo.llm import spans as S
 
 BASE = ["assign", "access", "hex"]
@@ -27,15 +30,17 @@ HEX = r"[0-9a-f]{24,}"            # the same matches as maximal runs of 24 or mo
 SCOPE = 200
 WEAK_PATTERNS = {
     # an identifier-like token: capital prefix of a vendor key or a labelled client / account / user id
-    "weak_id": r"(?<![A-Za-z0-9])(?:(?:AKIA|ASIA|AIza|SK|AC)[A-Za-z0-9_-]{8,15}|(?i:client_?id|account_?id|user(?:name)?|login)"
-               r"\x20{0,3}[:=]\x20{0,3}[\"']?[A-Za-z0-9_.@-]{3,64})(?![A-Za-z0-9])",
-    # bare key material: 20 to 128 characters of base64 alphabet with digits and both cases, not part of a longer run
-    "weak_key": r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_-]{0,127}[0-9])(?=[a-z0-9+/_-]{0,127}[A-Z])(?=[A-Z0-9+/_-]{0,127}[a-z])"
-                r"[A-Za-z0-9+/_-]{20,128}={0,2}(?![A-Za-z0-9+/_=-])",
+    "weak_id": r"(?<![A-Za-z0-9])(?:(?:AKIA|ASIA|AIza|SK|AC)[A-Za-z0-9_-]{8,}+|(?i:client_?id|account_?id|user(?:name)?|login)"
+               r"\x20*+[:=]\x20*+[\"']?[A-Za-z0-9_.@-]{3,}+)(?![A-Za-z0-9])",
+    # bare key material: 20 characters or more of base64 alphabet, not part of a longer run
+    "weak_key": r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}+={0,2}+(?![A-Za-z0-9+/_=-])",
     # a service address
-    "weak_endpoint": r"(?<![A-Za-z0-9])(?:(?:https?|ftp|jdbc|mongodb|postgres(?:ql)?|mysql|redis|amqp)://[^\x20\x09-\x0D\"'<>]{4,200}"
-                     r"|(?i:endpoint|host)\x20{0,3}[:=]\x20{0,3}[\"']?[A-Za-z0-9.-]{3,120})",
+    "weak_endpoint": r"(?<![A-Za-z0-9])(?:(?:https?|ftp|jdbc|mongodb|postgres(?:ql)?|mysql|redis|amqp)://[^\x20\x09-\x0D\"'<>]{4,}+"
+                     r"|(?i:endpoint|host)\x20*+[:=]\x20*+[\"']?[A-Za-z0-9.-]{3,}+)",
 }
+#: A key has digits and both cases, and is no path: parted by slashes, with one number at most in every segment.
+KEY_HAS = ("[0-9]", "[A-Z]", "[a-z]")
+SEGMENT = r"^[A-Za-z_+-]*+[0-9]*+[A-Za-z_+=-]*+$"
 #: Which parts make a weak candidate credible. A strong span counts as its class.
 PART = {"assign": "key", "hex": "key", "weak_key": "key", "access": "id", "weak_id": "id", "weak_endpoint": "place"}
 COMPLEMENT = {"weak_id": ["key"], "weak_key": ["id", "place"], "weak_endpoint": ["key"]}
@@ -61,7 +66,12 @@ def weak_spans(text: Column) -> Column:
     gate = {"weak_id": _has_any(text, "AKIA", "ASIA", "AIza", "SK", "AC") | _has_any(lower, "client", "account", "user", "login"),
             "weak_key": text.rlike("[A-Za-z0-9+/_-]{20}"),
             "weak_endpoint": _has_any(text, "://") | _has_any(lower, "endpoint", "host")}
-    return F.concat(*[S.found(text, p, k, gate[k]) for k, p in WEAK_PATTERNS.items()])
+    ids, keys, places = (S.found(text, p, k, gate[k]) for k, p in WEAK_PATTERNS.items())
+    path = lambda v: F.contains(v, F.lit("/")) & F.forall(F.split(v, "/", -1), lambda x: x.rlike(SEGMENT))
+    mixed = lambda v: v.rlike(KEY_HAS[0]) & v.rlike(KEY_HAS[1]) & v.rlike(KEY_HAS[2])
+    keys = F.filter(keys, lambda x: mixed(x["v"]) & ~path(x["v"]))
+    free = let(places, lambda at: F.filter(keys, lambda x: ~F.exists(at, lambda p: (p["s"] < x["e"]) & (x["s"] < p["e"]))))
+    return F.concat(ids, F.when(F.size(keys) > 0, free).otherwise(S.none()), places)
 
 
 def scan(docs: DataFrame) -> DataFrame:
@@ -90,16 +100,23 @@ def _linked(rows: DataFrame) -> DataFrame:
              .withColumn("part", F.element_at(F.create_map(*[F.lit(v) for kv in PART.items() for v in kv]), F.col("kind"))))
     cell = lambda p: F.floor(p / F.lit(SCOPE)).cast("int")
     needs = F.create_map(*[v for k, c in COMPLEMENT.items() for v in (F.lit(k), F.array(*[F.lit(x) for x in c]))])
+    look = lambda side, first: F.struct(F.lit(side).alias("side"), first.alias("cell"))
     asking = (parts.where(F.col("kind").isin(*WEAK))
-              .select("h", "len", "kind", "s", "e", F.explode(F.element_at(needs, F.col("kind"))).alias("part"),
-                      F.sequence(cell(F.col("s")) - 1, cell(F.col("e")) + 1).alias("cells"))
-              .withColumn("cell", F.explode("cells")).drop("cells"))
-    # Cells are as wide as the scope, so of a class's parts in a cell only the outermost matter: no pairs pile up.
-    offered = (parts.select("h", "len", "part", "s", "e", F.explode(F.sequence(cell(F.col("s")), cell(F.col("e")))).alias("cell"))
-               .groupBy("h", "len", "part", "cell")
-               .agg(F.min("s").alias("first_s"), F.max("e").alias("last_e")))
-    near = ((F.col("first_s") - F.col("e") <= SCOPE) & (F.col("s") - F.col("last_e") <= SCOPE))
-    return (asking.join(offered, ["h", "len", "part", "cell"]).where(near)
+              .select("h", "len", "kind", "s", "e", F.explode(F.element_at(needs, F.col("kind"))).alias("part"))
+              .withColumn("look", F.explode(F.array(
+                  look("behind", cell(F.col("e"))), look("behind", cell(F.col("e")) + 1),
+                  look("before", cell(F.col("s")) - 1), look("before", cell(F.col("s"))))))
+              .select("*", "look.*").drop("look"))
+    # Cells are as wide as the scope, so of a class's parts in a cell only the outermost edges matter: no pairs pile up.
+    # A part behind starts in the cell of the asking end (its last start decides) or the next one (its first start does).
+    edge = F.explode(F.array(F.struct(F.lit("behind").alias("side"), F.col("s").alias("p")),
+                             F.struct(F.lit("before").alias("side"), F.col("e").alias("p"))))
+    offered = (parts.select("h", "len", "part", edge.alias("edge")).select("h", "len", "part", "edge.*")
+               .groupBy("h", "len", "part", "side", cell(F.col("p")).alias("cell"))
+               .agg(F.min("p").alias("low"), F.max("p").alias("high")))
+    near = (((F.col("side") == "behind") & (F.col("high") >= F.col("e")) & (F.col("low") <= F.col("e") + SCOPE)) |
+            ((F.col("side") == "before") & (F.col("low") <= F.col("s")) & (F.col("high") >= F.col("s") - SCOPE)))
+    return (asking.join(offered, ["h", "len", "part", "side", "cell"]).where(near)
             .select("h", "len", "kind", "s", "e").distinct()
             .groupBy("h", "len").agg(F.collect_list(F.struct("kind", "s", "e", F.lit("").alias("v"))).alias("linked")))
 
