@@ -51,8 +51,24 @@ def test_boilerplate_lines_and_depleted_documents(spark):
     assert len(out[5].boilerplate) == 1 and out[5].kept and out[5].left_chars < out[5].word_chars
     assert not out[300].kept and not out[300].base_failed
     assert out[301].kept and out[302].kept and all(out[400 + i].kept for i in range(40))
-    clean = {r.doc_id: r.text for r in Q.cleaned(df).collect()}
-    assert clean[5] == body(5) and clean[300] == "short tail here" and clean[301] == mark
+    assert out[0].kept and out[0].left_chars == out[0].word_chars              # the first holder keeps the line
+    clean = {r.doc_id: r.text for r in Q.cleaned(df, Q.quality_rules(df)).collect()}
+    assert clean[0] == body(0) + "\n" + mark and clean[5] == body(5) and clean[300] == "short tail here" and clean[301] == mark
+
+
+def test_depleted_documents_in_a_large_host(spark):
+    """Planted in a host of 3,000 documents: a notice of 11 documents goes, one of 10 stays, near copies leave one."""
+    body = lambda i, n=6: "\n".join(" ".join(f"d{i}w{j}k{k}" for k in range(12)) for j in range(n))
+    notice = lambda name: " ".join(f"{name}{k}" for k in range(60))
+    rows = [(i, body(i), "big") for i in range(3000)]
+    rows += [(5000 + i, notice("gone") + f"\ntail{i}", "big") for i in range(11)]
+    rows += [(6000 + i, notice("stay") + f"\ntail{i}", "big") for i in range(10)]
+    rows += [(7000 + i, body("copy") + f"\nversion {i}", "big") for i in range(40)]
+    rows += [(8000 + i, notice("gone") + f"\nelse{i}", f"other{i}") for i in range(20)]      # hosts count for themselves
+    rows += [(None, notice("gone") + "\ntail3", "big")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    gone = {r.doc_id for r in Q.quality_rules(df).where("not kept").collect()}
+    assert gone == {None} | {5000 + i for i in range(1, 11)} | {7000 + i for i in range(1, 40)}
 
 
 def test_classifier_on_held_out_rows(spark):

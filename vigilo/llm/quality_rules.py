@@ -2,8 +2,9 @@
 
 Per document: counts of words, symbols, repeated lines and repeated 3-word
 windows. Across documents: normalised lines are hashed, distinct documents
-are counted per host and line, lines above the limit are boilerplate, and a
-document that keeps too little of its words without them is depleted.
+are counted per host and line, lines above the limit are boilerplate in all
+documents but the first that holds them (so that of many near copies one
+stays whole), and a document that keeps too little of its words is depleted.
 """
 
 from __future__ import annotations
@@ -17,10 +18,8 @@ SPACES = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-#: A line is boilerplate of a host when it stands in more than this share of the host's distinct documents ...
-LINE_SHARE_PERCENT = 10
-#: ... and in more than this many of them.
-LINE_MIN_DOCS = 10
+#: A line is boilerplate of a host when it stands in more than this many of the host's distinct documents, however large the host.
+LINE_MAX_DOCS = 10
 #: A document is depleted when less than this share of its word characters is left.
 MIN_LEFT_PERCENT = 30
 
@@ -70,25 +69,22 @@ def base_counts(facts: DataFrame) -> DataFrame:
 
 
 def frequent_lines(hashed: DataFrame) -> DataFrame:
-    """``hashed(host, text_hash, hashes)`` -> ``(host, line)``: hashes of the lines above the limit.
+    """``hashed(doc_id, host, text_hash, hashes)`` -> ``(host, line, first)``: hashes of the lines above the limit.
 
-    Counts distinct texts, so exact copies of a document count once. One
-    aggregation counts lines and, as the null line, the documents of the host.
+    Counts distinct texts, so exact copies of a document count once. ``first``
+    is the smallest doc_id that holds the line (null: no row with an id does).
     """
-    own = F.array_distinct("hashes")
-    seen = hashed.select("host", "text_hash", F.explode(F.concat(own, F.array(F.lit(None).cast("long")))).alias("line"))
-    counts = seen.groupBy("host", "line").agg(F.count_distinct("text_hash").alias("n"))
-    totals = counts.where("line is null").select("host", F.col("n").alias("docs"))
-    heavy = counts.where(F.col("line").isNotNull() & (F.col("n") > LINE_MIN_DOCS)).join(totals, "host")
-    return heavy.where(100 * F.col("n") > LINE_SHARE_PERCENT * F.col("docs")).select("host", "line")
+    seen = hashed.select("doc_id", "host", "text_hash", F.explode(F.array_distinct("hashes")).alias("line"))
+    return (seen.groupBy("host", "line").agg(F.count_distinct("text_hash").alias("n"), F.min("doc_id").alias("first"))
+            .where(F.col("n") > LINE_MAX_DOCS).select("host", "line", "first"))
 
 
 def quality_rules(docs: DataFrame) -> DataFrame:
     """``docs(doc_id, text, source, ...)`` -> one row per input row.
 
-    Columns: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-    base_failed, left_chars (word characters outside boilerplate lines),
-    boilerplate (hashes of the removed lines), kept.
+    Columns: doc_id, text_hash, n_words, word_chars, n_symbols, n_dup_lines,
+    n_repeat_words, base_failed, left_chars (word characters outside boilerplate
+    lines), boilerplate (hashes of the removed lines), kept.
 
     Null text counts as empty (base_failed). Null source is the host "". A null
     doc_id is carried through. Repeated rows get the same answer and count once
@@ -99,37 +95,42 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     rows = staged(base_counts(_facts(docs)).select(
         "doc_id", "host", "text_hash", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         sized.alias("sized")), "quality")
-    hashed = rows.select("host", "text_hash", F.col("sized.h").alias("hashes"))
+    hashed = rows.select("doc_id", "host", "text_hash", F.col("sized.h").alias("hashes"))
     heavy = frequent_lines(hashed)
     per_doc = (hashed.select("host", "text_hash", F.explode(F.array_distinct("hashes")).alias("line")).join(heavy, ["host", "line"])
-               .groupBy("host", "text_hash").agg(F.collect_set("line").alias("boilerplate")))
+               .groupBy("host", "text_hash").agg(F.collect_set(F.struct("line", "first")).alias("found")))
     failed = ((F.col("n_words") < MIN_WORDS) |
               (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
     none = F.array().cast("array<bigint>")
-    joined = rows.join(per_doc, ["host", "text_hash"], "left").withColumn("boilerplate", F.coalesce("boilerplate", none))
+    others = F.filter("found", lambda x: ~x["first"].eqNullSafe(F.col("doc_id")) | F.col("doc_id").isNull())
+    joined = (rows.join(per_doc, ["host", "text_hash"], "left")
+              .withColumn("boilerplate", F.coalesce(F.transform(others, lambda x: x["line"]), none)))
     gone = F.aggregate(F.filter("sized", lambda x: F.array_contains("boilerplate", x["h"])), F.lit(0).cast("long"),
                        lambda a, x: a + x["c"])
     left = F.when(F.size("boilerplate") == 0, F.col("word_chars")).otherwise(F.col("word_chars") - gone)
     return joined.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"),
+        "doc_id", "text_hash", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"),
         left.alias("left_chars"), "boilerplate",
         (~failed & (100 * left >= MIN_LEFT_PERCENT * F.col("word_chars"))).alias("kept"))
 
 
-def cleaned(docs: DataFrame) -> DataFrame:
-    """``docs`` with the boilerplate lines of their host taken out of ``text`` (other columns as they are)."""
-    hashed = _facts(docs).select("host", "text_hash", F.transform("lines", _line_hash).alias("hashes"))
-    heavy = (frequent_lines(hashed).groupBy("host").agg(F.collect_set("line").alias("_heavy"))
-             .withColumnRenamed("host", "_host"))
-    kept = F.filter(F.split("text", "\n", -1),
-                    lambda x: ~F.array_contains(F.col("_heavy"), _line_hash(x)) | (_unspaced(x) == ""))
-    text = F.when(F.col("_heavy").isNull() | F.col("text").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    return (docs.join(heavy, F.coalesce(F.col("source").cast("string"), F.lit("")) == F.col("_host"), "left")
+def cleaned(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
+    """``docs`` without the boilerplate lines that ``verdicts`` (rows of ``quality_rules``) name; other columns as they are.
+
+    Rows meet by doc_id and text, null ids among themselves; rows without boilerplate keep their text.
+    """
+    named = (verdicts.where(F.size("boilerplate") > 0)
+             .select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("boilerplate").alias("_gone"))
+             .dropDuplicates(["_id", "_hash"]))
+    own = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    kept = F.filter(F.split("text", "\n", -1), lambda x: (_unspaced(x) == "") | ~F.array_contains(F.col("_gone"), _line_hash(x)))
+    text = F.when(F.col("_gone").isNull() | F.col("text").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
+    return (docs.join(named, F.col("doc_id").eqNullSafe(F.col("_id")) & (own == F.col("_hash")), "left")
             .withColumn("text", text).select(*docs.columns))
 
 
 def op4_quality_rules(spark, sf_dir):
-    return quality_rules(table(spark, sf_dir, "documents")).drop("boilerplate")
+    return quality_rules(table(spark, sf_dir, "documents")).drop("boilerplate", "text_hash")
 
 
 ORACLE = r"""
@@ -144,10 +145,8 @@ cov as (select doc_id, count(distinct q) as n from (select doc_id, unnest([p, p
 ln as (select doc_id, host, t, unnest(lines) as raw from f),
 l as (select doc_id, host, t, lower(trim(regexp_replace(raw, '[\x20\x09-\x0D]+', ' ', 'g'))) as line,
     length(regexp_replace(raw, '[\x20\x09-\x0D]+', '', 'g')) as c from ln),
-h as (select host, count(distinct t) as docs from f group by 1),
-heavy as (select host, line from l join h using (host) group by host, line, docs
-  having count(distinct t) > 10 and 100 * count(distinct t) > 10 * docs),
-gone as (select doc_id, sum(c) as c from l join heavy using (host, line) group by 1),
+heavy as (select host, line, min(doc_id) as first from l group by host, line having count(distinct t) > 10),
+gone as (select doc_id, sum(c) as c from l join heavy using (host, line) where doc_id <> first group by 1),
 r as (select f.doc_id, len(w)::bigint as n_words,
     length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g'))::bigint as word_chars,
     length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::bigint as n_symbols,
