@@ -87,3 +87,14 @@ def test_revisits_and_odd_rows(spark, tmp_path):
     empty = str(tmp_path / "e")
     M.write_archives(M.records(df.limit(0)), empty)
     assert M.read_archives(spark, empty).count() == 0
+
+
+def test_files_are_bounded_by_bytes(spark, tmp_path):
+    rows = [(i, f"u{i}", "x" * n + str(i)) for i, n in enumerate([10, 70_000, 70_000, 1_100_000, 17_000_000, 17_000_000, 0] + [500] * 2100)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    path = str(tmp_path / "w")
+    M.write_archives(M.records(df), path)
+    sizes = sorted((f.stat().st_size for f in (tmp_path / "w").glob("part-*")), reverse=True)
+    assert len(sizes) == 6 and 17e6 < sizes[1] <= sizes[0] < 17.1e6
+    assert sorted(r.payload_bytes for r in M.read_archives(spark, path).where("kind = 'record'").select("payload_bytes").collect()) == sorted(
+        len(h) for _, _, h in rows)

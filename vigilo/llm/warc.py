@@ -21,8 +21,9 @@ from vigilo.llm.common import scratch_path, staged, table
 CRLF = "\r\n"
 #: Payloads below this size are always written in full.
 REVISIT_BYTES = 1000
-#: Records per archive file: bounds what a reader task holds.
-FILE_RECORDS = 2000
+#: Records per archive file by their size class, the largest record in bytes: files stay below 128 MB, but that a record
+#: of more than 16 MB has a file of its own. So a reader task holds no more.
+FILE_RECORDS = {1 << 16: 2000, 1 << 20: 128, 1 << 24: 8, 1 << 31: 1}
 GZIP_MAGIC = b"\x1f\x8b\x08"
 _VERSION = re.compile(rb"WARC/1\.[01]\r\n")
 _NAME = re.compile(rb"[A-Za-z0-9-]+\Z")
@@ -74,10 +75,14 @@ def records(pages: DataFrame) -> DataFrame:
 
 
 def write_archives(record_rows: DataFrame, path: str) -> None:
-    """Write ``record`` (binary) rows as WARC files below ``path``."""
+    """Write ``record`` (binary) rows as WARC files below ``path``, one write for every size class that has records."""
     closed = F.concat(F.col("record"), F.encode(F.lit(CRLF), "UTF-8")).cast("string")  # bytes as they are; the line end adds CRLF
-    (record_rows.select(closed.alias("value")).write.option("lineSep", CRLF)
-     .option("maxRecordsPerFile", FILE_RECORDS).text(path))
+    size = F.octet_length("record")
+    bounds = list(zip([-1, *FILE_RECORDS], FILE_RECORDS))
+    has = record_rows.agg(*[F.max((size > low) & (size <= high)).alias(str(high)) for low, high in bounds]).first()
+    for n, (low, high) in enumerate(b for b in bounds if has[str(b[1])] or not any(has) and b[0] < 0):
+        (record_rows.where((size > low) & (size <= high)).select(closed.alias("value")).write.mode("append" if n else "errorifexists")
+         .option("lineSep", CRLF).option("maxRecordsPerFile", FILE_RECORDS[high]).text(path))
 
 
 def _header(data: bytes, at: int):
