@@ -26,3 +26,12 @@ def test_stages_take_odd_tables(spark):
             assert len(got) == len(rows) and [r.text for r in out.collect() if r.doc_id == 4] == [good + " [assign] end"]
         elif k == 4:
             assert set(got) == {"1", "2", "3", "4", "5", "None"}
+
+
+def test_verdicts_follow_id_and_text(spark):
+    good, other = (" ".join(f"{w}{i}" for i in range(200)) for w in ("word", "term"))
+    docs = spark.createDataFrame([(1, good, "en", "s", 9), (1, "bad", "en", "s", 3), (0, other, "en", "s", 9), (1, other + " end", "en", "s", 9)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    kept = lambda k: sorted((r.doc_id, r.text) for r in corpus_pipeline.STAGES[k][1](spark, docs, SF).collect())
+    assert kept(0) == sorted([(1, good), (0, other), (1, other + " end")])
+    assert kept(2) == sorted([(1, good), (1, "bad"), (0, other)])

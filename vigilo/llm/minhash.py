@@ -178,7 +178,7 @@ def _likely(x: str, y: str):
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """``docs(doc_id, text, ...)`` -> one row per input row: doc_id, n_shingles, component_id, kept.
+    """``docs(doc_id, text, ...)`` -> one row per input row: doc_id, text_hash, n_shingles, component_id, kept.
 
     Texts are compared as sets of distinct 5-word shingles (fewer words: the whole
     sequence; null or wordless: empty, linked with nothing). Equal sets form one
@@ -243,9 +243,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
              .select("doc_id", "sid", F.coalesce("root", "sid").alias("root")))
     names = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     of_sid = named.select("sid", "root").distinct().join(names, "root").select("sid", "component_id")
-    out = signed.drop("bands", "bits", "text_hash").join(of_sid, "sid", "left")
+    out = signed.drop("bands", "bits").join(of_sid, "sid", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"),
+    return out.select("doc_id", "text_hash", "n_shingles", component.alias("component_id"),
                       F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
 
 
@@ -264,11 +264,11 @@ def _checked_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids = [shingle_ids(t) for t in df["text"]]
         own = [xxhash.xxh3_64_intdigest(i.tobytes()) - (1 << 63) == s for i, s in zip(ids, df["sid"])]
         keep = [k for k, ok in enumerate(own) if ok]
-        yield pd.DataFrame({"sid": df["sid"].iloc[keep].to_numpy(), "ids": [ids[k].view("int64") for k in keep]})
+        yield pd.DataFrame({"sid": df["sid"].iloc[keep].to_numpy(), "ids": pd.Series([ids[k].view("int64") for k in keep], dtype=object)})
 
 
 def op5_minhash_near_dedup(spark, sf_dir):
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
 #: Exact twin: every pair that shares a shingle, full Jaccard, components by reachability.
