@@ -145,3 +145,60 @@ def test_status_multiclass_invariants(spark):
     imp = m.importances(spark).collect()
     assert sum(x["importance"] for x in imp) == pytest.approx(1.0, abs=1e-6)
     assert [x["rank"] for x in imp] == list(range(1, 7))
+
+
+def test_knn_by_cells_is_exact_and_its_jobs_do_not_grow(spark):
+    """Dense lines, ties and far outliers over many cells: brute force agrees, and ten times the rows take no more jobs."""
+    import random
+    rnd = random.Random(11)
+
+    def rows(n):
+        near = [(i, rnd.gauss(0, 1) * 1e4, rnd.randrange(4), 0.0) for i in range(n)]
+        line = [(n + i, float(i % 7), 0, float(i)) for i in range(n)]       # dense along both directions of largest variance
+        grid = [(2 * n + i, i % 20, i // 20 % 20, -1e6) for i in range(n)]  # many equal distances
+        return [(i, float(x), float(y), float(z)) for i, x, y, z in [*near, *line, *grid]] + [(9 * n, 1e9, 0.0, 0.0), (9 * n + 1, None, 0.0, 0.0)]
+
+    def run(pts, group):
+        sc = spark.sparkContext
+        sc.setJobGroup(group, group)
+        got = {}
+        for r in S.knn_within(spark.createDataFrame(pts, "id long, x double, y double, z double"), ["x", "y", "z"], k=3, window=4).collect():
+            got.setdefault(r["id"], []).append((r["nn"], r["nbr_id"], r["dist"]))
+        sc.setJobGroup("tests", "")
+        return got, len(sc.statusTracker().getJobIdsForGroup(group))
+
+    few, jobs_few = run(rows(60), "knn-few")
+    pts = rows(600)
+    got, jobs = run(pts, "knn-many")
+    known = [p for p in pts if p[1] is not None]
+    assert len(got) == len(known) and jobs <= jobs_few + 10
+    for i, x, y, z in rnd.sample(known, 150) + known[-1:]:
+        def far(a, b, c):
+            return math.sqrt((x - a) * (x - a) + (y - b) * (y - b) + (z - c) * (z - c))
+        want = sorted((far(a, b, c), j) for j, a, b, c in known if j != i)[:3]
+        assert [(d, j) for _, j, d in sorted(got[i])] == want
+
+
+def test_blocks_of_a_large_cell_give_the_neighbours_of_all_distances():
+    import numpy as np
+    from vigilo.operators import nearest as N
+    rng = np.random.default_rng(3)
+    p = np.vstack([rng.integers(0, 9, (900, 2)), rng.normal(size=(900, 2)) * 5, [[np.nan, 0.0], [np.inf, 1.0]]])
+    p = np.unique(p, axis=0)
+    code = rng.permutation(len(p))
+    order = np.argsort(code)
+    want = N._whole(p, code, p[order], code[order], 4)
+    got = N._k_nearest(p, code, p, code, 4, np.full(len(p), np.inf))
+    assert len(p) > N.BLOCK_ROWS and all(np.array_equal(a, b, equal_nan=True) for a, b in zip(want, got))
+
+
+def test_knn_where_only_a_few_vectors_need_others(spark):
+    """Nearly all vectors have many copies: cells without a searching row give nothing and do not fail."""
+    pts = [(i, float(i % 400), float(i % 400 * 7 % 400)) for i in range(2400)] + [(3000, 1.5, 2.5)]
+    got = {}
+    for r in S.knn_within(spark.createDataFrame(pts, "id long, x double, y double"), ["x", "y"], k=3, window=2).collect():
+        got.setdefault(r["id"], []).append((r["nn"], r["nbr_id"]))
+    assert len(got) == len(pts)
+    for i, x, y in pts[:5] + pts[-1:]:
+        want = sorted((math.dist((x, y), (a, b)), j) for j, a, b in pts if j != i)[:3]
+        assert [j for _, j in sorted(got[i])] == [j for _, j in want]

@@ -68,121 +68,6 @@ def class_weights(df: DataFrame, label_col: str = "label", mode: str = "fixed",
     return df.join(F.broadcast(weights), label_col, "left")
 
 
-def _distance(features: list[str], a: str, b: str) -> F.Column:
-    sq = None
-    for c in features:
-        d = F.col(f"{a}.{c}").cast("double") - F.col(f"{b}.{c}").cast("double")
-        sq = d * d if sq is None else sq + d * d
-    return F.sqrt(sq)
-
-
-def _principal_directions(df: DataFrame, feats: list[str], m: int) -> list[list[float]]:
-    """The ``m`` unit vectors of largest variance (one aggregation of d(d+1)/2 sums)."""
-    import numpy as np
-    aggs = [F.count(F.lit(1)).alias("n")] + [F.sum(F.col(c).cast("double")).alias(f"s{i}") for i, c in enumerate(feats)]
-    for i, a in enumerate(feats):
-        for j in range(i, len(feats)):
-            aggs.append(F.sum(F.col(a).cast("double") * F.col(feats[j]).cast("double")).alias(f"p{i}_{j}"))
-    r = df.agg(*aggs).first()
-    n, d = r["n"], len(feats)
-    mean = np.array([r[f"s{i}"] / n for i in range(d)])
-    cov = np.zeros((d, d))
-    for i in range(d):
-        for j in range(i, d):
-            cov[i, j] = cov[j, i] = r[f"p{i}_{j}"] / n - mean[i] * mean[j]
-    vals, vecs = np.linalg.eigh(cov)
-    order = np.argsort(vals)[::-1][:max(1, min(m, d))]
-    return [[float(x) for x in vecs[:, i] / np.linalg.norm(vecs[:, i])] for i in order]
-
-
-def _knn_distinct(df: DataFrame, features: list[str], k: int = 3, key_col: str = "id",
-                  window: int = 32, growth: int = 8, projections: int = 2, max_rounds: int = 64) -> DataFrame:
-    """Exact k nearest neighbours (Euclidean, ties by key) among rows with pairwise distinct vectors.
-
-    Rows are ranked along each of their ``projections`` directions of largest
-    variance u_j (unit vectors, so |u_j.a - u_j.b| <= |a - b|). In a round,
-    each open row's candidates are the ``window`` rows on either side of its
-    rank in every ranking (equi-joins on rank — never all pairs). A row
-    outside all windows is at least max_j(gap_j) away, where gap_j is the
-    projected gap to the first row outside window j, so a row whose k-th
-    candidate distance is strictly below that bound is final. Open rows retry
-    with a window ``growth`` times wider, so the answer is exact. A run of
-    rows that is dense in one direction is usually spread in another; only
-    rows dense in every ranked direction (near-duplicates) need wide windows;
-    exact copies are removed beforehand by :func:`knn_within`.
-    Returns (id, nbr_id, nn, dist), nn = 1..min(k, n-1).
-    """
-    feats = list(features)
-    spark = df.sparkSession
-    df = df.select(key_col, *feats).persist()  # read by the statistics, the ranking samples and the ranking
-    dirs = _principal_directions(df, feats, projections)
-    m = len(dirs)
-    pts = df.select(F.col(key_col).alias("id"), *feats,
-                    *[sum((F.lit(w) * F.col(c).cast("double") for w, c in zip(u, feats)), F.lit(0.0)).alias(f"_u{j}")
-                      for j, u in enumerate(dirs)])
-    for j in range(m):
-        pts = dense_positions(pts, [f"_u{j}", "id"], out_col=f"pos{j}")
-    from vigilo.session import pin
-    # reliable checkpoint (shared folder): short lineage for the rounds, survives executor loss
-    pts = pin(pts.select("id", *[f"pos{j}" for j in range(m)],
-                         F.struct(*[F.col(c) for c in feats], *[F.col(f"_u{j}") for j in range(m)]).alias("v")))
-    df.unpersist()
-    n = pts.count()
-    k_eff = min(k, n - 1)
-    if k_eff < 1:
-        return spark.createDataFrame([], "id long, nbr_id long, nn int, dist double")
-    vec = pts.select("id", "v")
-    open_rows = pts.select("id", *[f"pos{j}" for j in range(m)])
-    done, cached = [], []
-    w = window
-    for _ in range(max_rounds):
-        cands = []
-        for j in range(m):
-            reach = F.sequence(F.col(f"pos{j}") - F.lit(w + 1), F.col(f"pos{j}") + F.lit(w + 1))
-            near = (open_rows.select("id", F.col(f"pos{j}").alias("_p"), F.explode(reach).alias("_np"))
-                    .filter((F.col("_np") != F.col("_p")) & (F.col("_np") >= 0) & (F.col("_np") < n)))
-            at = pts.select(F.col(f"pos{j}").alias("_np"), F.col("id").alias("nbr_id"))
-            cands.append(near.join(at, "_np").select(
-                "id", "nbr_id", F.lit(j).alias("_j"), (F.abs(F.col("_np") - F.col("_p")) > w).alias("edge")))
-        cand = cands[0]
-        for c in cands[1:]:
-            cand = cand.unionByName(c)
-        me = vec.select("id", F.col("v").alias("a"))
-        other = vec.select(F.col("id").alias("nbr_id"), F.col("v").alias("b"))
-        inner = (cand.filter(~F.col("edge")).select("id", "nbr_id").distinct()
-                 .join(me, "id").join(other, "nbr_id")
-                 .select("id", "nbr_id", _distance(feats, "a", "b").alias("dist")))
-        ranked = (inner.withColumn("nn", F.row_number().over(Window.partitionBy("id").orderBy("dist", "nbr_id")))
-                  .filter(F.col("nn") <= k_eff))
-        # projected gap to the edge row of each ranking (edge rows are outside the window)
-        gap_cols = [F.when(F.col("_j") == j, F.abs(F.col(f"a._u{j}") - F.col(f"b._u{j}"))) for j in range(m)]
-        gaps = (cand.filter(F.col("edge")).join(me, "id").join(other, "nbr_id")
-                .select("id", "_j", F.coalesce(*gap_cols).alias("_g")))
-        per_dir = gaps.groupBy("id", "_j").agg(F.min("_g").alias("_g"))
-        bound = per_dir.groupBy("id").agg(F.max("_g").alias("bound"), F.count(F.lit(1)).alias("_dirs"))
-        kth = ranked.groupBy("id").agg(F.max("dist").alias("kth"), F.count(F.lit(1)).alias("got"))
-        # a ranking whose window already covers every row has no edge row: nothing lies outside it
-        covered = F.col("_dirs").isNull() | (F.col("_dirs") < m)
-        status = kth.join(bound, "id", "left").select(
-            "id", ((F.col("got") >= k_eff) & (covered | (F.col("kth") < F.col("bound")))).alias("ok"))
-        ranked = ranked.join(status, "id").persist()
-        cached.append(ranked)
-        done.append(ranked.filter("ok").select("id", "nbr_id", "nn", "dist"))
-        open_ids = ranked.filter(~F.col("ok")).select("id").distinct()
-        # the (small) open set is pinned: every round starts from a short lineage
-        open_rows = pin(pts.join(open_ids, "id", "left_semi").select("id", *[f"pos{j}" for j in range(m)]))
-        if open_rows.count() == 0 or w >= n:
-            break
-        w *= growth
-    out = done[0]
-    for d in done[1:]:
-        out = out.unionByName(d)
-    out = pin(out)  # <= k rows per row, read from the rounds' caches, which are then released
-    for c in cached:
-        c.unpersist()
-    return out
-
-
 def knn_within(df: DataFrame, features: list[str], k: int = 3, key_col: str = "id", **kw) -> DataFrame:
     """Exact k nearest neighbours (Euclidean, ties by key) of every row among the others.
 
@@ -191,30 +76,32 @@ def knn_within(df: DataFrame, features: list[str], k: int = 3, key_col: str = "i
     * a row's nearest copies are the smallest other ids of its group, taken
       from the group's first k+1 ids (a group-limited top-k, partial before
       the exchange);
-    * only vectors with at most k copies need other vectors: the window
-      search runs over distinct vectors (represented by their smallest id),
-      and each neighbour vector expands to its first k ids. Ordering vectors
-      by (distance, smallest id) contains the best members by (distance, id).
+    * only vectors with at most k copies need other vectors: the search by
+      cells (:func:`nearest_vectors`) runs over distinct vectors (represented
+      by their smallest id), and each neighbour vector expands to its first k
+      ids. Ordering vectors by (distance, smallest id) contains the best
+      members by (distance, id).
     Returns (id, nbr_id, nn, dist), nn = 1..min(k, n-1).
     """
+    from vigilo.operators.nearest import nearest_vectors
     from vigilo.operators.topk import top_k_per_group
     from vigilo.session import pin
     feats = list(features)
     # read by the copy grouping, the counts, the distinct search and the final joins: pin it once
     base = pin(df.select(F.col(key_col).alias("id"), *feats))
     firsts = top_k_per_group(base, feats, [F.asc("id")], k + 1, rank_col="_r").select(*feats, "id")
-    groups = base.groupBy(*feats).agg(F.count(F.lit(1)).alias("_s"), F.min("id").alias("_rep"))
+    groups = pin(base.groupBy(*feats).agg(F.count(F.lit(1)).alias("_s"), F.min("id").alias("_rep")))
     # distance-0 neighbours: the smallest other ids of the row's own copy group
     copies = (base.join(firsts.withColumnRenamed("id", "nbr_id"), feats)
               .filter(F.col("nbr_id") != F.col("id"))
               .select("id", "nbr_id", F.lit(0.0).alias("dist")))
-    reps = groups.select(F.col("_rep").alias("id"), *feats)
-    n_vec = reps.count()
+    reps = groups.select(F.col("_rep").alias("id"), (F.col("_s") <= k).alias("ask"), *feats)
+    n_vec = groups.count()
     cands = copies
     if n_vec >= 2:
-        vec_nn = _knn_distinct(reps, feats, k, "id", **kw)  # (rep, neighbour rep, dist)
-        small = groups.filter(F.col("_s") <= k).select(F.col("_rep").alias("id"))
-        vec_nn = vec_nn.join(small, "id", "left_semi")
+        near = nearest_vectors(reps, feats, k, **kw)
+        vec_nn = (near.withColumn("nn", F.row_number().over(Window.partitionBy("id").orderBy("dist", "nbr_id")))
+                  .filter(F.col("nn") <= k))  # (rep, neighbour rep, dist)
         members = firsts.join(groups.select(*feats, "_rep"), feats).select(F.col("_rep").alias("nbr_rep"),
                                                                            F.col("id").alias("nbr_id"))
         other = (vec_nn.select(F.col("id").alias("_rep"), F.col("nbr_id").alias("nbr_rep"), "dist")
