@@ -1,4 +1,6 @@
 """Multinomial boosting against a plain NumPy version that searches raw values row by row."""
+import pickle
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -139,3 +141,18 @@ def test_odd_training_tables(spark):
     flat = SB.fit_softmax_boosting(df.withColumns({c: F.lit(1.0) for c in FEATURES}), FEATURES, classes=(0, 1, 2, 7), rounds=2, depth=2)
     share = np.bincount(y, minlength=4) / len(y)
     assert probabilities(flat, df)[0] == pytest.approx(share, abs=0.05) and (flat.feature < 0).all()
+
+
+def test_the_driver_gets_splits_and_no_histograms(spark):
+    """What a level sends to the driver does not depend on the bins or the partitions."""
+    rng = np.random.default_rng(4)
+    bins, feature, cut = 256, np.full((3, 7), -1), np.zeros((3, 7), np.int64)
+    x, y = rng.integers(0, bins, (4000, 2)).astype(np.uint8), rng.integers(0, 3, 4000).astype(np.uint8)
+    block = lambda rows: (x[rows], y[rows], np.ones(len(rows)), np.zeros((len(rows), 3)))
+    loss, want = SB._block_splits(block(np.arange(4000)), 0, bins, feature, cut, 1)
+    state = spark.sparkContext.parallelize([block(rows) for rows in np.array_split(np.arange(4000), 8)], 8)
+    whole_loss, got = SB._merged_splits(state, 0, bins, feature, cut, 1)
+    assert whole_loss == pytest.approx(loss) and got.keys() == want.keys() == {(0, 0), (1, 0), (2, 0)}
+    for at in want:
+        assert np.allclose(got[at][0], want[at][0]) and got[at][1][1:3] == want[at][1][1:3]
+    assert len(pickle.dumps(got)) < 4000

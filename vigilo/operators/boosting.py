@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from vigilo.functions import fee_tier, rint_round
 from vigilo.operators.periods import BINARY_FEATURES, STATUS_FEATURES, model_inputs
-from vigilo.operators.softmax_boosting import SoftmaxBoosting, fit_softmax_boosting
+from vigilo.operators.softmax_boosting import SoftmaxBoosting, fit_softmax_boosting, partitions_for
 
 # Fixed hyper-parameters of the reference (binary script / serving retrain).
 BINARY_PARAMS = dict(maxIter=500, stepSize=0.03, maxDepth=3, subsamplingRate=0.7, minInstancesPerNode=2,
@@ -75,13 +75,10 @@ def _load_params(spark: SparkSession, path: str):
     return spark.read.parquet(f"{path}/params").first()
 
 
-#: Training rows a partition holds at least: every iteration is a few jobs over all partitions, so empty ones only cost.
-PARTITION_ROWS = 20_000
-
-
 def _sized(data: DataFrame) -> DataFrame:
-    """Materialise the cached training rows and join partitions that are too small to be worth a task."""
-    return data.coalesce(max(1, -(-data.count() // PARTITION_ROWS)))
+    """Materialise the cached training rows and join partitions too small to be worth a task: every iteration is a few
+    jobs over all of them, and the driver keeps a record of every task."""
+    return data.coalesce(partitions_for(data.sparkSession, data.count()))
 
 
 def fit_default_binary(train: DataFrame, features: list[str] = BINARY_FEATURES, label: str = "fee_default",

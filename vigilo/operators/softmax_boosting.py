@@ -5,8 +5,10 @@ p = softmax(F) once per row, fits one tree per class to the residuals
 [y = k] - p_k, and adds its leaf values times the learning rate. All trees of a
 round grow together, level by level: a level is one job over the rows for all
 classes and open nodes, whose tasks hand on histograms (class, node, feature,
-bin) -> (rows, weight, weighted residual, curvature), merged in a tree of partial
-sums. The driver sees those bounded sums only. Splits maximise the weighted
+bin) -> (rows, weight, weighted residual, curvature), one per task, class and
+node. They are summed by class and node in a shuffle, and each sum's best split is
+found where it was summed: the driver gets a few numbers per node, whatever the
+rows and bins. Splits maximise the weighted
 variance reduction; leaves take the second-order (Newton) step
 (K - 1) / K * sum(w r) / sum(w |r| (1 - |r|)).
 
@@ -31,6 +33,8 @@ MAX_BINS = 256
 #: Rows of a block, and rows a partition holds at least (every level is a job over all partitions).
 BLOCK_ROWS = 50_000
 PARTITION_ROWS = 20_000
+#: Rows beyond which a partition is split even if every core has one already.
+FULL_ROWS = 1_000_000
 CHECKPOINT_EVERY = 20
 _COUNT, _WEIGHT, _RESIDUAL, _CURVE = range(4)
 _TIE = 1e-10  # gains this close are equal: the lowest feature and cut win, whatever order sums were merged in
@@ -137,6 +141,44 @@ def _histograms(level: int, bins: int, feature, cut):
     return run
 
 
+def _splits(sums, min_rows: int):
+    """Sums and best split of one node from its histogram."""
+    return sums[0].sum(0), _best(sums, min_rows)
+
+
+def _block_splits(block, level: int, bins: int, feature, cut, min_rows: int):
+    """Of a single block: (loss, {(class, node of the level): sums and best split} of the nodes with rows)."""
+    loss, hist = _histograms(level, bins, feature, cut)(block)
+    return loss, {(k, i): _splits(hist[k, i], min_rows) for k in range(hist.shape[0]) for i in range(hist.shape[1])
+                  if hist[k, i, 0, :, _COUNT].any()}
+
+
+def _merged_splits(state, level: int, bins: int, feature, cut, min_rows: int):
+    """The same over all blocks, one job: histograms are summed by (class, node), splits found where the sums are."""
+    def sums(blocks):
+        own, loss, hist = _histograms(level, bins, feature, cut), 0.0, None
+        for block in blocks:
+            a, h = own(block)
+            loss, hist = loss + a, h if hist is None else hist + h
+        if hist is not None:
+            yield (-1, 0), loss
+            yield from (((k, i), hist[k, i]) for k in range(hist.shape[0]) for i in range(hist.shape[1]) if hist[k, i, 0, :, _COUNT].any())
+
+    def best(pair):
+        at, own = pair
+        return at, own if at[0] < 0 else _splits(own, min_rows)
+
+    nodes = len(feature) << level
+    summed = state.mapPartitions(sums).reduceByKey(lambda a, b: a + b, min(state.getNumPartitions(), -(-nodes // 8)))
+    found = dict(summed.map(best).collect())  # at most one row per class and node
+    return found.pop((-1, 0)), found
+
+
+def partitions_for(spark: SparkSession, rows: int) -> int:
+    """Partitions of training rows that are read again and again: one per core at most, more only for full ones."""
+    return max(1, min(-(-rows // PARTITION_ROWS), max(spark.sparkContext.defaultParallelism, -(-rows // FULL_ROWS))))
+
+
 def _moved(feature, cut, value, depth: int, rate: float):
     def run(block):
         x, y, w, scores = block
@@ -271,17 +313,17 @@ def _empty(rounds: int, k_classes: int, depth: int):
     return np.full(shape, -1, np.int64), np.zeros(shape), np.zeros(shape), np.zeros(shape)
 
 
-def _round(histograms, feature, cut, gain, value, min_rows: int):
-    """Grow the trees of one round in place, level by level; ``histograms(level, feature, cut)`` sums over all rows. Gives the loss."""
+def _round(splits, feature, cut, gain, value):
+    """Grow the trees of one round in place, level by level; ``splits(level, feature, cut)`` looks at all rows. Gives the loss."""
     k_classes, depth = len(feature), len(feature[0]).bit_length() - 1
     loss, sums = 0.0, {}
     for level in range(depth):
-        at_level, hist = histograms(level, feature, cut)
+        at_level, best = splits(level, feature, cut)
         if level == 0:
-            loss, sums = at_level, {(k, 0): hist[k, 0, 0].sum(0) for k in range(k_classes)}
+            loss, sums = at_level, {at: own for at, (own, _) in best.items()}
         first = (1 << level) - 1
         for k, node in [at for at in sums if at[1] >= first]:
-            found = _best(hist[k, node - first], min_rows)
+            found = best[k, node - first][1]
             if found:
                 gain[k, node], feature[k, node], cut[k, node], sums[k, 2 * node + 1], sums[k, 2 * node + 2] = found
                 del sums[k, node]
@@ -300,7 +342,7 @@ def _fitted_in_a_task(block, rounds: int, depth: int, rate: float, bins: int, mi
     feature, _, value, gain = _empty(rounds, k_classes, depth)
     cut, losses = np.zeros(feature.shape, np.int64), []
     for r in range(rounds):
-        losses.append(_round(lambda level, f, c: _histograms(level, bins, f, c)(block), feature[r], cut[r], gain[r], value[r], min_rows))
+        losses.append(_round(lambda level, f, c: _block_splits(block, level, bins, f, c, min_rows), feature[r], cut[r], gain[r], value[r]))
         block = _moved(feature[r], cut[r], value[r], depth, rate)(block)
     return feature, cut, value, gain, [*losses, _loss(block)]
 
@@ -326,8 +368,7 @@ def fit_softmax_boosting(train: DataFrame, features: list[str], label: str = "la
         if not n:
             raise ValueError("no training rows")
         cuts = _cuts(data, features)
-        partitions = -(-n // PARTITION_ROWS)
-        stored = pin(data.coalesce(partitions).mapInPandas(_blocks(cuts, classes), "n int, x binary, y binary, w binary"))
+        stored = pin(data.coalesce(partitions_for(train.sparkSession, n)).mapInPandas(_blocks(cuts, classes), "n int, x binary, y binary, w binary"))
     finally:
         data.unpersist()
     bins, k_classes, width = max(len(c) for c in cuts) + 1, len(classes), len(features)
@@ -346,11 +387,10 @@ def fit_softmax_boosting(train: DataFrame, features: list[str], label: str = "la
     else:
         feature, _, value, gain = _empty(rounds, k_classes, depth)
         cut, losses, old = np.zeros(feature.shape, np.int64), [], None
-        add = lambda a, b: (a[0] + b[0], a[1] + b[1])
         state = state.persist(StorageLevel.MEMORY_AND_DISK)
         for r in range(rounds):
-            merged = lambda level, f, c: state.map(_histograms(level, bins, f.copy(), c.copy())).treeReduce(add)  # noqa: E731,B023
-            losses.append(_round(merged, feature[r], cut[r], gain[r], value[r], min_rows))
+            merged = lambda level, f, c: _merged_splits(state, level, bins, f.copy(), c.copy(), min_rows)  # noqa: E731,B023
+            losses.append(_round(merged, feature[r], cut[r], gain[r], value[r]))
             if old is not None:
                 old.unpersist()
             old, state = state, state.map(_moved(feature[r], cut[r], value[r], depth, rate)).persist(StorageLevel.MEMORY_AND_DISK)
