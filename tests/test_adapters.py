@@ -70,3 +70,18 @@ def test_presence_of_no_events(spark):
     some = spark.createDataFrame([(1, dt.datetime(2024, 1, 1, 5)), (2, dt.datetime(2024, 1, 3)), (3, None)], "user_id long, ts timestamp")
     got = sorted((r["id"], r["date"].day, r["is_present"]) for r in AD.presence_from_events(some).collect())
     assert got == [(1, 1, 1), (1, 3, 0), (2, 1, 0), (2, 3, 1), (3, 1, 0), (3, 3, 0)]
+
+
+def test_customers_are_not_broadcast_to_meet_their_orders(spark, tmp_path):
+    """Files of repeated values are small, their rows are not: the driver must not hold a table that grows with the input."""
+    orders = spark.createDataFrame([(1, 1, "F", 10.0, "1998-02-06"), (2, 1, "O", 20.0, "1998-03-06"), (3, 9, "O", 5.0, "1998-03-06")],
+                                   "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate string")
+    customer = spark.createDataFrame([(1, 100.0, 5), (2, 9000.0, 6)], "c_custkey long, c_acctbal double, c_nationkey int")
+    for name, rows in (("orders", orders), ("customer", customer)):  # the planner knows the size of files
+        rows.write.parquet(str(tmp_path / f"{name}.parquet"))
+    orders, customer = (AD.load(spark, str(tmp_path), name) for name in ("orders", "customer"))
+    periods = AD.periods_from_orders(orders, customer)
+    got = periods.orderBy("term").select("id", "term", "days_since_last_payment", "family_income_bracket", "total_outstanding").collect()
+    assert [tuple(r) for r in got] == [(1, 1, 0, "Low", 0.0), (1, 2, 28, "Low", 20.0)]
+    joins = [line for line in periods._jdf.queryExecution().executedPlan().toString().splitlines() if "Join" in line and "c_custkey" in line]
+    assert joins and all("SortMergeJoin" in line for line in joins), joins
