@@ -67,3 +67,44 @@ def test_one_distinct_vector(spark):
         out = M.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()
         assert sorted((r.vec_id, r.n_links, r.component_id) for r in out) == brute(rows)
         assert all(r.kept == (r.vec_id == r.component_id) for r in out)
+
+
+def test_halving_finds_the_leaves_in_reach():
+    """Level by level with unequal depths, against all pairs of leaves; one step a level, however many pairs."""
+    rnd, reach = np.random.default_rng(3), (2 - 2 * M.MIN_COSINE) ** 0.5
+    parts = lambda p: [p[s:s + M.LEAF] for s in range(0, len(p), M.LEAF)]
+    for n, m in ((1000, 70), (5, 900), (M.LEAF, M.LEAF + 1), (1, 1), (777, None)):
+        x = rnd.uniform(-1, 1, size=(n, 3))
+        x = x[np.lexsort(x.T[::-1])]
+        y = x if m is None else rnd.uniform(-1, 1, size=(m, 3))
+        got = list(zip(*(k.tolist() for k in M._near_leaves(M._boxes(x), M._boxes(y), m is None))))
+        want = []
+        for i, p in enumerate(parts(x)):
+            for j, q in enumerate(parts(y)):
+                gap = np.maximum(0, np.maximum(p.min(0) - q.max(0), q.min(0) - p.max(0)))
+                if gap @ gap <= reach * reach + 1e-9 and (m is not None or i <= j):
+                    want.append((i, j))
+        assert sorted(got) == want and len(set(got)) == len(got)
+
+
+def test_a_block_pair_is_joined_whole():
+    """Blocks of several hundred leaves: links and classes of one pair and of a block with itself equal brute force."""
+    rnd = np.random.default_rng(4)
+    x = np.repeat(rnd.normal(size=(90, 8)), 10, axis=0) + rnd.normal(size=(900, 8)) * 0.15
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    basis = np.linalg.qr(rnd.normal(size=(8, 6)))[0]
+    frame = lambda k: M.pd.DataFrame({"node": k, "size": k % 3 + 1, "v": [x[i].tobytes() for i in k]})
+    for left, right in ((np.arange(900), np.arange(900)), (np.arange(0, 500), np.arange(500, 900))):
+        same = len(right) == 900
+        got = M._linked(basis)((0, 0 if same else 1), frame(left), frame(right)).set_index("node")
+        hit = x @ x.T >= M.MIN_COSINE
+        np.fill_diagonal(hit, False)
+        if not same:
+            hit[:500, :500] = hit[500:, 500:] = False
+        links = hit @ (np.arange(900) % 3 + 1)
+        assert links.any() and got["links"].to_dict() == {i: int(n) for i, n in enumerate(links) if n}
+        low = np.arange(900)
+        for _ in range(900):
+            low = np.minimum(low, np.where(hit, low[None, :], 900).min(1))
+        root = got["root"].to_dict()
+        assert len({(root[i], low[i]) for i in root}) == len(set(root.values())) == len({low[i] for i in root})

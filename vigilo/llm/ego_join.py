@@ -5,7 +5,7 @@ vectors are sorted by the cells (edge eps) of their leading principal
 dimensions and cut into sequence blocks; block pairs whose bounding boxes in
 those dimensions lie further apart than eps are provably without links and
 never formed. A block pair is joined recursively: both sequences are halved,
-halves too far apart are skipped, small ones are multiplied exactly in double
+halves too far apart are skipped, leaves are multiplied exactly in double
 precision. A task returns sums and a spanning forest, never its pairs.
 """
 
@@ -22,8 +22,8 @@ from vigilo.llm.graph import components
 
 MIN_COSINE = 0.95
 DIMENSIONS = 6     # leading principal dimensions of the grid
-BLOCK = 1024       # vectors per sequence block
-LEAF = 64          # recursion stops at products of this size
+BLOCK = 4096       # vectors per sequence block
+LEAF = 32          # vectors of a leaf, where halving stops; its product is with all leaves in reach
 _SLACK = 1e-9
 
 
@@ -81,6 +81,48 @@ def _cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield df.drop(columns=["cells"]).assign(block=blocks)
 
 
+def _boxes(p):
+    """Boxes of a sequence's halves, from the whole one down to its leaves: [(low, high)]."""
+    import numpy as np
+
+    at = np.arange(0, len(p), LEAF)
+    levels = [(np.minimum.reduceat(p, at), np.maximum.reduceat(p, at))]
+    while len(levels[-1][0]) > 1:
+        low, high = levels[-1]
+        at = np.arange(0, len(low), 2)
+        levels.append((np.minimum.reduceat(low, at), np.maximum.reduceat(high, at)))
+    return levels[::-1]
+
+
+def _near_leaves(left, right, same: bool):
+    """Pairs of leaves that may hold links: both sequences are halved level by level, halves too far apart are skipped
+    with all that is in them. Of a sequence and itself every pair once."""
+    import numpy as np
+
+    eps2 = 2 - 2 * MIN_COSINE + _SLACK
+    i = j = np.zeros(1, np.int64)
+    for level in range(max(len(left), len(right))):
+        (alo, ahi), (blo, bhi) = left[min(level, len(left) - 1)], right[min(level, len(right) - 1)]
+        if level and level < len(left):
+            i, j = (2 * i[:, None] + [0, 1]).ravel(), np.repeat(j, 2)
+        if level and level < len(right):
+            i, j = np.repeat(i, 2), (2 * j[:, None] + [0, 1]).ravel()
+        there = (i < len(alo)) & (j < len(blo)) & (~np.bool_(same) | (i <= j))
+        i, j = i[there], j[there]
+        gap = np.maximum(0, np.maximum(alo[i] - bhi[j], blo[j] - ahi[i]))
+        near = (gap * gap).sum(1) <= eps2
+        i, j = i[near], j[near]
+    return i, j
+
+
+def _runs(keys, values):
+    """Sorted keys, each once, and the values of each."""
+    import numpy as np
+
+    at = np.flatnonzero(np.diff(keys, prepend=-1))
+    return keys[at], np.split(values, at[1:])
+
+
 def _linked(basis):
     def matrix(df):
         import numpy as np
@@ -100,7 +142,6 @@ def _linked(basis):
         x, y = matrix(left), matrix(right)
         px, py = x @ basis[:x.shape[1]], y @ basis[:y.shape[1]]
         ox, oy = np.lexsort(px.T[::-1]), np.lexsort(py.T[::-1])
-        eps2 = 2 - 2 * MIN_COSINE + _SLACK
         cx, cy = left["size"].to_numpy(), right["size"].to_numpy()
         gx, gy = np.zeros(len(x), np.int64), np.zeros(len(y), np.int64)
         off = 0 if same else len(x)
@@ -112,28 +153,19 @@ def _linked(basis):
                 a = parent[a]
             return a
 
-        stack = [(ox, oy, same)]
-        while stack:
-            a, b, own = stack.pop()
-            pa, pb = px[a], py[b]
-            gap = np.maximum(0, np.maximum(pa.min(0) - pb.max(0), pb.min(0) - pa.max(0)))
-            if gap @ gap > eps2:
-                continue
-            if len(a) > LEAF or len(b) > LEAF:
-                ha, hb = np.array_split(a, 2), np.array_split(b, 2)
-                if own:
-                    stack += [(ha[0], ha[0], True), (ha[1], ha[1], True), (ha[0], ha[1], False)]
-                else:
-                    stack += [(m, n, False) for m in ha for n in hb if len(m) and len(n)]
-                continue
+        i, j = _near_leaves(_boxes(px[ox]), _boxes(py[oy]), same)
+        order = np.argsort(i, kind="stable")
+        for leaf, others in zip(*_runs(i[order], j[order])):
+            a = ox[leaf * LEAF:(leaf + 1) * LEAF]
+            b = np.concatenate([oy[o * LEAF:(o + 1) * LEAF] for o in others])
             hit = x[a] @ y[b].T >= MIN_COSINE
-            if own:
-                hit &= ~np.eye(len(a), dtype=bool)
+            own = np.repeat(same & (others == leaf), [len(oy[o * LEAF:(o + 1) * LEAF]) for o in others])
+            if own.any():
+                hit &= a[:, None] != b[None, :]
             if not hit.any():
                 continue
             gx[a] += hit @ cy[b]
-            if not own:
-                gy[b] += hit.T @ cx[a]
+            gy[b] += np.where(own, 0, hit.T @ cx[a])
             # Least label over the hits until nothing moves: the links' classes within this product.
             la, lb = np.arange(len(a)), np.full(len(b), len(a))
             while True:
@@ -142,11 +174,11 @@ def _linked(basis):
                 if (new == la).all():
                     break
                 la = new
-            for i in np.flatnonzero(hit.any(1)):
-                r, s = find(int(a[i])), find(int(a[la[i]]))
+            for m in np.flatnonzero(hit.any(1)):
+                r, s = find(int(a[m])), find(int(a[la[m]]))
                 parent[max(r, s)] = min(r, s)
-            for j in np.flatnonzero(hit.any(0)):
-                r, s = find(off + int(b[j])), find(int(a[lb[j]]))
+            for m in np.flatnonzero(hit.any(0)):
+                r, s = find(off + int(b[m])), find(int(a[lb[m]]))
                 parent[max(r, s)] = min(r, s)
         if same:
             gx, nodes = gx + gy, left["node"].to_numpy()
