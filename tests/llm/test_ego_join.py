@@ -88,9 +88,9 @@ def test_halving_finds_the_leaves_in_reach():
 
 
 def test_a_block_pair_is_joined_whole():
-    """Blocks of several hundred leaves: links and classes of one pair and of a block with itself equal brute force."""
+    """Blocks of many leaves: links and classes of one pair and of a block with itself equal brute force."""
     rnd = np.random.default_rng(4)
-    x = np.repeat(rnd.normal(size=(90, 8)), 10, axis=0) + rnd.normal(size=(900, 8)) * 0.15
+    x = np.tile(rnd.normal(size=(90, 8)), (10, 1)) + rnd.normal(size=(900, 8)) * 0.15
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     basis = np.linalg.qr(rnd.normal(size=(8, 6)))[0]
     frame = lambda k: M.pd.DataFrame({"node": k, "size": k % 3 + 1, "v": [x[i].tobytes() for i in k]})
@@ -104,7 +104,7 @@ def test_a_block_pair_is_joined_whole():
         links = hit @ (np.arange(900) % 3 + 1)
         assert links.any() and got["links"].to_dict() == {i: int(n) for i, n in enumerate(links) if n}
         low = np.arange(900)
-        for _ in range(900):
+        for _ in range(60):
             low = np.minimum(low, np.where(hit, low[None, :], 900).min(1))
         root = got["root"].to_dict()
         assert len({(root[i], low[i]) for i in root}) == len(set(root.values())) == len({low[i] for i in root})
