@@ -202,3 +202,22 @@ def test_knn_where_only_a_few_vectors_need_others(spark):
     for i, x, y in pts[:5] + pts[-1:]:
         want = sorted((math.dist((x, y), (a, b)), j) for j, a, b in pts if j != i)[:3]
         assert [j for _, j in sorted(got[i])] == [j for _, j in want]
+
+
+def test_rounds_of_the_binary_fit_leave_the_lineage_of_its_rows_behind(spark):
+    """The driver keeps every stage of a job's lineage, run or skipped: a round's job has its own two only."""
+    from vigilo.operators import boosting as G
+    sc = spark.sparkContext
+    df = spark.range(400).select("id", (F.pmod(F.xxhash64("id"), F.lit(100)) / 10.0).alias("a"), F.pmod("id", F.lit(3)).cast("double").alias("b"))
+    for n in (2, 3, 4):  # rows made by several shuffles
+        df = df.repartition(n, "id")
+    df = df.withColumn("y", (F.col("a") > 6).cast("int"))
+    sc.setJobGroup("binary-fit", "rounds")
+    try:
+        model = G.fit_default_binary(df, ["a", "b"], "y", maxIter=3)
+        jobs = sorted(sc.statusTracker().getJobIdsForGroup("binary-fit"))
+    finally:
+        sc.setJobGroup("", "")
+    assert model.iterations == 3 and not df.is_cached
+    stages = [len(sc.statusTracker().getJobInfo(j).stageIds) for j in jobs[-6:]]
+    assert max(stages) <= 2, stages
