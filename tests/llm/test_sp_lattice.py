@@ -4,6 +4,8 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pytest
 import sentencepiece
 
 from vigilo.llm import sp_lattice as M
@@ -70,3 +72,46 @@ def test_whole_texts_equal_the_library(spark):
     for r in M.encode_documents(df, PATH).collect():
         ids, want = np.frombuffer(r.ids, "<u4").tolist(), sp.encode(texts[r.doc_id])
         assert ids == want or (r.doc_id >= len(runs) and total(ids) > total(want)), texts[r.doc_id][:40]
+
+
+def test_each_unit_enters_the_lattice_once(spark, monkeypatch):
+    """Blocks that share their words do not build its lattice again, and the shuffled documents are smaller than their text."""
+    monkeypatch.setattr(M, "BLOCK_BYTES", 3_000)
+    lattice, given = M.edges_of, []
+    monkeypatch.setattr(M, "edges_of", lambda units, pieces: given.append(units) or lattice(units, pieces))
+    said = "the cat sat on a mat, 龘 été 12.5\n  and   so on ".split(" ")
+    texts = [" ".join(said[k % 9:] + said[:k % 9] + [f"w{k % 50}ord"]) for k in range(400)] + [None, "", "a b", "a b"]
+    df = spark.createDataFrame([(k if k % 7 else None, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    pieces = M.load_pieces(PATH)
+    want = [(k if k % 7 else None, np.array(M.viterbi(M.escaped(t), pieces), "<u4").tobytes()) for k, t in enumerate(texts)]
+    got = [(r.doc_id, bytes(r.ids)) for r in M.encode_documents(df, PATH).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    rows = given[0].collect()
+    assert len(rows) == len({r.unit for r in rows}) and max(len(set(r.blocks)) for r in rows) > 4
+    table = pa.table({"block": pa.array([0] * 404, pa.int32()), "doc_id": pa.nulls(404, pa.string()), "text": texts})
+    lots = list(M._dealt(iter(table.to_batches())))
+    assert len(lots) == 1 and 4 * len(lots[0]["packed"][0].as_py()) < sum(len(t or "") for t in texts)
+
+
+def test_edges_come_in_batches_of_any_size(spark, monkeypatch):
+    pieces = M.load_pieces(PATH)
+    units = sorted({u for t in HARD for u in M._UNIT.findall(M.escaped(t))} | {"▁" + "ab龘é" * 30})
+    edges = M.edges_of(spark.createDataFrame([(u,) for u in units], "unit string").repartition(1), pieces).toArrow()
+
+    class Shared:
+        value = pieces
+
+    handed_on = lambda units, ids, sizes: pa.record_batch({"unit": units["unit"].combine_chunks(), "ids": [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])]})
+    for enough, rows in ((1, 1), (40, 7), (10_000, 1_000), (10_000_000, 1_000)):
+        monkeypatch.setattr(M, "EDGES", enough)
+        got = [r for b in M._folded(Shared, handed_on)(iter(edges.to_batches(max_chunksize=rows))) for r in b.to_pylist()]
+        assert sorted(r["unit"] for r in got) == units
+        assert all(r["ids"] == M.viterbi(r["unit"], pieces) for r in got)
+    with pytest.raises(ValueError):
+        M.fold(edges.take(pa.array(np.random.default_rng(1).permutation(len(edges)))), pieces)
+
+
+def test_chunks_keep_the_units():
+    texts = [*HARD, "a\n b", "x\n\n y", "▁", "a▁b", "\n", " \n ", "a  ", "é龘 b", "日本語 x日y"]
+    for t in texts:
+        assert [u for c in M.chunks(t) for u in M.units_of(c)] == M._UNIT.findall(M.escaped(t)), t
