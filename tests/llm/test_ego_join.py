@@ -108,3 +108,77 @@ def test_a_block_pair_is_joined_whole():
             low = np.minimum(low, np.where(hit, low[None, :], 900).min(1))
         root = got["root"].to_dict()
         assert len({(root[i], low[i]) for i in root}) == len(set(root.values())) == len({low[i] for i in root})
+
+
+def test_joining_lots_moves_no_vector(spark, monkeypatch):
+    """What a lot pair needs is read from the staged sequence: the step that joins has no shuffle, and no step stages a copy a pair."""
+    from vigilo.llm.common import staged
+
+    plans, rnd = {}, np.random.default_rng(5)
+    monkeypatch.setattr(M, "BLOCK", 64)
+
+    def seen(df, label):
+        out = staged(df, label)
+        plans[label] = (df._jdf.queryExecution().executedPlan().toString(), out.count())
+        return out
+    monkeypatch.setattr(M, "staged", seen)
+    rows = [(i, v) for i, v in enumerate(rnd.normal(size=(1000, 64)).tolist())]
+    M.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>"))
+    plan, _ = plans["found"]
+    assert "Exchange" not in plan and "CartesianProduct" in plan
+    assert max(n for _, n in plans.values()) <= 1000
+
+
+def at_cosine(x, c, rnd):
+    """A unit vector at cosine c to the unit vector x."""
+    y = rnd.normal(size=len(x))
+    y -= (y @ x) * x
+    return c * x + (1 - c * c) ** 0.5 * y / np.linalg.norm(y)
+
+
+def test_links_about_the_threshold_are_decided_in_double_precision(spark, monkeypatch):
+    """Pairs closer to the threshold than single precision tells, among lots of one block and vectors of two lengths."""
+    rnd, rows = np.random.default_rng(6), []
+    for width, n in ((64, 300), (48, 150)):
+        x = rnd.normal(size=(n, width))
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        off = [0, 0.01, -0.01, 1e-5, -1e-5, 1e-7, -1e-7, 1e-11, -1e-11]
+        y = [at_cosine(v, 0.95 + off[1 + i % 8], rnd) * 10 ** rnd.uniform(-3, 3) for i, v in enumerate(x)]
+        rows += [v.tolist() for v in [*x, *y]]
+    rows = list(enumerate(rows))
+    want = brute(rows)
+    assert sum(n for _, n, _ in want) == 450
+    for lot in (M.LOT, 64 * 8 * 30):
+        monkeypatch.setattr(M, "BLOCK", 64)
+        monkeypatch.setattr(M, "LOT", lot)
+        out = M.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+        assert sorted((r.vec_id, r.n_links, r.component_id) for r in out) == want
+
+
+def test_a_leading_bound_leaves_no_link_out():
+    """Blocks wide enough for the bound in leading dimensions, with hubs, equal brute force."""
+    rnd = np.random.default_rng(8)
+    x = np.concatenate([rnd.normal(size=(600, 64)), np.repeat(rnd.normal(size=(20, 64)), 30, axis=0)])
+    x[600:] += rnd.normal(size=(600, 64)) * rnd.choice([0.1, 0.2, 0.25], size=(600, 1))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    basis = np.linalg.qr(rnd.normal(size=(64, 31)))[0]
+    x = x[rnd.permutation(1200)]
+    frame = lambda k: M.pd.DataFrame({"node": k, "size": 1, "v": [x[i].tobytes() for i in k]})
+    got = M._linked(basis)((0, 1), frame(np.arange(700)), frame(np.arange(700, 1200))).set_index("node")["links"]
+    hit = x[:700] @ x[700:].T >= M.MIN_COSINE
+    links = np.concatenate([hit.sum(1), hit.sum(0)])
+    assert links.any() and got.to_dict() == {i: int(n) for i, n in enumerate(links) if n}
+
+
+def test_zeros_of_both_signs_are_equal(spark):
+    rows = [(3, [0.0, 1.0]), (4, [-0.0, 1.0]), (5, [-0.0, 1.0]), (6, [1.0, -0.0])]
+    for kind in ("float", "double"):
+        out = M.near_vectors(spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>")).collect()
+        assert sorted((r.vec_id, r.n_links, r.component_id) for r in out) == [(3, 2, 3), (4, 2, 3), (5, 2, 3), (6, 0, 6)]
+
+
+def test_classes_of_edges():
+    nodes, low = M._classes(np.array([9, 4, 7, 30, 5]), np.array([4, 2, 30, 7, 5]))
+    assert nodes.tolist() == [2, 4, 5, 7, 9, 30] and low.tolist() == [2, 2, 5, 7, 2, 7]
+    path = np.random.default_rng(9).permutation(5000)
+    assert (M._classes(path[:-1], path[1:])[1] == 0).all()
